@@ -78,9 +78,11 @@ def _times(start_date: Column, start_datetime: Column, end_date: Column, end_dat
 
 
 def _rule_times(rule: Rule, facets: Facets, mode: str) -> Column:
+    """Time block of a rule; rules with the same start and end share it."""
     start = facets.attribute(rule.start) if rule.start else None
     end = facets.attribute(rule.end) if rule.end else None
-    return time_block(start, end, mode)
+    name = f"times:{mode}:{start.name if start else ''}:{end.name if end else ''}"
+    return facets.combine(name, lambda: time_block(start, end, mode))
 
 
 def process_events(rules: Sequence[Rule], facets: Facets, spec: RecordSpec) -> list[Column]:
@@ -117,9 +119,17 @@ def hold_events(rules: Sequence[Rule], facets: Facets, spec: RecordSpec) -> list
 
 def event_array(events: Sequence[Column], kind: str) -> Column:
     """Events in rule order, those that do not apply left out."""
-    if not events:
-        return F.array().cast(kind)
-    return F.array_compact(F.array(*events)).cast(kind)
+    return F.array_compact(F.array(*events)) if events else F.array().cast(kind)
+
+
+def rows_with_events(rows: DataFrame, keep: Sequence[Column], events: Column, name: str) -> DataFrame:
+    """Rows that have any event, with the array of them.
+
+    A generator drops the rows without one. A filter on the array would be pushed below the
+    projections that feed it, and every rule would be worked out twice, from scratch.
+    """
+    some = F.filter(F.array(F.struct(events.alias(name))), lambda row: F.size(row[name]) > 0)
+    return rows.select(*keep, F.inline(some))
 
 
 def record_id(df: DataFrame, spec: RecordSpec) -> tuple[Column, Column]:
@@ -140,11 +150,10 @@ def system_id(df: DataFrame, spec: RecordSpec) -> Column:
 def build_records(rows: DataFrame, spec: RecordSpec) -> DataFrame:
     """Event-set records from rows that carry ``process_event_set`` and ``on_hold_event_set``.
 
-    One record per row that has any event; rows with the same id stay apart.
+    One record per row; rows with the same id stay apart.
     """
-    has_events = (F.size("process_event_set") + F.size("on_hold_event_set")) > 0
     id_text, id_is_number = record_id(rows, spec)
-    return rows.filter(has_events).select(
+    return rows.select(
         F.lit(spec.version).alias("version"),
         F.lit(ENTRY_KIND).alias("kind"),
         system_id(rows, spec).alias("system_id"),

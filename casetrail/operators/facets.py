@@ -26,6 +26,7 @@ class Facets:
 
     schema: T.StructType
     columns: dict[str, Column] = field(default_factory=dict)
+    combined: dict[str, Column] = field(default_factory=dict)
 
     def attribute(self, name: str) -> Attribute:
         found = find_field(self.schema, name)
@@ -38,8 +39,17 @@ class Facets:
             self.columns[name] = make()
         return F.col(quoted(name))
 
+    def combine(self, name: str, make: Callable[[], Column]) -> Column:
+        """Like ``share``, for a column worked out from shared ones."""
+        name = f"{_PREFIX}:{name}"
+        if name not in self.combined:
+            self.combined[name] = make()
+        return F.col(quoted(name))
+
     def project(self, df: DataFrame) -> DataFrame:
-        return df.withColumns(self.columns) if self.columns else df
+        for layer in (self.columns, self.combined):
+            df = df.withColumns(layer) if layer else df
+        return df
 
 
 @dataclass(frozen=True)
@@ -130,6 +140,8 @@ class Attribute:
 
     @property
     def event_date(self) -> Column:
+        if self.kind == "instant":
+            return F.substring(self.event_datetime, 1, 10)
         return self._share("date", lambda: dates.event_date(self.value, self._event_type()))
 
     def _event_type(self) -> T.DataType:

@@ -60,19 +60,15 @@ def keyed_holds(holds: DataFrame) -> DataFrame:
 
 
 def hold_event_rows(holds: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> DataFrame:
-    """Per hold row: key, sort texts, its events in rule order. Rows without events are gone."""
+    """One row per hold event: key, sort texts, position within its hold row, the event."""
     keyed = keyed_holds(holds)
     facets = Facets(keyed.schema)
     events = event_array(hold_events(rules, facets, spec), HOLD_EVENTS)
-    return (
-        facets.project(keyed)
-        .select(
-            _KEY,
-            F.coalesce(attribute_text(*column_of(keyed, HOLD_START_COLUMN)), F.lit("")).alias("started"),
-            F.coalesce(attribute_text(*column_of(keyed, HOLD_ID_COLUMN)), F.lit("")).alias("hold_id"),
-            events.alias("events"),
-        )
-        .filter(F.size("events") > 0)
+    return facets.project(keyed).select(
+        _KEY,
+        F.coalesce(attribute_text(*column_of(keyed, HOLD_START_COLUMN)), F.lit("")).alias("started"),
+        F.coalesce(attribute_text(*column_of(keyed, HOLD_ID_COLUMN)), F.lit("")).alias("hold_id"),
+        F.posexplode(events).alias("rule_pos", "event"),
     )
 
 
@@ -80,23 +76,25 @@ def grouped_holds(event_rows: DataFrame, events_per_record: int = EVENTS_PER_REC
     """Events per key, ordered by start text and then id text, in parts of bounded size.
 
     Rows of a heavy key go to its parts by hash. The part of the smallest hash is its first one,
-    which surely has rows.
+    which surely has rows. The rows are dealt out by key and part, so the parts of one key are
+    gathered by different tasks.
     """
-    place = F.xxhash64("started", "hold_id", "events")
-    sizes = event_rows.groupBy(_KEY).agg(
-        F.sum(F.size("events")).alias("n"), F.min(place).alias("smallest")
-    )
+    place = F.xxhash64("started", "hold_id", "rule_pos", "event")
+    sizes = event_rows.groupBy(_KEY).agg(F.count("*").alias("n"), F.min(place).alias("smallest"))
     parts = F.ceil(F.col("n") / events_per_record)
     heavy = sizes.filter(F.col("n") > events_per_record).select(
         _KEY, parts.alias("parts"), F.pmod("smallest", parts).alias("first_part")
     )
-    placed = event_rows.join(heavy, _KEY, "left").withColumn(
-        _PART, F.coalesce(F.pmod(place, F.col("parts")), F.lit(0))
-    )
-    ordered = F.array_sort(F.collect_list(F.struct("started", "hold_id", "events")))
+    part = F.coalesce(F.pmod(place, F.col("parts")), F.lit(0))
+    placed = event_rows.join(heavy, _KEY, "left").withColumns({
+        _PART: part,
+        _FIRST: part == F.coalesce("first_part", F.lit(0)),
+    }).drop("parts", "first_part")
+    ordered = F.array_sort(F.collect_list(F.struct("started", "hold_id", "rule_pos", "event")))
     return (
-        placed.groupBy(_KEY, _PART, (F.col(_PART) == F.coalesce("first_part", F.lit(0))).alias(_FIRST))
-        .agg(F.flatten(F.transform(ordered, lambda row: row["events"])).alias("on_hold_event_set"))
+        placed.repartition(_KEY, _PART)
+        .groupBy(_KEY, _PART, _FIRST)
+        .agg(F.transform(ordered, lambda row: row["event"]).alias("on_hold_event_set"))
         .drop(_PART)
     )
 
@@ -125,7 +123,7 @@ def matched_hold_events(permits: DataFrame, event_rows: DataFrame, keep: Sequenc
     return (
         keyed.filter(F.col(_KEY).isNotNull())
         .join(event_rows, _KEY)
-        .select(*keyed.drop(_KEY).columns, "started", "hold_id", F.inline("events"))
+        .select(*keyed.drop(_KEY).columns, "started", "hold_id", "rule_pos", "event.event", "event.coding")
     )
 
 
@@ -138,9 +136,8 @@ def hold_hits(permits: DataFrame, holds: DataFrame, rules: Sequence[Rule],
     keyed = keyed_holds(holds)
     facets = Facets(keyed.schema)
     names = [f"hit_{i}" for i in range(len(rules))]
-    per_key = facets.project(keyed).groupBy(_KEY).agg(
-        *[F.count_if(match_column(rule, facets)).alias(n) for n, rule in zip(names, rules, strict=True)]
-    )
+    hits = [F.count_if(match_column(rule, facets)).alias(n) for n, rule in zip(names, rules, strict=True)]
+    per_key = facets.project(keyed).groupBy(_KEY).agg(*hits)
     owners = (
         permits.select(permit_key(permits, candidates).alias(_KEY))
         .filter(F.col(_KEY).isNotNull())

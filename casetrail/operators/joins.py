@@ -14,11 +14,17 @@ _SALT = "__null_salt"
 
 
 def _null_salt(df: DataFrame, keys: Sequence[str]) -> Column:
-    """0 where the key is complete. Rows that can match nothing are dealt over many tasks
-    by a hash of the row; otherwise they would all meet in the partition of NULL."""
+    """0 where the key is complete. Rows that can match nothing get 1 to 64 by a hash of the row
+    and so are dealt over many tasks; otherwise they would all meet in the partition of NULL."""
     incomplete = F.greatest(*[F.col(quoted(k)).isNull() for k in keys], F.lit(False))
     atoms = [F.col(quoted(f.name)) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return F.when(incomplete, F.pmod(F.xxhash64(*atoms), F.lit(_SPREAD))).otherwise(F.lit(0)).cast("int")
+    return F.when(incomplete, F.pmod(F.xxhash64(*atoms), F.lit(_SPREAD)) + 1).otherwise(F.lit(0))
+
+
+def _matching_salt(keys: Sequence[str]) -> Column:
+    """Always 0, worked out from the key: a literal would be folded into a filter, and the salt
+    would then no longer take part in the shuffle."""
+    return F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(1))
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], null_match: bool = False) -> DataFrame:
@@ -32,7 +38,7 @@ def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], null_match
         pairs = [left[quoted(k)].eqNullSafe(right[quoted(k)]) for k in keys]
         return left.join(right, pairs, "left").drop(*[right[quoted(k)] for k in keys])
     salted = left.withColumn(_SALT, _null_salt(left, keys))
-    return salted.join(right.withColumn(_SALT, F.lit(0)), [*keys, _SALT], "left").select(
+    return salted.join(right.withColumn(_SALT, _matching_salt(keys)), [*keys, _SALT], "left").select(
         *[F.col(quoted(c)) for c in left.columns],
         *[F.col(quoted(c)) for c in right.columns if c not in keys],
     )
@@ -95,7 +101,7 @@ def without_match(df: DataFrame, other: DataFrame, on: Sequence[tuple[str, str]]
     keys = [l for l, _ in on]
     salted = df.withColumn(_SALT, _null_salt(df, keys))
     return salted.join(
-        _keys_only(other, on).withColumn(_SALT, F.lit(0)), [*keys, _SALT], "left_anti"
+        _keys_only(other, on).withColumn(_SALT, _matching_salt(keys)), [*keys, _SALT], "left_anti"
     ).select(*[F.col(quoted(c)) for c in df.columns])
 
 

@@ -21,9 +21,8 @@ class EmptyOutput(RuntimeError):
 def rule_hits(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     """One row of counts, ``hit_0`` for the first rule and so on."""
     facets = Facets(rows.schema)
-    return facets.project(rows).agg(
-        *[F.count_if(match_column(rule, facets)).alias(f"hit_{i}") for i, rule in enumerate(rules)]
-    )
+    hits = [F.count_if(match_column(rule, facets)).alias(f"hit_{i}") for i, rule in enumerate(rules)]
+    return facets.project(rows).agg(*hits)
 
 
 def hit_report(counts: DataFrame, rules: Sequence[Rule], top: int = TOP_RULES) -> DataFrame:

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..operators.events import (
     PROCESS_EVENTS, RecordSpec, build_records, empty_holds, event_array, flat_events, process_events,
-    record_id, record_json, system_id,
+    record_id, record_json, rows_with_events, system_id,
 )
 from ..operators.facets import Facets
 from ..operators.holds import (
@@ -55,37 +55,43 @@ class Ruleset:
     holds: Sequence[Rule] = field(default_factory=tuple)
 
 
-def with_process_events(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> DataFrame:
+def with_process_events(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec,
+                        keep: Sequence[Column], only_matched: bool = False) -> DataFrame:
     """Permits with the array of their process events, in rule order. No shuffle."""
     facets = Facets(permits.schema)
     events = event_array(process_events(rules, facets, spec), PROCESS_EVENTS)
-    keep = [F.col(quoted(c)) for c in permits.columns]
-    return facets.project(permits).select(*keep, events.alias("process_event_set"))
+    rows = facets.project(permits)
+    if only_matched:
+        return rows_with_events(rows, keep, events, "process_event_set")
+    return rows.select(*keep, events.alias("process_event_set"))
 
 
 def event_set(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> DataFrame:
     """Records with process events only; the set of holds is empty."""
-    rows = with_process_events(permits, rules, spec).withColumn("on_hold_event_set", empty_holds())
-    return build_records(rows, spec)
+    keep = _columns(permits, (spec.id_column, spec.system_column))
+    rows = with_process_events(permits, rules, spec, keep, only_matched=True)
+    return build_records(rows.withColumn("on_hold_event_set", empty_holds()), spec)
 
 
 def event_set_with_holds(permits: DataFrame, holds: DataFrame, rules: Ruleset, spec: RecordSpec,
                          candidates: Sequence[str] = PERMIT_KEY_COLUMNS,
                          events_per_record: int = EVENTS_PER_RECORD) -> DataFrame:
-    """Records with process events and the on-hold periods of the permit's authorization."""
+    """Records with process events and the on-hold periods of the permit's authorization.
+
+    Only the id, the system id, the key and the events cross the join.
+    """
+    keep = _columns(permits, (spec.id_column, spec.system_column, *candidates))
+    rows = with_process_events(permits, rules.process, spec, keep)
     grouped = grouped_holds(hold_event_rows(holds, rules.holds, spec), events_per_record)
-    needed = permits.select(*_needed(permits, rules.process, spec, candidates))
-    rows = with_process_events(needed, rules.process, spec).select(
-        *_needed(permits, (), spec, candidates), "process_event_set"
-    )
-    return build_records(attach_holds(rows, grouped, candidates), spec)
+    joined = attach_holds(rows, grouped, candidates)
+    any_event = (F.size("process_event_set") + F.size("on_hold_event_set")) > 0
+    return build_records(joined.filter(any_event), spec)
 
 
-def _needed(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec, candidates: Sequence[str]) -> list[Column]:
-    """Columns worth carrying: what the rules read, the id, the system id and the keys."""
-    wanted = {n.lower() for n in (spec.id_column, spec.system_column, *candidates)}
-    wanted |= {a.lower() for rule in rules for a in rule.attributes()}
-    return [F.col(quoted(c)) for c in permits.columns if c.lower() in wanted]
+def _columns(df: DataFrame, names: Sequence[str]) -> list[Column]:
+    """The named columns the table has."""
+    wanted = {n.lower() for n in names}
+    return [F.col(quoted(c)) for c in df.columns if c.lower() in wanted]
 
 
 def process_event_rows(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> DataFrame:
