@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import is_instant
-from .text import attribute_text, is_nullish, strip
+from .text import attribute_text, strip
 
 # The shapes and bounds that decide which values count as dates.
 DATE_PREFIX = r"^\d{4}-\d{2}-\d{2}"
@@ -75,17 +75,11 @@ def on_or_after(c: Column, day: str) -> Column:
     return c >= F.lit(day).cast("timestamp_ntz")
 
 
-def _year_counts(text: Column) -> Column:
-    return F.substring(text, 1, 4) >= str(EARLIEST_EVENT_YEAR)
-
-
 def event_date(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """``YYYY-MM-DD`` of a value, NULL if invalid or too early."""
     if is_instant(dtype) or isinstance(dtype, T.DateType):
         return F.when(F.year(c) >= EARLIEST_EVENT_YEAR, F.date_format(c, DATE_TEXT))
-    day = F.substring(strip(attribute_text(c, dtype)), 1, 10)
-    valid = ~is_nullish(c, dtype) & day.rlike(DATE_PREFIX) & _year_counts(day)
-    return F.when(valid & day.try_cast("date").isNotNull(), day)
+    return date_of_text(strip(attribute_text(c, dtype)))
 
 
 def event_datetime(c: Column, dtype: T.DataType = T.StringType()) -> Column:
@@ -96,14 +90,23 @@ def event_datetime(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """
     if is_instant(dtype) or isinstance(dtype, T.DateType):
         return F.when(F.year(c) >= EARLIEST_EVENT_YEAR, F.date_format(c, UTC_TEXT))
-    text = strip(attribute_text(c, dtype))
-    bare_day = (F.length(text) == 10) & text.rlike(DATE_PREFIX)
-    core = F.regexp_replace(text, r"Z\z", "")
-    parsed = F.date_format(iso_instant(core), UTC_TEXT)
-    return F.when(
-        ~is_nullish(c, dtype) & _year_counts(text),
-        F.when(bare_day, F.concat(text, F.lit("T00:00:00Z"))).otherwise(parsed),
-    )
+    return datetime_of_text(strip(attribute_text(c, dtype)))
+
+
+def _dated(trimmed: Column) -> Column:
+    """Begins like a date of a year that counts; no word for a missing value does."""
+    return trimmed.rlike(DATE_PREFIX) & (F.substring(trimmed, 1, 4) >= str(EARLIEST_EVENT_YEAR))
+
+
+def date_of_text(trimmed: Column) -> Column:
+    day = F.substring(trimmed, 1, 10)
+    return F.when(_dated(trimmed) & day.try_cast("date").isNotNull(), day)
+
+
+def datetime_of_text(trimmed: Column) -> Column:
+    parsed = F.date_format(iso_instant(F.regexp_replace(trimmed, r"Z\z", "")), UTC_TEXT)
+    midnight = F.concat(trimmed, F.lit("T00:00:00Z"))
+    return F.when(_dated(trimmed), F.when(F.length(trimmed) == 10, midnight).otherwise(parsed))
 
 
 def runs_backwards(start: Column, end: Column, may_be_invalid: bool = True) -> Column:

@@ -14,6 +14,8 @@ KEY_NUMBER = T.DecimalType(38, 10)
 _NUMERAL = r"^[+-]?(?:\d+\.?\d*|\.\d+)(?:[eE][+-]?\d+)?\z"
 # Below this a double holds every whole number, so dropping the fraction through it is exact.
 _EXACT_WHOLE = 9007199254740992.0
+# Rounding a larger double would stick at the largest 64-bit number.
+_LONG_REACH = 9.2e18
 
 
 def to_number(c: Column, dtype: T.DataType = T.StringType()) -> Column:
@@ -33,7 +35,8 @@ def to_bigint(c: Column) -> Column:
 
 def truncated(c: Column, target: str) -> Column:
     """Lossy landing conversion: fraction dropped towards zero, out of range is NULL."""
-    return F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c)).try_cast(target)
+    in_reach = F.abs(c.cast("double")) < _LONG_REACH
+    return F.when(in_reach, F.when(c >= 0, F.floor(c)).otherwise(F.ceil(c))).try_cast(target)
 
 
 def whole_number_text(c: Column, dtype: T.DataType = T.StringType()) -> Column:

@@ -37,9 +37,11 @@ def is_blank(c: Column, dtype: T.DataType = T.StringType()) -> Column:
 
 def is_nullish(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """Blank, or one of the words that stand for a missing value in any letter case."""
-    if not isinstance(dtype, T.StringType):
-        return c.isNull()
-    return F.coalesce(F.lower(strip(c)), F.lit("")).isin("", *NULL_WORDS)
+    return trimmed_is_nullish(strip(c)) if isinstance(dtype, T.StringType) else c.isNull()
+
+
+def trimmed_is_nullish(trimmed: Column) -> Column:
+    return F.coalesce(F.lower(trimmed), F.lit("")).isin("", *NULL_WORDS)
 
 
 def blank_to_null(c: Column) -> Column:

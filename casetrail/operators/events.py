@@ -82,7 +82,7 @@ def _rule_times(rule: Rule, facets: Facets, mode: str) -> Column:
     start = facets.attribute(rule.start) if rule.start else None
     end = facets.attribute(rule.end) if rule.end else None
     name = f"times:{mode}:{start.name if start else ''}:{end.name if end else ''}"
-    return facets.combine(name, lambda: time_block(start, end, mode))
+    return facets.share(name, lambda: time_block(start, end, mode))
 
 
 def process_events(rules: Sequence[Rule], facets: Facets, spec: RecordSpec) -> list[Column]:

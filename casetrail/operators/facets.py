@@ -20,13 +20,16 @@ from ..schemas import find_field, is_floating, is_instant, is_number, quoted
 _PREFIX = "__facet"
 
 
+# Layers of helper columns: each may read the ones before it.
+_TRIMMED, _PARSED, _TIMES = range(3)
+
+
 @dataclass
 class Facets:
     """Collects helper columns for one schema."""
 
     schema: T.StructType
-    columns: dict[str, Column] = field(default_factory=dict)
-    combined: dict[str, Column] = field(default_factory=dict)
+    layers: tuple[dict[str, Column], ...] = field(default_factory=lambda: ({}, {}, {}))
 
     def attribute(self, name: str) -> Attribute:
         found = find_field(self.schema, name)
@@ -34,20 +37,16 @@ class Facets:
             return Attribute(self, name, F.lit(None).cast("string"), T.NullType())
         return Attribute(self, found.name, F.col(quoted(found.name)), found.dataType)
 
-    def share(self, name: str, make: Callable[[], Column]) -> Column:
-        if name not in self.columns:
-            self.columns[name] = make()
-        return F.col(quoted(name))
-
-    def combine(self, name: str, make: Callable[[], Column]) -> Column:
-        """Like ``share``, for a column worked out from shared ones."""
+    def share(self, name: str, make: Callable[[], Column], layer: int = _TIMES) -> Column:
+        """The helper column of that name, made on first use."""
         name = f"{_PREFIX}:{name}"
-        if name not in self.combined:
-            self.combined[name] = make()
+        if name not in self.layers[layer]:
+            self.layers[layer][name] = make()
         return F.col(quoted(name))
 
     def project(self, df: DataFrame) -> DataFrame:
-        for layer in (self.columns, self.combined):
+        """The table with all helper columns asked for so far."""
+        for layer in self.layers:
             df = df.withColumns(layer) if layer else df
         return df
 
@@ -73,13 +72,18 @@ class Attribute:
             return "instant"
         return "day" if isinstance(self.dtype, T.DateType) else "other"
 
-    def _share(self, facet: str, make: Callable[[], Column]) -> Column:
-        return self.facets.share(f"{_PREFIX}:{facet}:{self.name}", make)
+    def _share(self, facet: str, make: Callable[[], Column], layer: int = _PARSED) -> Column:
+        return self.facets.share(f"{facet}:{self.name}", make, layer)
+
+    @property
+    def trimmed(self) -> Column:
+        return self._share("trimmed", lambda: text.strip(text.attribute_text(self.value, self.dtype)), _TRIMMED)
 
     @property
     def nullish(self) -> Column:
         if self.kind == "text":
-            return self._share("nullish", lambda: text.is_nullish(self.value))
+            trimmed = self.trimmed
+            return self._share("nullish", lambda: text.trimmed_is_nullish(trimmed))
         return self.value.isNull()
 
     @property
@@ -136,13 +140,16 @@ class Attribute:
 
     @property
     def event_datetime(self) -> Column:
-        return self._share("datetime", lambda: dates.event_datetime(self.value, self._event_type()))
+        if self.kind == "missing":
+            return self.value
+        if self.kind in ("instant", "day"):
+            return self._share("datetime", lambda: dates.event_datetime(self.value, self.dtype))
+        trimmed = self.trimmed
+        return self._share("datetime", lambda: dates.datetime_of_text(trimmed))
 
     @property
     def event_date(self) -> Column:
-        if self.kind == "instant":
+        if self.kind in ("missing", "instant", "day"):
             return F.substring(self.event_datetime, 1, 10)
-        return self._share("date", lambda: dates.event_date(self.value, self._event_type()))
-
-    def _event_type(self) -> T.DataType:
-        return T.StringType() if self.kind == "missing" else self.dtype
+        trimmed = self.trimmed
+        return self._share("date", lambda: dates.date_of_text(trimmed))

@@ -89,8 +89,10 @@ def parse_hold_rules(raw: Mapping[str, Any]) -> list[Rule]:
 
 def required_columns(rules: Iterable[Rule], always: Iterable[str] = ()) -> list[str]:
     """Columns the rules read, first use first."""
-    wanted = [*always, *(a for rule in rules for a in rule.attributes())]
-    return list({name.lower(): name for name in reversed(wanted)}.values())[::-1]
+    wanted: dict[str, str] = {}
+    for name in (*always, *(a for rule in rules for a in rule.attributes())):
+        wanted.setdefault(name.lower(), name)
+    return list(wanted.values())
 
 
 def missing_columns(df: DataFrame, rules: Iterable[Rule], always: Iterable[str] = ()) -> list[str]:

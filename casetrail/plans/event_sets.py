@@ -20,7 +20,7 @@ from ..operators.holds import (
 from ..operators.report import TOP_RULES, hit_report, rule_hits, run_summary
 from ..operators.rules import Rule, missing_columns
 from ..schemas import quoted
-from ..session import require_utc
+from ..session import prepare
 from ..sources import config, jsonl, tables
 
 
@@ -157,7 +157,7 @@ def run_job(spark: SparkSession, files: JobFiles, spec: RecordSpec, max_rows: in
 
     ``max_rows`` bounds the input of a trial run; 0 reads everything.
     """
-    require_utc(spark)
+    prepare(spark)
     rules = Ruleset(config.read_rules(spark, files.rules), config.read_hold_rules(spark, files.hold_rules))
     spec = replace(
         spec,

@@ -9,9 +9,16 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def require_utc(spark: SparkSession) -> SparkSession:
-    """Event times are written in UTC, so text without an offset must be read as UTC."""
+# Java leaves methods above this many bytes uncompiled, which makes wide rule projections several
+# times slower; beyond it Spark then generates many small methods instead of one.
+LARGEST_COMPILED_METHOD = "8000"
+
+
+def prepare(spark: SparkSession) -> SparkSession:
+    """Settings the jobs rely on. Event times are written in UTC, so text without an offset must
+    be read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
+    spark.conf.set("spark.sql.codegen.hugeMethodLimit", LARGEST_COMPILED_METHOD)
     return spark
 
 

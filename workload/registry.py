@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from casetrail.session import require_utc
+from casetrail.session import prepare
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -24,7 +24,7 @@ class Inputs:
     """
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
-        self.spark = require_utc(spark)
+        self.spark = prepare(spark)
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
