@@ -93,21 +93,27 @@ def key_text(c: Column, dtype: T.DataType = T.StringType()) -> Column:
 
 
 def _clean_key(text: Column, zero_tail: str) -> Column:
-    without_commas = F.regexp_replace(strip(text), ",", "")
-    return F.nullif(strip(F.regexp_replace(without_commas, zero_tail, "$1")), F.lit(""))
+    """Trimmed text; only text with a comma or a dot is worked on further."""
+    trimmed = strip(text)
+    digits = F.regexp_replace(F.replace(trimmed, F.lit(","), F.lit("")), zero_tail, "$1")
+    cleaned = F.when(trimmed.contains(",") | trimmed.contains("."), strip(digits)).otherwise(trimmed)
+    return F.nullif(cleaned, F.lit(""))
 
 
 def staged_key(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """Key of the staging joins: commas out, and the text before the first dot
     where the digits up to the next dot are all zeros (``1.0.5`` gives ``1``)."""
+    if is_number(dtype):
+        return number_text(c, dtype)
     return _clean_key(plain_text(c, dtype), r"(?s)^([^.]*)\.0*(?:\..*)?\z")
 
 
 def hold_key(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """Key of the on-hold join: nullish is NULL, commas out, an all-zero tail out
     (``1.0.5`` stays)."""
-    text = c.cast("string") if not is_floating(dtype) else number_text(c, dtype)
-    return F.when(~is_nullish(c, dtype), _clean_key(text, r"(?s)^([^.]*)\.0*\z"))
+    if isinstance(dtype, T.IntegralType) or is_floating(dtype):
+        return number_text(c, dtype)
+    return F.when(~is_nullish(c, dtype), _clean_key(c.cast("string"), r"(?s)^([^.]*)\.0*\z"))
 
 
 def without_line_breaks(c: Column) -> Column:

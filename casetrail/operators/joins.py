@@ -58,14 +58,25 @@ def lookup(
     prefix: str = "",
     suffix: str = "",
     null_match: bool = False,
+    complete: bool = False,
 ) -> DataFrame:
     """Left join that brings in ``columns`` of the right side, renaming only those that clash.
 
     ``on`` pairs a left key with a right key. Duplicate right keys fan out; deduplicate the
-    right side first where they must not.
+    right side first where they must not. ``complete`` says that no left key is NULL: the join
+    then shuffles by the left columns themselves, so a table already partitioned by them stays put.
     """
     chosen = list(columns) if columns is not None else list(right.columns)
     names = clash_names(left.columns, chosen, prefix, suffix)
+    if complete:
+        brought = right.select(
+            *[F.col(quoted(r)).alias(l) for l, r in on],
+            *[F.col(quoted(c)).alias(names[c]) for c in chosen if c not in [l for l, _ in on]],
+        )
+        return left.join(brought, [l for l, _ in on], "left").select(
+            *[F.col(quoted(c)) for c in left.columns],
+            *[F.col(quoted(c)) for c in brought.columns if c not in [l for l, _ in on]],
+        )
     keys = [f"__lookup_key_{i}" for i in range(len(on))]
     brought = right.select(
         *[F.col(quoted(r)).alias(k) for k, (_, r) in zip(keys, on, strict=True)],

@@ -118,7 +118,11 @@ def current_statuses(statuses: DataFrame) -> DataFrame:
 
 
 def _joined_dispositions(t: DispositionTables) -> DataFrame:
-    """Transactions with unit, disposition and current status, milestones and type names."""
+    """Transactions with unit, disposition and current status, milestones and type names.
+
+    Statuses and milestones are joined by the same key, one after the other, and the rows stay
+    partitioned by it up to the final DISTINCT, which needs no shuffle of its own.
+    """
     key = "DISPOSITION_TRANSACTION_SID"
     status = current_statuses(t.statuses).select(
         key, "CODE_CHR_STATUS", "CODE_CHR_STAGE", "CODE_CHR_REASON", "EFFECTIVE_DAT"
@@ -129,7 +133,8 @@ def _joined_dispositions(t: DispositionTables) -> DataFrame:
         .join(t.dispositions.select("DISPOSITION_SID", "ACTIVATION_CDE", "FILE_CHR"), "DISPOSITION_SID")
         .join(status, key)
     )
-    rows = lookup(rows, latest_milestones(t.tasks, key, MILESTONES), [(key, key)], columns=MILESTONES)
+    milestones = latest_milestones(t.tasks, key, MILESTONES)
+    rows = lookup(rows, milestones, [(key, key)], columns=MILESTONES, complete=True)
     rows = decode(rows, t.types, [("TYPE_SID", "TYPE_SID")], {"TYPE_NME": "TYPE_NME"})
     rows = decode(rows, t.subtypes, [("TYPE_SID", "TYPE_SID"), ("SUBTYPE_SID", "SUBTYPE_SID")],
                   {"SUBTYPE_NME": "SUBTYPE_NME"})

@@ -44,7 +44,7 @@ def land_staging(dispositions: DataFrame, applications: DataFrame, authorization
         key, staged_key(*column_of(dispositions, "DISPOSITION_TRANSACTION_SID"))
     ).filter(F.col(key).isNotNull())
     rows = lookup(rows, one_per_key(applications, "BUSINESSAREANUMBER", APPLICATION_COLUMNS, key),
-                  [(key, key)], columns=APPLICATION_COLUMNS, prefix=APPLICATION_PREFIX)
+                  [(key, key)], columns=APPLICATION_COLUMNS, prefix=APPLICATION_PREFIX, complete=True)
     rows = rows.withColumn(auth_key, staged_key(*column_of(rows, "ATSAUTHORIZATIONNUMBER")))
     rows = lookup(rows, one_per_key(authorizations, "AUTHORIZATION_ID", AUTHORIZATION_COLUMNS, auth_key),
                   [(auth_key, auth_key)], columns=AUTHORIZATION_COLUMNS, prefix=AUTHORIZATION_PREFIX)

@@ -74,7 +74,7 @@ MIXED_LINES = """
 SELECT event_id, CASE event_id % 3 WHEN 0 THEN props WHEN 1 THEN '  ' ELSE 'no ' || props END AS value FROM {events}"""
 
 
-@query("SELECT event_id, props AS value FROM events WHERE event_id % 3 = 0")
+@query(with_shapes("SELECT event_id, value FROM lines WHERE trim(value) LIKE '{%'", lines=MIXED_LINES))
 def sendable_lines(t):
     return delivery.sendable_lines(t.shape(MIXED_LINES))
 
