@@ -53,7 +53,7 @@ def number_text(c: Column, dtype: T.DataType) -> Column:
     """Digits of a number: no exponent, no zeros after the last decimal that counts."""
     if isinstance(dtype, T.IntegralType):
         return c.cast("string")
-    digits = c.cast(_EXACT_DOUBLE_DIGITS).cast("string") if is_floating(dtype) else c.cast("string")
+    digits = c.try_cast(_EXACT_DOUBLE_DIGITS).cast("string") if is_floating(dtype) else c.cast("string")
     shortened = F.regexp_replace(digits, r"^(-?\d+)(?:\.0*|(\.\d*[1-9])0*)$", "$1$2")
     return F.coalesce(shortened, c.cast("string"))
 

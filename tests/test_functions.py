@@ -55,6 +55,12 @@ def test_number_text(spark):
     ]
 
 
+def test_doubles_out_of_reach_do_not_fail(spark):
+    values = [1e300, float("nan"), float("inf"), None]
+    for make in (text.number_text, text.attribute_text, text.hold_key, numbers.to_number, numbers.whole_number_text):
+        assert len(apply(spark, make, values, "double")) == len(values)
+
+
 def test_attribute_text(spark):
     assert apply(spark, text.attribute_text, [12.0, 0.5], "double") == ["12.0", "0.5"]
     assert apply(spark, text.attribute_text, [True, False, None], "boolean") == ["True", "False", None]
