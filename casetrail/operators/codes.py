@@ -50,20 +50,34 @@ def resolve_codes(rule: Rule, lifecycle: Mapping[str, Any]) -> tuple[list[str],
     return [UNKNOWN_CODE], {}
 
 
+def _quoted(text: str | None) -> str:
+    """SQL literal of a text."""
+    if text is None:
+        return "CAST(NULL AS STRING)"
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
+def _block(code: str, display: str, code_set: list[str], code_system: str, extra: Mapping[str, str | None]) -> Column:
+    """Literal struct, as one SQL expression: rule sets run to hundreds of rules, and a call per
+    literal would make building the plan slow."""
+    fields = {
+        "code": _quoted(code),
+        "code_display": _quoted(display),
+        "code_set": f"array({', '.join(_quoted(c) for c in code_set)})",
+        "code_system": _quoted(code_system),
+        **{name: _quoted(value) for name, value in extra.items()},
+    }
+    return F.expr(f"named_struct({', '.join(f'{_quoted(name)}, {value}' for name, value in fields.items())})")
+
+
 def process_block(rule: Rule, lifecycle: Mapping[str, Any], code_system: str) -> Column:
     """Literal struct that names the process step."""
     codes, status = resolve_codes(rule, lifecycle)
-    fields = [
-        F.lit(codes[-1]).alias("code"),
-        F.lit(display_name(codes[-1])).alias("code_display"),
-        F.array(*[F.lit(c) for c in codes]).alias("code_set"),
-        F.lit(code_system).alias("code_system"),
-    ]
+    extra = {}
     for target, spellings in STATUS_FIELDS.items():
         value = next((status[s] for s in spellings if status.get(s)), None)
-        text = None if literal_is_nullish(value) else str(value)
-        fields.append(F.lit(text).cast("string").alias(target))
-    return F.struct(*fields)
+        extra[target] = None if literal_is_nullish(value) else str(value)
+    return _block(codes[-1], display_name(codes[-1]), codes, code_system, extra)
 
 
 def coding_block(rule: Rule, code_map: Mapping[str, Any], code_system: str) -> Column:
@@ -72,9 +86,4 @@ def coding_block(rule: Rule, code_map: Mapping[str, Any], code_system: str) -> C
     display = info.get("code_display") if isinstance(info, Mapping) else None
     if not display or literal_is_nullish(display):
         display = display_name(rule.code)
-    return F.struct(
-        F.lit(rule.code).alias("code"),
-        F.lit(str(display)).alias("code_display"),
-        F.array(F.lit(rule.code)).alias("code_set"),
-        F.lit(code_system).alias("code_system"),
-    )
+    return _block(rule.code, str(display), [rule.code], code_system, {})

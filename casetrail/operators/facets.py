@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass, field
+from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -30,19 +31,33 @@ class Facets:
 
     schema: T.StructType
     layers: tuple[dict[str, Column], ...] = field(default_factory=lambda: ({}, {}, {}))
+    attributes: dict[str, Attribute] = field(default_factory=dict)
+    handles: dict[str, Column] = field(default_factory=dict)
+    compiled: dict[str, Any] = field(default_factory=dict)
 
     def attribute(self, name: str) -> Attribute:
-        found = find_field(self.schema, name)
-        if found is None:
-            return Attribute(self, name, F.lit(None).cast("string"), T.NullType())
-        return Attribute(self, found.name, F.col(quoted(found.name)), found.dataType)
+        if name.lower() not in self.attributes:
+            found = find_field(self.schema, name)
+            if found is None:
+                made = Attribute(self, name, F.lit(None).cast("string"), T.NullType())
+            else:
+                made = Attribute(self, found.name, F.col(quoted(found.name)), found.dataType)
+            self.attributes[name.lower()] = made
+        return self.attributes[name.lower()]
+
+    def once(self, key: str, make: Callable[[], Any]) -> Any:
+        """Result of ``make``, kept: rule sets repeat the same tests many times."""
+        if key not in self.compiled:
+            self.compiled[key] = make()
+        return self.compiled[key]
 
     def share(self, name: str, make: Callable[[], Column], layer: int = _TIMES) -> Column:
         """The helper column of that name, made on first use."""
         name = f"{_PREFIX}:{name}"
         if name not in self.layers[layer]:
             self.layers[layer][name] = make()
-        return F.col(quoted(name))
+            self.handles[name] = F.col(quoted(name))
+        return self.handles[name]
 
     def project(self, df: DataFrame) -> DataFrame:
         """The table with all helper columns asked for so far."""

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import json
 import operator
 import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
@@ -135,6 +136,11 @@ def _combine(parts: list[Check], stop_at: bool) -> Check:
 
 
 def compile_test(node: Mapping[str, Any], facets: Facets) -> Check:
+    """One test; equal tests of different rules share their column."""
+    return facets.once(json.dumps(node, sort_keys=True, default=str), lambda: _compile_test(node, facets))
+
+
+def _compile_test(node: Mapping[str, Any], facets: Facets) -> Check:
     op, name = node.get("op"), node.get("attr")
     if not op or not name:
         raise RuleError(f"a test needs 'op' and 'attr': {dict(node)!r}")

@@ -59,6 +59,14 @@ def test_record_fields_and_ids(spark):
     assert len({r["transaction_id"] for r in got}) == len(ids)
 
 
+def test_codes_with_quotes_and_backslashes(spark):
+    df = spark.createDataFrame([("1",)], "PERMIT_ID string")
+    odd = r"IT'S_A\n \"CODE\" é"
+    rules = parse_rules({"R": {"code_set": ["A", odd], "logic": ALWAYS}})
+    process = lines(event_sets.event_set(df, rules, SPEC))[0]["process_event_set"][0]["process"]
+    assert process["code"] == odd and process["code_set"] == ["A", odd]
+
+
 TIME_ROWS = [
     ("2020-01-02 10:00:00", "2020-01-01 09:00:00", {"start_date": "2020-01-02", "end_date": "2020-01-01"}),
     ("2020-01-02", "2020-13-01", {"start_datetime": "2020-01-02T00:00:00Z", "end_datetime": "2020-13-01T00:00:00Z"}),
