@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup
+from casetrail.llm import chat, decontaminate, exact_dedup, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -98,3 +98,28 @@ def op9_benchmark_decontamination(spark: SparkSession, folder: str) -> DataFrame
         F.sha2(F.concat_ws(",", "_leaks").cast("binary"), 256).alias("items_sha256"),
         (F.col("_n_hit") > 0).alias("contaminated"),
     )
+
+
+@query(
+    """
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 3 THEN [list_aggregate(w, 'string_agg', ' ')]
+    ELSE list_distinct([w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] FOR i IN range(1, len(w) - 1)]) END AS s FROM w
+), n AS (SELECT doc_id, len(s) AS n_shingles FROM s),
+e AS (SELECT doc_id, unnest(s) AS g FROM s),
+shared AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM e a JOIN e b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT x, y FROM shared JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 85 * (a.n_shingles + b.n_shingles - c)
+), sides AS (SELECT x, y FROM links UNION ALL SELECT y, x FROM links),
+reach AS (
+  WITH RECURSIVE r(x, y) AS (SELECT doc_id, doc_id FROM n UNION SELECT r.x, sides.y FROM r JOIN sides ON r.y = sides.x) SELECT * FROM r
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept
+FROM n JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) USING (doc_id)
+"""
+)
+def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_dedup.find_near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
