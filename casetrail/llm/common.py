@@ -39,6 +39,18 @@ def _has_folder(spark: SparkSession) -> bool:
     return False
 
 
+#: A side of a join is sent to every task only when it was measured to be below this.
+BROADCAST_BYTES = 32 << 20
+
+
+def sent_if_small(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
+    """The rows, written once and measured: marked for broadcast when they are below ``limit``, else left to be
+    shuffled."""
+    rows = cut(rows)
+    size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
+    return F.broadcast(rows) if size <= limit else rows
+
+
 def block_count(rows: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
     """How many blocks of about ``block_bytes`` the texts fill."""
     total = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0

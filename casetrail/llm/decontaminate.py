@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import lower_ascii
+from casetrail.llm.common import cut, lower_ascii, sent_if_small
 
 #: What stands between words, after A-Z are lower-cased: ASCII that is neither a digit nor a letter.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -42,7 +42,7 @@ def _spread_words(documents: DataFrame, text: str) -> DataFrame:
 def prefix_words(documents: DataFrame, windows: DataFrame, text: str = "text") -> DataFrame:
     """``word``, ``offset``, ``window``, ``items``: each window with its rarest word over all documents."""
     placed = windows.select("window", "items", F.posexplode("window").alias("offset", "word"))
-    vocabulary = placed.select("word").distinct()
+    vocabulary = sent_if_small(placed.select("word").distinct())
     counts = _spread_words(documents, text).join(vocabulary, "word").groupBy("word").count()
     rare = F.struct(F.coalesce("count", F.lit(0)).alias("count"), "word", "offset")
     first = placed.join(counts, "word", "left").groupBy("window").agg(F.min(rare).alias("rare"), F.first("items").alias("items"))
@@ -66,7 +66,8 @@ def find_leaks(
     null ids are no matter. Items without words occur nowhere; an item's null id counts for hits, but is not listed.
     All columns of ``documents`` stay; names that start with an underscore are taken.
     """
-    prefixes = prefix_words(documents, item_windows(items, item_id, item_text, length), text)
+    windows = cut(item_windows(items, item_id, item_text, length))
+    prefixes = sent_if_small(prefix_words(documents, windows, text))
     # Any key does that says the same for the same row: whatever else shares it is compared with its own words below.
     keyed = documents.withColumn("_key", F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text))))
     placed = keyed.select("_key", words(F.col(text)).alias("w")).select("_key", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
