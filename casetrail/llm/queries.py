@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup, near_dedup
+from casetrail.llm import chat, decontaminate, exact_dedup, language, near_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -123,3 +123,23 @@ FROM n JOIN (SELECT x AS doc_id, min(y) AS component_id FROM reach GROUP BY x) U
 )
 def op6_minhash_near_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return near_dedup.find_near_duplicates(table(spark, folder, "documents"), size=3, percent=85)
+
+
+@query()
+def op1_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document, its ``lang`` as the declared language and its ``source`` as the host."""
+    documents = table(spark, folder, "documents")
+    return language.identify(documents, "text", "lang", F.lower("source"), carried=["doc_id"])
+
+
+@query()
+def page_languages(spark: SparkSession, folder: str) -> DataFrame:
+    """Every page, with the declared language of its markup, its host and that host's suffix."""
+    pages = table(spark, folder, "pages")
+    read = pages.select(
+        "page_id",
+        F.regexp_extract("html", "(?i)<html[^>]*\\slang=[\"']?([A-Za-z-]+)", 1).alias("declared"),
+        "url",
+        F.regexp_replace("html", "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>|&[a-z]+;", " ").alias("text"),
+    )
+    return language.identify(read, "text", "declared", language.host_of(F.col("url")), carried=["page_id"])
