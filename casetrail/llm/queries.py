@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup, language, near_dedup
+from casetrail.llm import chat, decontaminate, exact_dedup, language, near_dedup, quality, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -143,3 +143,15 @@ def page_languages(spark: SparkSession, folder: str) -> DataFrame:
         F.regexp_replace("html", "(?is)<script.*?</script>|<style.*?</style>|<!--.*?-->|<[^>]*>|&[a-z]+;", " ").alias("text"),
     )
     return language.identify(read, "text", "declared", language.host_of(F.col("url")), carried=["page_id"])
+
+
+@query()
+def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return toxicity.score_toxicity(documents, toxicity.learn(documents, table(spark, folder, "labels")))
+
+
+@query()
+def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
+    documents = table(spark, folder, "documents")
+    return quality.score_quality(documents, quality.train(documents, table(spark, folder, "labels")))
