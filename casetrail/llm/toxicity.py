@@ -37,7 +37,7 @@ BEGINNINGS = (4, 5, 6)
 REACH = 3
 THRESHOLD = 0.5
 
-THREAT = frozenset("kill hurt destroy beat shoot stab burn die töten umbringen schlagen tuer frapper matar golpear".split())
+THREAT = frozenset("kill hurt destroy beat shoot burn murder töten umbringen schlagen tuer frapper matar golpear".split())
 TARGET = frozenset(
     "you your yours yourself u they them their he she his her du dich dein ihr euch sie tu toi ton vous votre ils elles "
     "tú usted ustedes vosotros ellos ellas".split()
