@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import cut
+from casetrail.llm.common import cut, locator
 from casetrail.llm.components import components
 from casetrail.llm.shingles import bands, set_key, shingle_set, sketch
 
@@ -25,10 +25,6 @@ from casetrail.llm.shingles import bands, set_key, shingle_set, sketch
 BINS, ROWS, WIDER = 125, 5, (10, 15, 20)
 
 
-def _locator(id: str, text: str) -> Column:
-    return F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text)))
-
-
 def _sketches(documents: DataFrame, id: str, text: str, size: int) -> DataFrame:
     """``doc_id``, ``at`` (locator), ``n``, ``key`` (of the shingle set), ``narrow`` and ``wide`` bands of each row."""
 
@@ -48,7 +44,7 @@ def _sketches(documents: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 ["doc_id", "at", "n", "key", "narrow", "wide"],
             )
 
-    rows = documents.select(F.col(id).cast("long").alias("doc_id"), _locator(id, text).alias("at"), F.col(text).cast("binary").alias("text"))
+    rows = documents.select(F.col(id).cast("long").alias("doc_id"), locator(id, text).alias("at"), F.col(text).cast("binary").alias("text"))
     return rows.mapInArrow(work, "doc_id long, at long, n long, key binary, narrow array<long>, wide array<long>")
 
 
@@ -65,7 +61,7 @@ def _sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, size: int
                     elements.append(hashes.tobytes())
             yield pa.RecordBatch.from_arrays([pa.array(keys, pa.binary()), pa.array(elements, pa.binary())], ["key", "elements"])
 
-    texts = documents.select(_locator(id, text).alias("at"), F.col(text).cast("binary").alias("text"))
+    texts = documents.select(locator(id, text).alias("at"), F.col(text).cast("binary").alias("text"))
     return texts.join(wanted, "at").select("key", "text").mapInArrow(work, "key binary, elements binary").dropDuplicates(["key"])
 
 

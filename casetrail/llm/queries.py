@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup, language, near_dedup, quality, toxicity
+from casetrail.llm import chat, decontaminate, exact_dedup, language, near_dedup, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -155,3 +155,21 @@ def op2_toxicity(spark: SparkSession, folder: str) -> DataFrame:
 def op7_quality_classifier(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     return quality.score_quality(documents, quality.train(documents, table(spark, folder, "labels")))
+
+
+@query(
+    """
+WITH w AS (
+  SELECT doc_id, list_filter(string_split_regex(coalesce(text, ''), '[\\x20\\x09-\\x0D]+'), lambda x: x <> '') AS w FROM documents
+), s AS (
+  SELECT doc_id, i, list_aggregate(w[i:i + 12], 'string_agg', ' ') AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 11)) AS i FROM w WHERE len(w) >= 13)
+), first AS (SELECT g, min(doc_id) AS least FROM s GROUP BY g),
+gone AS (SELECT DISTINCT doc_id, unnest(range(i, i + 13)) AS p FROM s JOIN first USING (g) WHERE least < doc_id),
+words AS (SELECT doc_id, unnest(w) AS word, unnest(range(1, len(w) + 1)) AS p FROM w),
+kept AS (SELECT doc_id, string_agg(word, ' ' ORDER BY p) AS t, count(*) AS n FROM words ANTI JOIN gone USING (doc_id, p) GROUP BY doc_id)
+SELECT doc_id, len(w) AS n_words, len(w) - coalesce(n, 0) AS n_removed, sha256(coalesce(t, '')) AS kept_sha256
+FROM w LEFT JOIN kept USING (doc_id)
+"""
+)
+def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept_text")
