@@ -1,11 +1,13 @@
 """Near-duplicate groups: fast similarity sketches, banding, and verification on full shingle sets.
 
 Texts with equal shingle sets are one class, so that copies meet no further. Classes that share a band of their
-sketches are candidates. A bucket isn't expanded into pairs: first each member meets the bucket's centre alone (the
-class with the most copies), in buckets of several widths; then, since a member may be like another one without being
-like the centre, members that are still in another component than their centre meet the rest of their bucket. Every
-link is confirmed on the full sets. What share a band but no component after that has been compared, so that no link
-between candidates is lost. A pair at the threshold shares no band with a probability of about 4e-7.
+sketches are candidates. A bucket isn't expanded into pairs. First each member meets the bucket's centre alone (the
+class with the most copies), in buckets of several widths. Then there are strays: members in another component than
+their centre, which may still be like some other member. Written as what it inserts into the centre and what it
+deletes from it, a stray that is like another member must share with it either an inserted shingle, or, where both
+insert few, a deleted one; so these two meet on what they share, and only where the counts allow for a link. Every link
+is confirmed on the full sets, and no link between candidates is lost. A pair at the threshold shares no band with a
+probability of about 4e-7.
 """
 
 from __future__ import annotations
@@ -98,6 +100,67 @@ def _central(members: DataFrame, percent: int) -> DataFrame:
     return met.select(F.greatest("key", "c.key").alias("u"), F.least("key", "c.key").alias("v")).distinct()
 
 
+def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """For pairs of a ``centre`` and a ``key``: what the key's set inserts and deletes (``element``, ``inserted``), and
+    how many of each."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, elements, kinds, ins, dels = [], [], [], [], []
+            for at, (x, y) in enumerate(zip(batch["x"].to_pylist(), batch["y"].to_pylist())):
+                x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
+                more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
+                size = len(more) + len(less)
+                rows.append(np.full(size, at))
+                elements.append(np.concatenate([more, less]).view(np.int64))
+                kinds.append(np.arange(size) < len(more))
+                ins.append(np.full(size, len(more)))
+                dels.append(np.full(size, len(less)))
+            if rows:
+                whole = batch.select(["centre", "key", "n", "component", "stray"]).take(pa.array(np.concatenate(rows)))
+                yield pa.RecordBatch.from_arrays(
+                    [*whole.columns, *(pa.array(np.concatenate(c)) for c in (elements, kinds, ins, dels))],
+                    ["centre", "key", "n", "component", "stray", "element", "inserted", "ins", "dels"],
+                )
+
+    left = sets.select(F.col("key").alias("centre"), F.col("elements").alias("x"))
+    both = pairs.join(sets.withColumnRenamed("elements", "y"), "key").join(left, "centre")
+    schema = "centre binary, key binary, n long, component binary, stray boolean, element long, inserted boolean, ins long, dels long"
+    return both.select("centre", "key", "n", "component", "stray", "x", "y").mapInArrow(work, schema)
+
+
+def _stray_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) that may be linked, of a bucket's strays with its other members.
+
+    With c the centre, I and E the numbers inserted and deleted, and T the largest number of shingles that linked sets
+    of these sizes may differ in: x and y are linked if they share at least (I_x + E_x + I_y + E_y - T) / 2 of what they
+    insert or delete. At most min(E_x, E_y) of that are deleted ones, so at least the rest is inserted by both. Where
+    that rest is 0 or less, I_x + I_y + |E_x - E_y| <= T, and some deleted one may do: as x is not like c, I_x + E_x is
+    beyond what sets of these sizes may differ in, so they share something.
+    """
+    centres = placed.groupBy("band").agg(F.max(F.struct("copies", "key", "component")).alias("c")).select(
+        "band", F.col("c.key").alias("centre"), F.col("c.component").alias("main")
+    )
+    groups = placed.join(centres, "band").filter(F.col("key") != F.col("centre")).select(
+        "centre", "key", "n", "component", (F.col("component") != F.col("main")).alias("stray")
+    ).distinct()
+    open_ = groups.groupBy("centre").agg(F.count("*").alias("others"), F.max("stray").alias("any")).filter("any AND others > 1")
+    parts = cut(_differences(groups.join(open_.select("centre"), "centre"), sets))
+
+    x = parts.filter("stray").select("centre", "element", "inserted", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "component", "ins", "dels")])
+    y = parts.select("centre", "element", "inserted", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "component", "stray", "ins", "dels")])
+    apart = F.floor((F.col("x_n") + F.col("y_n")) * (100 - percent) / (100 + percent))
+    slack = apart - F.col("x_ins") - F.col("y_ins") - F.abs(F.col("x_dels") - F.col("y_dels"))
+    once = ~F.col("y_stray") | (F.col("x_key") < F.col("y_key"))
+    allowed = (F.col("x_component") != F.col("y_component")) & once & _close(F.col("x_n"), F.col("y_n"), percent) & (F.col("inserted") | (slack >= 0))
+    met = x.join(y, ["centre", "element", "inserted"]).filter(allowed)
+    shared = met.groupBy("centre", "x_key", "y_key").agg(
+        F.count(F.when(F.col("inserted"), 1)).alias("both"), F.max(slack).alias("slack")
+    )
+    enough = shared.filter(2 * F.col("both") + F.col("slack") >= 0)
+    return enough.select(F.greatest("x_key", "y_key").alias("u"), F.least("x_key", "y_key").alias("v")).distinct()
+
+
 def near_groups(
     documents: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
@@ -120,12 +183,7 @@ def near_groups(
     joined = components(first)
 
     placed = members.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    centres = placed.groupBy("band").agg(F.max(F.struct("copies", "key", "component")).alias("c")).select("band", F.col("c.component").alias("main"))
-    strays = placed.join(centres, "band").filter("component <> main").select("band", F.col("key").alias("stray"), F.col("n").alias("m"), F.col("component").alias("own"))
-    others = placed.select("band", "key", "n", "component")
-    met = strays.join(others, (strays["band"] == others["band"]) & (F.col("own") != F.col("component")) & _close(F.col("n"), F.col("m"), percent))
-    rest = met.select(F.greatest("key", "stray").alias("u"), F.least("key", "stray").alias("v")).distinct()
-    second = _linked(rest.join(pairs, ["u", "v"], "left_anti"), sets, percent)
+    second = _linked(_stray_pairs(placed, sets, percent), sets, percent)
     whole = components(first.unionAll(second)).withColumnRenamed("node", "key")
     labelled = classes.select("key", "least").join(whole, "key", "left").withColumn("component", F.coalesce("component", "key"))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("least"))

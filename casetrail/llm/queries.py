@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup, language, near_dedup, quality, substrings, toxicity
+from casetrail.llm import chat, decontaminate, exact_dedup, language, lm_score, near_dedup, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -173,3 +173,8 @@ FROM w LEFT JOIN kept USING (doc_id)
 )
 def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return substrings.remove_repeats(table(spark, folder, "documents")).drop("kept_text")
+
+
+@query()
+def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
+    return lm_score.score_texts(table(spark, folder, "documents"))

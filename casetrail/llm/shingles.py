@@ -71,7 +71,5 @@ def bands(values: np.ndarray, rows: int) -> np.ndarray:
     """A hash for each run of ``rows`` coordinates, that also tells the band and the number of rows."""
     count = len(values) // rows
     grid = values[: count * rows].reshape(count, rows)
-    out = np.arange(count, dtype=np.uint64) * _B + np.uint64(rows)
-    for k in range(rows):
-        out = mixed(out + mixed(grid[:, k] + np.uint64((k + 1) << 40)))
-    return out
+    placed = mixed(grid + np.arange(1, rows + 1, dtype=np.uint64) * _B).sum(axis=1, dtype=np.uint64)
+    return mixed(placed + np.arange(count, dtype=np.uint64) * _C + np.uint64(rows))
