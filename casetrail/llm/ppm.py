@@ -18,7 +18,7 @@ from dataclasses import dataclass
 
 import numpy as np
 
-ORDER = 5
+ORDER = 4
 DISCOUNT = 0.25
 #: Beginnings of this many bytes to this many symbols are contexts of their own.
 STEM, DEEPEST = 4, 64
