@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup, language, lm_score, near_dedup, quality, substrings, toxicity
+from casetrail.llm import chat, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -178,3 +178,11 @@ def op4_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
 @query()
 def op3_lm_scoring(spark: SparkSession, folder: str) -> DataFrame:
     return lm_score.score_texts(table(spark, folder, "documents"))
+
+
+@query()
+def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's pieces, and whether decoding them gives its text (but for the space mark) back."""
+    documents = table(spark, folder, "documents")
+    encoded = pieces.encode_texts(documents, pieces.load_model(pieces.default_model()))
+    return encoded.select("doc_id", "n_pieces", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
