@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -19,24 +20,29 @@ def lower_ascii(text: Column) -> Column:
     return F.when(text.rlike("[^\\x00-\\x7F]"), F.translate(text, UPPER, LOWER)).otherwise(F.lower(text))
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder of ``spark.checkpoint.dir``. Only a local session without that setting, as in tests, gets its own."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is None:
+        named = spark.conf.get("spark.checkpoint.dir", None)
+        # A session on one machine: "local", "local[8]", not "local-cluster[...]".
+        if not named and not context.master.partition("[")[0] == "local":
+            raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
+        context.setCheckpointDir(named or tempfile.mkdtemp(prefix="casetrail-checkpoint-"))
+    return context.getCheckpointDir()
+
+
 def cut(rows: DataFrame) -> DataFrame:
-    """Rows written once to the shared checkpoint folder, so that a lost executor repeats nothing before them."""
-    spark = rows.sparkSession
-    if not _has_folder(spark):
-        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="casetrail-checkpoint-"))
+    """Rows written once to the shared folder, so that a lost executor repeats nothing before them."""
+    shared_folder(rows.sparkSession)
     return rows.checkpoint(eager=True)
 
 
-def _has_folder(spark: SparkSession) -> bool:
-    if spark.sparkContext.getCheckpointDir() is not None:
-        return True
-    named = spark.conf.get("spark.checkpoint.dir", None)
-    if named:
-        spark.sparkContext.setCheckpointDir(named)
-        return True
-    if not spark.sparkContext.master.startswith("local"):
-        raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    return False
+def stored(rows: DataFrame, name: str) -> DataFrame:
+    """Rows written as Parquet to a new place in the shared folder, and read again."""
+    path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
+    rows.write.parquet(path)
+    return rows.sparkSession.read.parquet(path)
 
 
 #: A side of a join is sent to every task only when it was measured to be below this.

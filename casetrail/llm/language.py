@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import cut
+from casetrail.llm.common import cut, sent_if_small
 
 BITS = 15
 LEAST_SHARE = 0.005
@@ -216,3 +216,13 @@ def identify(
         F.when(silent, UNKNOWN).otherwise(best_of(F.col("_ll"))).alias("text_language"),
         (~silent & (F.col("_best") >= LEAST_PROBABILITY)).alias("accepted"),
     )
+
+
+def keep_identified(rows: DataFrame, id: str = "doc_id", text: str = "text", declared: str | None = "lang", host: Column | None = None) -> DataFrame:
+    """The rows whose language is accepted, with all their columns; of rows that share id and text all or none."""
+    named = rows.withColumn("_row", F.xxhash64(F.col(text)))
+    judged = identify(named.select(id, text, "_row", *([declared] if declared else []), *([] if host is None else [host.alias("_site")])),
+                      text, declared, None if host is None else F.col("_site"), carried=[id, "_row"])
+    gone = sent_if_small(judged.filter("NOT accepted").select(F.col(id).alias("_gone_id"), F.col("_row").alias("_gone_row")).distinct())
+    same = F.col(id).eqNullSafe(F.col("_gone_id")) & F.col("_row").eqNullSafe(F.col("_gone_row"))
+    return named.join(gone, same, "left_anti").select(*[F.col(c) for c in rows.columns])
