@@ -1,4 +1,4 @@
-"""Helpers shared by the operators: input columns, ASCII case, text blocks and lineage cuts."""
+"""Helpers shared by the operators: ASCII case, lineage cuts and checked broadcasts."""
 
 from __future__ import annotations
 
@@ -11,9 +11,6 @@ from pyspark.sql import functions as F
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 LOWER = UPPER.lower()
 
-#: Bytes of text that one block holds on average; a block is what one Python call works on.
-BLOCK_BYTES = 24 << 20
-
 
 def lower_ascii(text: Column) -> Column:
     """Lower-cases A-Z alone. ``lower`` is quicker, and the same where there is nothing but ASCII."""
@@ -55,25 +52,3 @@ def sent_if_small(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     rows = cut(rows)
     size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
     return F.broadcast(rows) if size <= limit else rows
-
-
-def block_count(rows: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
-    """How many blocks of about ``block_bytes`` the texts fill."""
-    total = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    return max(1, -(-total // block_bytes))
-
-
-def locator(id: str, text: str) -> Column:
-    """A number to find a row by: its id, or a hash of its text where it has none."""
-    return F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text)))
-
-
-def in_blocks(rows: DataFrame, id: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
-    """``block``, ``id`` and ``raw`` (the text's bytes) of every row, dealt by a hash into blocks that grow in number
-    with the texts, not in size."""
-    blocks = block_count(rows, text, block_bytes)
-    return rows.select(
-        F.pmod(F.xxhash64(locator(id, text), F.lit("block")), F.lit(blocks)).cast("int").alias("block"),
-        F.col(id).cast("long").alias("id"),
-        F.col(text).cast("binary").alias("raw"),
-    )

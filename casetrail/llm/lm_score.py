@@ -21,7 +21,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import cut, in_blocks
+from casetrail.llm.blocks import in_blocks, unpacked
+from casetrail.llm.common import cut
 from casetrail.llm.labelled import held_out
 from casetrail.llm.ppm import ORDER, STEM, Trie, counted
 
@@ -133,8 +134,9 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
 
     def ask(block: pa.Table) -> pa.Table:
         own: set[bytes] = set()
-        for raw in block["raw"].to_pylist():
-            own.update((raw or b"").lower().split())
+        for table in unpacked(block["blob"]):
+            for raw in table["raw"].to_pylist():
+                own.update((raw or b"").lower().split())
         return pa.table({"word": pa.array(sorted(own), pa.binary()), "block": pa.array([block["block"][0].as_py()] * len(own), pa.int32())})
 
     answers = blocks.applyInArrow(ask, "word binary, block int").join(coded, "word").select("block", "word", "c", "ll")
@@ -144,7 +146,8 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
         c, ll = known["c"].to_numpy(), known["ll"].to_numpy()
         base, seen = np.log10((c + 0.5) / floor), c > 0
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
-        for raw in block["raw"].to_pylist():
+        table = pa.concat_tables(unpacked(block["blob"]))
+        for raw in table["raw"].to_pylist():
             words, empty, spaces = _pieces(raw)
             k = np.fromiter(map(at.__getitem__, words), dtype=np.int64, count=len(words))
             out["n_tokens"].append(len(words) + 1)
@@ -152,7 +155,7 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
             out["base_score"].append(float(base[k].sum() + np.log10((ends + 0.5) / floor)))
             out["score"].append(float(ll[k].sum() + empty * empty_word + np.array([*spaces, 1]) @ after))
         return pa.table({
-            "id": block["id"], "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
+            "id": table["id"], "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
             "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64()),
         })
 

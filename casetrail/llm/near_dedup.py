@@ -19,7 +19,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import cut, locator
+from casetrail.llm.blocks import locator
+from casetrail.llm.common import cut
 from casetrail.llm.components import components
 from casetrail.llm.shingles import bands, set_key, shingle_set, sketch
 

@@ -26,7 +26,7 @@ class MinimalPerfectHash:
     """
 
     def __init__(self, digests: np.ndarray, room: float = 2.0) -> None:
-        words = digests.view(np.uint64).reshape(len(digests), -1)
+        words = digests.view(np.uint64).reshape(len(digests), digests.shape[1] // 8)
         self.size = len(words)
         self.levels: list[tuple[np.ndarray, np.ndarray]] = []
         taken = 0
@@ -40,7 +40,7 @@ class MinimalPerfectHash:
 
     def slots(self, digests: np.ndarray) -> np.ndarray:
         """The slot of each digest; a digest that was never put in gets any slot, or -1."""
-        words = digests.view(np.uint64).reshape(len(digests), -1)
+        words = digests.view(np.uint64).reshape(len(digests), digests.shape[1] // 8)
         out = np.full(len(words), -1, dtype=np.int64)
         open_ = np.arange(len(words))
         for level, (own, rank) in enumerate(self.levels):

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import block_count, locator
+from casetrail.llm.blocks import in_blocks, pack_by_block, unpacked
 
 MARK = "▁"
 PIECE_COST = 1e6
@@ -191,33 +191,6 @@ def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST)
     return folded.unionAll(rest)
 
 
-def _packed(table: pa.Table) -> bytes:
-    sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
-        out.write_table(table)
-    return sink.getvalue().to_pybytes()
-
-
-def _unpacked(blobs: pa.ChunkedArray) -> Iterator[pa.Table]:
-    for blob in blobs:
-        with pa.ipc.open_stream(blob.as_py()) as read:
-            yield read.read_all()
-
-
-def _pack_by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows of each block, of each batch, as one compressed value."""
-    for batch in batches:
-        if not batch.num_rows:
-            continue
-        table = pa.Table.from_batches([batch])
-        block = table["block"].to_numpy()
-        order = np.argsort(block, kind="stable")
-        names, first = np.unique(block[order], return_index=True)
-        table = table.drop(["block"]).take(pa.array(order))
-        blobs = [_packed(table.slice(a, b - a)) for a, b in zip(first, [*first[1:], len(order)])]
-        yield pa.RecordBatch.from_arrays([pa.array(names.astype(np.int32)), pa.array(blobs, pa.binary())], ["block", "blob"])
-
-
 def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "text", piece_cost: float = PIECE_COST) -> DataFrame:
     """The id, ``ids``, ``n_pieces`` and ``decoded`` (the text made from the ids) of every row.
 
@@ -225,19 +198,13 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
     space, as the format does not tell them apart; all else comes back as it was. Repeated rows are encoded each.
     Other columns are not looked at; an empty table gives no rows.
     """
-    blocks = block_count(documents, text, BLOCK_BYTES)
-    rows = documents.select(
-        F.pmod(F.xxhash64(locator(id, text), F.lit("pieces")), F.lit(blocks)).cast("int").alias("block"),
-        F.col(id).cast("long").alias("id"),
-        F.col(text).alias("text"),
-    )
-    by_block = rows.mapInArrow(_pack_by_block, "block int, blob binary").groupBy("block")
+    by_block = in_blocks(documents, id, text, BLOCK_BYTES).groupBy("block")
     sent = documents.sparkSession.sparkContext.broadcast((neighbours(model), model.spelled))
 
     def ask(packed: pa.Table) -> pa.Table:
         joined, own = sent.value[0], set()
-        for table in _unpacked(packed["blob"]):
-            for x in table["text"].to_pylist():
+        for table in unpacked(packed["blob"]):
+            for x in table["raw"].cast(pa.string()).to_pylist():
                 own.update(units(x, joined))
         block = np.full(len(own), packed["block"][0].as_py(), dtype=np.int32)
         return pa.table({"unit": pa.array(sorted(own), pa.string()), "block": block})
@@ -249,7 +216,7 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
     def assemble(packed: pa.Table, known: pa.Table) -> pa.Table:
         joined, spelled = sent.value
         at, flat, sizes = {}, [], []
-        for table in _unpacked(known["blob"]):
+        for table in unpacked(known["blob"]):
             for u in table["unit"].to_pylist():
                 at[u] = len(at)
             flat.append(table["ids"].combine_chunks().flatten().to_numpy())
@@ -258,9 +225,9 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
         sizes = np.concatenate(sizes).astype(np.int64) if sizes else np.empty(0, dtype=np.int64)
         starts = np.cumsum(sizes) - sizes
         names, ids, texts = [], [], []
-        for table in _unpacked(packed["blob"]):
+        for table in unpacked(packed["blob"]):
             names += table["id"].to_pylist()
-            for x in table["text"].to_pylist():
+            for x in table["raw"].cast(pa.string()).to_pylist():
                 if x is None:
                     ids.append(None)
                     texts.append(None)
@@ -272,7 +239,7 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
                 texts.append(decode(own.tolist(), spelled))
         return pa.table({"id": pa.array(names, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())})
 
-    replies = answers.mapInArrow(_pack_by_block, "block int, blob binary")
+    replies = answers.mapInArrow(pack_by_block, "block int, blob binary")
     done = by_block.cogroup(replies.groupBy("block")).applyInArrow(assemble, "id long, ids array<int>, decoded string")
     return done.select(F.col("id").alias(id), "ids", F.coalesce(F.size("ids"), F.lit(0)).cast("long").alias("n_pieces"), "decoded")
 

@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import in_blocks
+from casetrail.llm.blocks import in_blocks, unpacked
 from casetrail.llm.shingles import run_hashes, word_hashes
 
 WINDOW = 13
@@ -43,7 +43,8 @@ def ladder(window: int, first: int = FIRST) -> list[int]:
 class Texts:
     """A block's documents in the order of their ids, their words in one array."""
 
-    def __init__(self, table: pa.Table) -> None:
+    def __init__(self, block: pa.Table) -> None:
+        table = pa.concat_tables(unpacked(block["blob"]))
         ids = table["id"].to_numpy(zero_copy_only=False) if not table["id"].null_count else table["id"].fill_null(NO_ID).to_numpy()
         order = np.argsort(ids, kind="stable")
         raw = table["raw"].to_pylist()
