@@ -19,9 +19,6 @@ WHITESPACE = (
 NULL_WORDS = ("null", "nat")
 LINE_BREAK_TAG = "<br>"
 
-# Doubles from here on are printed with an exponent, so their plain digits need a decimal detour.
-_EXACT_DOUBLE_DIGITS = T.DecimalType(38, 12)
-
 
 def strip(c: Column) -> Column:
     """Trim every kind of whitespace (Spark's own ``trim`` removes blanks only)."""
@@ -49,11 +46,23 @@ def blank_to_null(c: Column) -> Column:
     return F.nullif(F.trim(c.cast("string")), F.lit(""))
 
 
+def without_exponent(digits: Column) -> Column:
+    """The text of a number with its point moved to where the exponent says; other text as it is. No digit is lost."""
+    pattern = r"^([+-]?)(\d+)\.?(\d*)[eE]([+-]?\d{1,4})\z"
+    sign, whole, part = (F.regexp_extract(digits, pattern, k) for k in (1, 2, 3))
+    shift = F.regexp_extract(digits, pattern, 4).try_cast("int") + F.length(whole)
+    both = F.concat(whole, part)
+    left = F.when(shift > 0, F.rpad(F.left(both, shift), shift, F.lit("0"))).otherwise(F.lit("0"))
+    right = F.when(shift > 0, F.substring(both, shift + 1, F.length(both))).otherwise(F.concat(F.repeat(F.lit("0"), -shift), both))
+    moved = F.concat(sign, left, F.when(right != "", F.concat(F.lit("."), right)).otherwise(F.lit("")))
+    return F.when(digits.rlike(pattern), moved).otherwise(digits)
+
+
 def number_text(c: Column, dtype: T.DataType) -> Column:
     """Digits of a number: no exponent, no zeros after the last decimal that counts."""
     if isinstance(dtype, T.IntegralType):
         return c.cast("string")
-    digits = c.try_cast(_EXACT_DOUBLE_DIGITS).cast("string") if is_floating(dtype) else c.cast("string")
+    digits = without_exponent(c.cast("string"))
     shortened = F.regexp_replace(digits, r"^(-?\d+)(?:\.0*|(\.\d*[1-9])0*)$", "$1$2")
     return F.coalesce(shortened, c.cast("string"))
 

@@ -9,12 +9,17 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.text import strip
+
 # Which answers are worth another attempt, and the limits of trying.
 RETRY_STATUSES = (408, 429, 500, 502, 503, 504)
 AUTH_STATUSES = (401, 403)
 MAX_ATTEMPTS = 3
 BACKOFF_CAP_SECONDS = 10
 
+# A bare NaN or Infinity; inside a text the change is harmless, as only validity is asked for.
+_NO_NUMBER = r"(?<=[\[:,\s]|^)-?(?:NaN|Infinity)(?=[\]},\s]|$)"
+
 DELIVERED, FAILED, PENDING = "delivered", "failed", "pending"
 
 
@@ -76,10 +81,16 @@ def totals(decided: DataFrame) -> DataFrame:
     ])
 
 
+def parsed(line: Column) -> Column:
+    """A JSON text as a variant, NULL if it is none. NaN and Infinity are let through as null; of a repeated key the
+    last one counts (a setting of ``session.prepare``)."""
+    return F.try_parse_json(F.regexp_replace(line, _NO_NUMBER, "null"))
+
+
 def sendable_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines worth sending: not blank, and valid JSON."""
-    content = F.trim(F.col(column))
-    return lines.filter((content != "") & F.try_parse_json(content).isNotNull())
+    """Lines worth sending: not blank, and JSON as senders read it, with NaN, Infinity and repeated keys allowed."""
+    content = strip(F.col(column))
+    return lines.filter((content != "") & parsed(content).isNotNull())
 
 
 def error_bucket(decided: DataFrame, records: DataFrame) -> DataFrame:
@@ -97,7 +108,7 @@ def error_lines(bucket: DataFrame) -> DataFrame:
     """Error bucket as JSON lines, the record nested as an object."""
     return bucket.select(
         F.to_json(
-            F.struct("line_no", "record_id", "status_code", "error", F.parse_json("record").alias("record")),
+            F.struct("line_no", "record_id", "status_code", "error", parsed(F.col("record")).alias("record")),
             {"ignoreNullFields": "false"},
         ).alias("value")
     )

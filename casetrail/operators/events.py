@@ -168,16 +168,17 @@ def build_records(rows: DataFrame, spec: RecordSpec) -> DataFrame:
 def record_json(records: DataFrame, transaction_id: Column | None = None) -> DataFrame:
     """One JSON text per record. Absent fields are left out, an empty array stays,
     a numeric id is written without quotes."""
-    record_id_token = F.when(
-        F.col("record_id_is_number"), F.col("record_id").try_cast("decimal(38,0)").cast("variant")
-    ).otherwise(F.col("record_id").cast("variant"))
-    line = F.to_json(
-        F.struct(
-            (ids.time_ordered_uuid() if transaction_id is None else transaction_id).alias("transaction_id"),
-            "version", "kind", "system_id",
-            record_id_token.alias("record_id"),
-            "record_kind", "on_hold_event_set", "process_event_set",
-        )
+    before = F.to_json(F.struct(
+        (ids.time_ordered_uuid() if transaction_id is None else transaction_id).alias("transaction_id"),
+        "version", "kind", "system_id",
+    ))
+    quoted_id = F.to_json(F.struct("record_id"))
+    after = F.to_json(F.struct("record_kind", "on_hold_event_set", "process_event_set"))
+    # The digits of a number go into the text as they are: no type holds ids of every length.
+    own = F.when(F.col("record_id_is_number"), F.concat(F.lit('{"record_id":'), F.col("record_id"), F.lit("}"))).otherwise(quoted_id)
+    line = F.concat(
+        F.substring(before, 1, F.length(before) - 1), F.lit(","),
+        F.substring(own, F.lit(2), F.length(own) - 2), F.lit(","), F.substring(after, F.lit(2), F.length(after)),
     )
     return records.select("record_id", line.alias("value"))
 

@@ -1,10 +1,10 @@
 """Attaching on-hold periods to permits by a cleaned key.
 
 Hold rules run on the hold rows before anything is shuffled, so only rows that yield an event
-travel, and only with the event. A key is grouped in parts of bounded size: a key with more
-events than the bound gives several records with the same id, each a whole record, so no task
-ever gathers an unbounded group. Keys within the bound, all of them in ordinary data, give
-exactly one.
+travel, and only with the event. Each permit gives one record with the whole ordered list of
+its key's events: one shuffle by key serves the grouping and the join. A record is one JSON
+line, so its events have to meet in one task; ``matched_hold_events`` gives the same events as
+flat rows without gathering any.
 """
 
 from __future__ import annotations
@@ -16,9 +16,9 @@ from pyspark.sql import functions as F
 
 from ..functions.text import attribute_text, hold_key
 from ..schemas import column_of, find_field
-from .events import HOLD_EVENTS, PROCESS_EVENTS, RecordSpec, event_array, hold_events
+from .events import HOLD_EVENTS, RecordSpec, event_array, hold_events
 from .facets import Facets
-from .joins import left_join
+from .joins import spread_missing
 from .rules import Rule, match_column
 
 # Columns that may hold the authorization a permit belongs to, in order of trust,
@@ -36,8 +36,7 @@ HOLD_REASON_COLUMN = "ATHN_ON_HOLD_REASON_CODE"
 HOLD_START_COLUMN = "ON_HOLD_START_DATE"
 HOLD_ID_COLUMN = "AUTHORIZATION_ON_HOLD_ID"
 
-EVENTS_PER_RECORD = 50_000
-_KEY, _PART, _FIRST = "__hold_key", "__hold_part", "__hold_first"
+_KEY = "__hold_key"
 
 
 def permit_key(df: DataFrame, candidates: Sequence[str] = PERMIT_KEY_COLUMNS) -> Column:
@@ -72,47 +71,20 @@ def hold_event_rows(holds: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -
     )
 
 
-def grouped_holds(event_rows: DataFrame, events_per_record: int = EVENTS_PER_RECORD) -> DataFrame:
-    """Events per key, ordered by start text and then id text, in parts of bounded size.
-
-    Rows of a heavy key go to its parts by hash. The part of the smallest hash is its first one,
-    which surely has rows. The rows are dealt out by key and part, so the parts of one key are
-    gathered by different tasks.
-    """
-    place = F.xxhash64("started", "hold_id", "rule_pos", "event")
-    sizes = event_rows.groupBy(_KEY).agg(F.count("*").alias("n"), F.min(place).alias("smallest"))
-    parts = F.ceil(F.col("n") / events_per_record)
-    heavy = sizes.filter(F.col("n") > events_per_record).select(
-        _KEY, parts.alias("parts"), F.pmod("smallest", parts).alias("first_part")
-    )
-    part = F.coalesce(F.pmod(place, F.col("parts")), F.lit(0))
-    placed = event_rows.join(heavy, _KEY, "left").withColumns({
-        _PART: part,
-        _FIRST: part == F.coalesce("first_part", F.lit(0)),
-    }).drop("parts", "first_part")
+def grouped_holds(event_rows: DataFrame) -> DataFrame:
+    """All events of a key, ordered by start text and then id text."""
     ordered = F.array_sort(F.collect_list(F.struct("started", "hold_id", "rule_pos", "event")))
-    return (
-        placed.repartition(_KEY, _PART)
-        .groupBy(_KEY, _PART, _FIRST)
-        .agg(F.transform(ordered, lambda row: row["event"]).alias("on_hold_event_set"))
-        .drop(_PART)
-    )
+    return event_rows.groupBy(_KEY).agg(F.transform(ordered, lambda row: row["event"]).alias("on_hold_event_set"))
 
 
 def attach_holds(permits: DataFrame, grouped: DataFrame,
                  candidates: Sequence[str] = PERMIT_KEY_COLUMNS) -> DataFrame:
-    """Permits with their hold events; a permit without any gets an empty array.
-
-    ``process_event_set`` stays on the first part of a permit, so no event is repeated.
-    """
-    keyed = permits.withColumn(_KEY, permit_key(permits, candidates))
-    joined = left_join(keyed, grouped, [_KEY])
-    first = F.coalesce(F.col(_FIRST), F.lit(True))
-    own = F.col("process_event_set")
-    return joined.withColumns({
-        "on_hold_event_set": F.coalesce("on_hold_event_set", F.array().cast(HOLD_EVENTS)),
-        "process_event_set": F.when(first, own).otherwise(F.array().cast(PROCESS_EVENTS)),
-    }).drop(_KEY, _FIRST)
+    """Permits with their hold events; a permit without any gets an empty array."""
+    key = spread_missing(permit_key(permits, candidates))
+    joined = permits.withColumn(_KEY, key).join(grouped, _KEY, "left")
+    return joined.withColumn(
+        "on_hold_event_set", F.coalesce("on_hold_event_set", F.array().cast(HOLD_EVENTS))
+    ).drop(_KEY)
 
 
 def matched_hold_events(permits: DataFrame, event_rows: DataFrame, keep: Sequence[Column],

@@ -9,22 +9,26 @@ from pyspark.sql import functions as F
 
 from ..schemas import quoted
 
-_SPREAD = 64
 _SALT = "__null_salt"
 
 
+def spread_missing(key: Column) -> Column:
+    """A cleaned text key; where there is none, a filler that starts with a blank, as no cleaned key does, and
+    differs from row to row. Rows that can match nothing are so dealt over all tasks."""
+    return F.coalesce(key, F.concat(F.lit(" "), F.monotonically_increasing_id().cast("string")))
+
+
 def _null_salt(df: DataFrame, keys: Sequence[str]) -> Column:
-    """0 where the key is complete. Rows that can match nothing get 1 to 64 by a hash of the row
-    and so are dealt over many tasks; otherwise they would all meet in the partition of NULL."""
+    """0 where the key is complete. Rows that can match nothing get a running number, and so are dealt over as many
+    tasks as the shuffle has; otherwise they would all meet in the partition of NULL. No further column is read."""
     incomplete = F.greatest(*[F.col(quoted(k)).isNull() for k in keys], F.lit(False))
-    atoms = [F.col(quoted(f.name)) for f in df.schema.fields if f.dataType.typeName() not in ("map", "variant")]
-    return F.when(incomplete, F.pmod(F.xxhash64(*atoms), F.lit(_SPREAD)) + 1).otherwise(F.lit(0))
+    return F.when(incomplete, F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
 
 
 def _matching_salt(keys: Sequence[str]) -> Column:
-    """Always 0, worked out from the key: a literal would be folded into a filter, and the salt
-    would then no longer take part in the shuffle."""
-    return F.pmod(F.xxhash64(*[F.col(quoted(k)) for k in keys]), F.lit(1))
+    """0 for every row that can match."""
+    complete = F.least(*[F.col(quoted(k)).isNotNull() for k in keys], F.lit(True))
+    return F.when(complete, F.lit(0).cast("bigint"))
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], null_match: bool = False) -> DataFrame:

@@ -63,7 +63,11 @@ def parse_rules(raw: Mapping[str, Any], source: str | None = None) -> list[Rule]
     """Rules of a JSON object. With ``source``, rules of another source are left out;
     rules that name none always count."""
     rules = []
+    if not isinstance(raw, Mapping):
+        raise RuleError("rules must be a JSON object")
     for key, body in raw.items():
+        if not isinstance(body, Mapping):
+            raise RuleError(f"rule '{key}' must be a JSON object")
         named = body.get("source")
         if source and named and str(named).lower() != source.lower():
             continue
@@ -113,8 +117,12 @@ def match_column(rule: Rule, facets: Facets) -> Column:
 
 def compile_node(node: Mapping[str, Any], facets: Facets) -> Check:
     """A logic tree: ``and`` before ``or``, empty ``and`` true, empty ``or`` false."""
+    if not isinstance(node, Mapping):
+        raise RuleError(f"expected an object with 'and' or 'or', not {node!r}")
     for word, stop_at in (("and", False), ("or", True)):
         if word in node:
+            if not isinstance(node[word], list) or not all(isinstance(child, Mapping) for child in node[word]):
+                raise RuleError(f"'{word}' must list objects")
             parts = [
                 compile_node(child, facets) if {"and", "or"} & child.keys() else compile_test(child, facets)
                 for child in node[word]

@@ -28,7 +28,7 @@ def canonical(df: DataFrame, name: str, aliases: Sequence[str], table: str) -> D
     found = next((a for a in aliases if a in df.columns), None)
     if found is None:
         raise MissingColumn(
-            f"{table} missing required column '{name}'. Available columns: {', '.join(df.columns)}"
+            f"no column of {table} can serve as {name}; it has {', '.join(df.columns)}"
         )
     return df.withColumn(name, F.col(quoted(found)))
 

@@ -14,8 +14,7 @@ from ..operators.events import (
 )
 from ..operators.facets import Facets
 from ..operators.holds import (
-    EVENTS_PER_RECORD, PERMIT_KEY_COLUMNS, attach_holds, grouped_holds, hold_event_rows, hold_hits,
-    matched_hold_events,
+    PERMIT_KEY_COLUMNS, attach_holds, grouped_holds, hold_event_rows, hold_hits, matched_hold_events,
 )
 from ..operators.report import TOP_RULES, hit_report, rule_hits, run_summary
 from ..operators.rules import Rule, missing_columns
@@ -74,15 +73,14 @@ def event_set(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> Da
 
 
 def event_set_with_holds(permits: DataFrame, holds: DataFrame, rules: Ruleset, spec: RecordSpec,
-                         candidates: Sequence[str] = PERMIT_KEY_COLUMNS,
-                         events_per_record: int = EVENTS_PER_RECORD) -> DataFrame:
+                         candidates: Sequence[str] = PERMIT_KEY_COLUMNS) -> DataFrame:
     """Records with process events and the on-hold periods of the permit's authorization.
 
     Only the id, the system id, the key and the events cross the join.
     """
     keep = _columns(permits, (spec.id_column, spec.system_column, *candidates))
     rows = with_process_events(permits, rules.process, spec, keep)
-    grouped = grouped_holds(hold_event_rows(holds, rules.holds, spec), events_per_record)
+    grouped = grouped_holds(hold_event_rows(holds, rules.holds, spec))
     joined = attach_holds(rows, grouped, candidates)
     any_event = (F.size("process_event_set") + F.size("on_hold_event_set")) > 0
     return build_records(joined.filter(any_event), spec)
@@ -162,7 +160,7 @@ def run_job(spark: SparkSession, files: JobFiles, spec: RecordSpec, max_rows: in
     spec = replace(
         spec,
         lifecycle=config.read_map(spark, files.lifecycle),
-        hold_code_map=config.read_map(spark, files.hold_code_map),
+        hold_code_map=config.read_map(spark, files.hold_code_map, tolerant=True),
     )
     permits = tables.read_table(spark, files.permits, files.table_format)
     always = (spec.id_column, spec.system_column)

@@ -30,10 +30,16 @@ APPLICATION_PREFIX, AUTHORIZATION_PREFIX = "VFCBC_", "ATS_"
 LAND_SYSTEM_ID = "ITSM-6072"
 
 
-def one_per_key(df: DataFrame, key_column: str, columns: Sequence[str], key: str) -> DataFrame:
-    """Columns to bring in, one row per cleaned key; rows without a key are dropped."""
-    keyed = df.select(staged_key(*column_of(df, key_column)).alias(key), *columns)
-    return keep_any(keyed.filter(F.col(key).isNotNull()), [key])
+def one_per_key(df: DataFrame, key_column: str, columns: Sequence[str], key: str,
+                wanted: DataFrame | None = None) -> DataFrame:
+    """Columns to bring in, one row per cleaned key; rows without a key are dropped.
+
+    ``wanted`` has the keys that will be looked up: only their rows are sorted out.
+    """
+    keyed = df.select(staged_key(*column_of(df, key_column)).alias(key), *columns).filter(F.col(key).isNotNull())
+    if wanted is not None:
+        keyed = keyed.join(wanted.select(key).distinct(), key, "left_semi")
+    return keep_any(keyed, [key])
 
 
 def land_staging(dispositions: DataFrame, applications: DataFrame, authorizations: DataFrame,
@@ -43,7 +49,7 @@ def land_staging(dispositions: DataFrame, applications: DataFrame, authorization
     rows = dispositions.withColumn(
         key, staged_key(*column_of(dispositions, "DISPOSITION_TRANSACTION_SID"))
     ).filter(F.col(key).isNotNull())
-    rows = lookup(rows, one_per_key(applications, "BUSINESSAREANUMBER", APPLICATION_COLUMNS, key),
+    rows = lookup(rows, one_per_key(applications, "BUSINESSAREANUMBER", APPLICATION_COLUMNS, key, rows),
                   [(key, key)], columns=APPLICATION_COLUMNS, prefix=APPLICATION_PREFIX, complete=True)
     rows = rows.withColumn(auth_key, staged_key(*column_of(rows, "ATSAUTHORIZATIONNUMBER")))
     rows = lookup(rows, one_per_key(authorizations, "AUTHORIZATION_ID", AUTHORIZATION_COLUMNS, auth_key),

@@ -150,8 +150,8 @@ def _with_trusted_links(rows: DataFrame, links: DataFrame, null_match: bool) ->
     Both cases share one join: each link row is offered under its own authorization and under a
     wildcard. Only the small link table doubles; jobs and applications are read and joined once.
     """
-    own = numbers.to_number(*column_of(rows, "AUTHORIZATION_ID")).cast("string")
-    theirs = numbers.to_number(*column_of(links, "ATSAUTHORIZATIONNUMBER")).cast("string")
+    own = numbers.number_key(*column_of(rows, "AUTHORIZATION_ID"))
+    theirs = numbers.number_key(*column_of(links, "ATSAUTHORIZATIONNUMBER"))
     offered = links.withColumn(_LINK_KEY, text.key_text(*column_of(links, "ATSLINKID"))).withColumn(
         _LINK_AUTH, F.explode(F.array(theirs, F.lit(_ANY)))
     )
@@ -165,12 +165,12 @@ def _with_trusted_links(rows: DataFrame, links: DataFrame, null_match: bool) ->
 
 def _with_authorizations(rows: DataFrame, authorizations: DataFrame, null_match: bool) -> DataFrame:
     """Authorization by the job's own id if it is a number, else by the linked number."""
-    own = numbers.to_number(*column_of(rows, "AUTHORIZATION_ID"))
+    own = numbers.number_key(*column_of(rows, "AUTHORIZATION_ID"))
     keyed = authorizations.withColumn(
-        "AUTHORIZATION_ID", numbers.to_number(*column_of(authorizations, "AUTHORIZATION_ID"))
+        "AUTHORIZATION_ID", numbers.number_key(*column_of(authorizations, "AUTHORIZATION_ID"))
     )
     return lookup(
-        rows.withColumn(_AUTH_KEY, F.coalesce(own, numbers.to_number(*_authorization_number(rows)))),
+        rows.withColumn(_AUTH_KEY, F.coalesce(own, numbers.number_key(*_authorization_number(rows)))),
         keyed,
         [(_AUTH_KEY, "AUTHORIZATION_ID")],
         columns=keyed.columns, suffix=AUTHORIZATION_SUFFIX, null_match=null_match,

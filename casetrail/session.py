@@ -3,7 +3,6 @@
 from __future__ import annotations
 
 import posixpath
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -19,22 +18,17 @@ def prepare(spark: SparkSession) -> SparkSession:
     be read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", LARGEST_COMPILED_METHOD)
+    # Of a repeated key in a JSON text the last one counts, as most readers have it.
+    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``.
-
-    Only a local session without that setting gets a folder of its own.
-    """
-    configured = spark.conf.get("spark.checkpoint.dir", None)
-    if configured:
-        return configured
-    if not spark.sparkContext.master.startswith("local"):
+    """Folder every executor can reach: the cluster's ``spark.checkpoint.dir``."""
+    configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
+    if not configured:
         raise ValueError("spark.checkpoint.dir must name a folder that all executors share")
-    fallback = tempfile.mkdtemp(prefix="casetrail-")
-    spark.conf.set("spark.checkpoint.dir", fallback)
-    return fallback
+    return configured
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:

@@ -95,7 +95,7 @@ def test_tables_by_path_with_rebase(spark):
         assert tables.read_table(spark, path, rebase=mode).collect()[0]["x"] == 2
 
 
-def test_configuration_files(spark, tmp_path, monkeypatch):
+def test_configuration_files(spark, tmp_path):
     path = tmp_path / "rules.json"
     path.write_text(json.dumps({"R": {"logic": {"and": []}}}, indent=2), encoding="utf-8")
     assert [r.key for r in config.read_rules(spark, str(path))] == ["R"]
@@ -103,9 +103,16 @@ def test_configuration_files(spark, tmp_path, monkeypatch):
     listing = tmp_path / "list.json"
     listing.write_text("[1]", encoding="utf-8")
     assert config.read_map(spark, str(listing)) == {}
-    monkeypatch.setattr(config, "MAX_CONFIG_BYTES", 5)
-    with pytest.raises(ValueError, match="more than a configuration file"):
-        config.read_json(spark, str(path))
+    (tmp_path / "two").mkdir()
+    for name in "ab":
+        (tmp_path / "two" / name).write_text("{}")
+    with pytest.raises(ValueError, match="more than one file"):
+        config.read_json(spark, str(tmp_path / "two"))
+    broken = tmp_path / "broken.json"
+    broken.write_text("{")
+    assert config.read_map(spark, str(broken), tolerant=True) == {}
+    with pytest.raises(ValueError):
+        config.read_map(spark, str(broken))
 
 
 ATTEMPTS = {

@@ -5,7 +5,7 @@ from dataclasses import replace
 from pyspark.sql import functions as F
 
 from casetrail.operators.codes import process_block
-from casetrail.operators.events import RecordSpec, record_json
+from casetrail.operators.events import HOLD_EVENTS, PROCESS_EVENTS, RecordSpec, build_records, record_json
 from casetrail.operators.facets import Facets
 from casetrail.operators.holds import grouped_holds, hold_event_rows
 from casetrail.operators.report import run_summary
@@ -328,26 +328,36 @@ def ordered_holds_per_key(t):
     )
 
 
-PARTS_OF_FIVE = 5
-
-
 @query(permits_sql(
-    f"""SELECT CAST(PERMIT_ID AS VARCHAR) AS record_id, count(h.key) AS hold_events,
-        any_value(n) AS process_events
-    FROM times p LEFT JOIN hold_events h ON h.key = regexp_replace(trim(p.AUTHORIZATION_ID), '[.]0$', '')
-    LEFT JOIN (SELECT record_id, count(*) AS n FROM ({EVENTS_SQL}) GROUP BY record_id) x
-      ON x.record_id = CAST(PERMIT_ID AS VARCHAR)
-    GROUP BY PERMIT_ID HAVING count(h.key) > 0 OR any_value(n) IS NOT NULL""".replace(
-        "any_value(n) AS", "coalesce(any_value(n), 0) AS"),
+    """SELECT CAST(CAST(key AS BIGINT) % 3 AS VARCHAR) AS key, count(*) AS events,
+        string_agg(code || '@' || coalesce(start_datetime, start_date), '|' ORDER BY started, hold_id, rule_pos, code,
+            coalesce(start_datetime, start_date)) AS sequence
+    FROM hold_events GROUP BY ALL""",
     HOLD_EVENTS_CTE, holds=shapes.HOLDS))
-def heavy_keys_in_parts(t):
-    """Keys with more than five hold events are split over several records; every event is
-    still there exactly once per permit."""
-    records = event_sets.event_set_with_holds(permits(t), holds(t), RULESET, SPEC, events_per_record=PARTS_OF_FIVE)
-    return records.groupBy("record_id").agg(
-        F.sum(F.size("on_hold_event_set")).alias("hold_events"),
-        F.sum(F.size("process_event_set")).alias("process_events"),
+def heavy_keys_in_order(t):
+    """All holds under three keys: a key with a third of all rows keeps every event, in order, in one list."""
+    few = holds(t).withColumn("AUTHORIZATION_ID", F.col("AUTHORIZATION_ID") % 3)
+    grouped = grouped_holds(hold_event_rows(few, HOLD_RULES, SPEC))
+    step = F.transform("on_hold_event_set", lambda e: F.concat(
+        e["coding"]["code"], F.lit("@"), F.coalesce(e["event"]["start_datetime"], e["event"]["start_date"])))
+    return grouped.select(
+        F.col("__hold_key").alias("key"), F.size("on_hold_event_set").cast("bigint").alias("events"),
+        F.array_join(step, "|").alias("sequence"),
+    )
+
+
+@query("""SELECT o_orderkey, '{"transaction_id":"-","version":"0.1.0","kind":"Record","system_id":"ITSM-5314","record_id":'
+    || repeat('1234567890', 4) || CAST(o_orderkey AS VARCHAR)
+    || ',"record_kind":"Permit","on_hold_event_set":[],"process_event_set":[]}' AS value FROM orders""")
+def long_record_ids(t):
+    """Ids of more than 40 digits stay whole in the line."""
+    rows = t.table("orders").select(
+        "o_orderkey", F.concat(F.lit("1234567890" * 4), F.col("o_orderkey").cast("string")).alias("PERMIT_ID"),
+        F.array().cast(HOLD_EVENTS).alias("on_hold_event_set"), F.array().cast(PROCESS_EVENTS).alias("process_event_set"),
     )
+    spec = replace(SPEC, default_system_id="ITSM-5314")
+    made = record_json(build_records(rows, spec), F.lit("-"))
+    return made.select(F.right(F.col("record_id"), F.length("record_id") - 40).try_cast("bigint").alias("o_orderkey"), "value")
 
 
 def _hits(counts: dict[str, str]) -> str:

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import tempfile
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -25,6 +26,9 @@ class Inputs:
 
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = prepare(spark)
+        # On one machine, as in tests, any folder is shared; a cluster names its own.
+        if spark.sparkContext.master.partition("[")[0] == "local" and not spark.conf.get("spark.checkpoint.dir", None):
+            spark.conf.set("spark.checkpoint.dir", tempfile.mkdtemp(prefix="casetrail-"))
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
