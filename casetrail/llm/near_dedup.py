@@ -2,8 +2,8 @@
 
 Texts with equal shingle sets are one class, so that copies meet no further. Classes that share a band of their
 sketches are candidates. A bucket isn't expanded into pairs. First each member meets the bucket's centre alone (the
-class with the most copies), in buckets of several widths. Then there are strays: members in another component than
-their centre, which may still be like some other member. Written as what it inserts into the centre and what it
+class that has the most company over all its buckets), in buckets of several widths. Then there are strays: members in
+another component than their centre, which may still be like some other member. Written as what it inserts into the centre and what it
 deletes from it, a stray that is like another member must share with it either an inserted shingle, or, where both
 insert few, a deleted one; so these two meet on what they share, and only where the counts allow for a link. Every link
 is confirmed on the full sets, and no link between candidates is lost. A pair at the threshold shares no band with a
@@ -95,19 +95,19 @@ def _close(n: Column, m: Column, percent: int) -> Column:
 
 def _central(members: DataFrame, percent: int) -> DataFrame:
     """Pairs (u, v) of each bucket's centre with its other members."""
-    centre = F.max(F.struct("copies", "key", "n")).alias("c")
+    centre = F.max(F.struct("weight", "key", "n")).alias("c")
     centres = members.groupBy("band").agg(centre, F.count("*").alias("size")).filter("size > 1").select("band", "c")
     met = members.join(centres, "band").filter(F.col("key") != F.col("c.key")).filter(_close(F.col("n"), F.col("c.n"), percent))
     return met.select(F.greatest("key", "c.key").alias("u"), F.least("key", "c.key").alias("v")).distinct()
 
 
 def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
-    """For pairs of a ``centre`` and a ``key``: what the key's set inserts and deletes (``element``, ``inserted``), and
-    how many of each."""
+    """For pairs of a ``centre`` and a ``key``: what the key's set inserts and deletes (``element``, ``inserted``),
+    how many of each, and how many of its kind come from this one on, in the order of their hashes."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            rows, elements, kinds, ins, dels = [], [], [], [], []
+            rows, elements, kinds, ins, dels, left_over = [], [], [], [], [], []
             for at, (x, y) in enumerate(zip(batch["x"].to_pylist(), batch["y"].to_pylist())):
                 x, y = np.frombuffer(x, dtype=np.uint64), np.frombuffer(y, dtype=np.uint64)
                 more, less = np.setdiff1d(y, x, assume_unique=True), np.setdiff1d(x, y, assume_unique=True)
@@ -117,16 +117,17 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
                 kinds.append(np.arange(size) < len(more))
                 ins.append(np.full(size, len(more)))
                 dels.append(np.full(size, len(less)))
+                left_over.append(np.concatenate([np.arange(len(more), 0, -1), np.arange(len(less), 0, -1)]))
             if rows:
                 whole = batch.select(["centre", "key", "n", "component", "stray"]).take(pa.array(np.concatenate(rows)))
                 yield pa.RecordBatch.from_arrays(
-                    [*whole.columns, *(pa.array(np.concatenate(c)) for c in (elements, kinds, ins, dels))],
-                    ["centre", "key", "n", "component", "stray", "element", "inserted", "ins", "dels"],
+                    [*whole.columns, *(pa.array(np.concatenate(c)) for c in (elements, kinds, ins, dels, left_over))],
+                    ["centre", "key", "n", "component", "stray", "element", "inserted", "ins", "dels", "left"],
                 )
 
     left = sets.select(F.col("key").alias("centre"), F.col("elements").alias("x"))
     both = pairs.join(sets.withColumnRenamed("elements", "y"), "key").join(left, "centre")
-    schema = "centre binary, key binary, n long, component binary, stray boolean, element long, inserted boolean, ins long, dels long"
+    schema = "centre binary, key binary, n long, component binary, stray boolean, element long, inserted boolean, ins long, dels long, left long"
     return both.select("centre", "key", "n", "component", "stray", "x", "y").mapInArrow(work, schema)
 
 
@@ -136,30 +137,35 @@ def _stray_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     With c the centre, I and E the numbers inserted and deleted, and T the largest number of shingles that linked sets
     of these sizes may differ in: x and y are linked if they share at least (I_x + E_x + I_y + E_y - T) / 2 of what they
     insert or delete. At most min(E_x, E_y) of that are deleted ones, so at least the rest is inserted by both. Where
-    that rest is 0 or less, I_x + I_y + |E_x - E_y| <= T, and some deleted one may do: as x is not like c, I_x + E_x is
-    beyond what sets of these sizes may differ in, so they share something.
+    that rest is 0 or less, I_x + I_y + |E_x - E_y| <= T, and a deleted one may do: x and y are in two components, so one of
+    them is not like c and differs from it by more than T, which leaves something for both to share.
     """
-    centres = placed.groupBy("band").agg(F.max(F.struct("copies", "key", "component")).alias("c")).select(
-        "band", F.col("c.key").alias("centre"), F.col("c.component").alias("main")
+    centres = placed.groupBy("band").agg(F.max(F.struct("weight", "key", "component")).alias("c")).select(
+        "band", F.col("c.weight").alias("pull"), F.col("c.key").alias("centre"), F.col("c.component").alias("main")
     )
-    groups = placed.join(centres, "band").filter(F.col("key") != F.col("centre")).select(
-        "centre", "key", "n", "component", (F.col("component") != F.col("main")).alias("stray")
-    ).distinct()
-    open_ = groups.groupBy("centre").agg(F.count("*").alias("others"), F.max("stray").alias("any")).filter("any AND others > 1")
-    parts = cut(_differences(groups.join(open_.select("centre"), "centre"), sets))
-
-    x = parts.filter("stray").select("centre", "element", "inserted", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "component", "ins", "dels")])
-    y = parts.select("centre", "element", "inserted", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "component", "stray", "ins", "dels")])
+    seen = placed.join(centres, "band").select("band", "key", "n", "component", "pull", "centre", (F.col("component") != F.col("main")).alias("stray"))
+    # Each stray is looked at from one centre, the weightiest of its buckets; so are all that share a bucket with it.
+    homes = (
+        seen.groupBy("key")
+        .agg(F.max(F.when(F.col("centre") != F.col("key"), F.struct("pull", "centre"))).alias("home"), F.max("stray").alias("stray"))
+        .filter("stray").select("key", F.col("home.centre").alias("centre"))
+    )
+    looked_at = seen.filter("stray").select("band", "key").join(homes, "key").select("band", "centre").distinct()
+    around = seen.select("band", "key", "n", "component").join(looked_at, "band").drop("band").filter(F.col("key") != F.col("centre")).distinct()
+    marked = around.join(homes.withColumn("stray", F.lit(True)), ["key", "centre"], "left").withColumn("stray", F.coalesce("stray", F.lit(False)))
+    parts = cut(_differences(marked, sets))
+
+    x = parts.filter("stray").select("centre", "element", "inserted", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "component", "ins", "dels", "left")])
+    y = parts.select("centre", "element", "inserted", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "component", "stray", "ins", "dels", "left")])
     apart = F.floor((F.col("x_n") + F.col("y_n")) * (100 - percent) / (100 + percent))
     slack = apart - F.col("x_ins") - F.col("y_ins") - F.abs(F.col("x_dels") - F.col("y_dels"))
     once = ~F.col("y_stray") | (F.col("x_key") < F.col("y_key"))
-    allowed = (F.col("x_component") != F.col("y_component")) & once & _close(F.col("x_n"), F.col("y_n"), percent) & (F.col("inserted") | (slack >= 0))
-    met = x.join(y, ["centre", "element", "inserted"]).filter(allowed)
-    shared = met.groupBy("centre", "x_key", "y_key").agg(
-        F.count(F.when(F.col("inserted"), 1)).alias("both"), F.max(slack).alias("slack")
-    )
-    enough = shared.filter(2 * F.col("both") + F.col("slack") >= 0)
-    return enough.select(F.greatest("x_key", "y_key").alias("u"), F.least("x_key", "y_key").alias("v")).distinct()
+    # Both sides' inserted shingles are in one order; from the first that they share on, each must have enough left.
+    enough = 2 * F.least("x_left", "y_left") + slack >= 0
+    allowed = F.when(F.col("inserted"), (slack >= 0) | enough).otherwise(slack >= 0)
+    other = (F.col("x_component") != F.col("y_component")) & once & _close(F.col("x_n"), F.col("y_n"), percent)
+    met = x.join(y, ["centre", "element", "inserted"]).filter(other & allowed)
+    return met.select(F.greatest("x_key", "y_key").alias("u"), F.least("x_key", "y_key").alias("v")).distinct()
 
 
 def near_groups(
@@ -174,11 +180,14 @@ def near_groups(
         F.first("narrow").alias("narrow"), F.first("wide").alias("wide"),
     )
     spread = lambda which: classes.select("key", "copies", "n", F.explode(which).alias("band"))
-    full = spread("narrow").groupBy("band").agg(F.count("*").alias("size")).filter("size > 1").select("band")
-    members = cut(spread("narrow").join(full, "band"))
+    full = spread("narrow").groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
+    shared = cut(spread("narrow").join(full, "band"))
+    # How much company a class has in its buckets: what lies in the middle of a group has the most.
+    weights = shared.groupBy("key").agg((F.sum("size") + F.max("copies")).alias("weight"))
+    members = shared.drop("size", "copies").join(weights, "key")
     candidates = members.select("key").distinct()
     sets = cut(_sets(documents, classes.select("key", "at").join(candidates, "key"), id, text, size))
-    wider = spread("wide").join(candidates, "key", "left_semi")
+    wider = spread("wide").drop("copies").join(weights, "key")
     pairs = _central(members, percent).unionAll(_central(wider, percent)).distinct()
     first = cut(_linked(pairs, sets, percent))
     joined = components(first)
