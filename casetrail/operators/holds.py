@@ -77,6 +77,30 @@ def grouped_holds(event_rows: DataFrame) -> DataFrame:
     return event_rows.groupBy(_KEY).agg(F.transform(ordered, lambda row: row["event"]).alias("on_hold_event_set"))
 
 
+def grouped_hold_hits(holds: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> DataFrame:
+    """As ``grouped_holds``, with the matches of each rule per key (``hit_0`` and so on), whether they give an event or
+    not. One pass over the holds."""
+    keyed = keyed_holds(holds)
+    facets = Facets(keyed.schema)
+    events = event_array(hold_events(rules, facets, spec), HOLD_EVENTS)
+    names = [f"hit_{i}" for i in range(len(rules))]
+    rows = facets.project(keyed).select(
+        _KEY,
+        F.coalesce(attribute_text(*column_of(keyed, HOLD_START_COLUMN)), F.lit("")).alias("started"),
+        F.coalesce(attribute_text(*column_of(keyed, HOLD_ID_COLUMN)), F.lit("")).alias("hold_id"),
+        events.alias("events"),
+        *[match_column(rule, facets).cast("bigint").alias(n) for n, rule in zip(names, rules, strict=True)],
+    )
+    placed = F.transform(
+        "events",
+        lambda e, i: F.struct(F.col("started"), F.col("hold_id"), i.alias("rule_pos"), e.alias("event")),
+    )
+    ordered = F.array_sort(F.flatten(F.collect_list(placed)))
+    return rows.groupBy(_KEY).agg(
+        F.transform(ordered, lambda row: row["event"]).alias("on_hold_event_set"), *[F.sum(n).alias(n) for n in names]
+    )
+
+
 def attach_holds(permits: DataFrame, grouped: DataFrame,
                  candidates: Sequence[str] = PERMIT_KEY_COLUMNS) -> DataFrame:
     """Permits with their hold events; a permit without any gets an empty array."""

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field, replace
+from datetime import date
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.events import (
@@ -14,10 +15,11 @@ from ..operators.events import (
 )
 from ..operators.facets import Facets
 from ..operators.holds import (
-    PERMIT_KEY_COLUMNS, attach_holds, grouped_holds, hold_event_rows, hold_hits, matched_hold_events,
+    PERMIT_KEY_COLUMNS, attach_holds, grouped_hold_hits, grouped_holds, hold_event_rows, hold_hits,
+    matched_hold_events,
 )
 from ..operators.report import TOP_RULES, hit_report, rule_hits, run_summary
-from ..operators.rules import Rule, missing_columns
+from ..operators.rules import Rule, match_column, missing_columns
 from ..schemas import quoted
 from ..session import prepare
 from ..sources import config, jsonl, tables
@@ -55,33 +57,47 @@ class Ruleset:
 
 
 def with_process_events(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec,
-                        keep: Sequence[Column], only_matched: bool = False) -> DataFrame:
-    """Permits with the array of their process events, in rule order. No shuffle."""
+                        keep: Sequence[Column], only_matched: bool = False,
+                        seen: Observation | None = None) -> DataFrame:
+    """Permits with the array of their process events, in rule order. No shuffle.
+
+    ``seen`` is told the rows read (``source_rows``) and the matches of each rule (``hit_0`` and so on).
+    """
     facets = Facets(permits.schema)
     events = event_array(process_events(rules, facets, spec), PROCESS_EVENTS)
     rows = facets.project(permits)
+    if seen is not None:
+        hits = [F.count_if(match_column(rule, facets)).alias(f"hit_{i}") for i, rule in enumerate(rules)]
+        rows = rows.observe(seen, F.count(F.lit(1)).alias("source_rows"), *hits)
     if only_matched:
         return rows_with_events(rows, keep, events, "process_event_set")
     return rows.select(*keep, events.alias("process_event_set"))
 
 
-def event_set(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec) -> DataFrame:
+def event_set(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec,
+              seen: Observation | None = None) -> DataFrame:
     """Records with process events only; the set of holds is empty."""
     keep = _columns(permits, (spec.id_column, spec.system_column))
-    rows = with_process_events(permits, rules, spec, keep, only_matched=True)
+    rows = with_process_events(permits, rules, spec, keep, only_matched=True, seen=seen)
     return build_records(rows.withColumn("on_hold_event_set", empty_holds()), spec)
 
 
 def event_set_with_holds(permits: DataFrame, holds: DataFrame, rules: Ruleset, spec: RecordSpec,
-                         candidates: Sequence[str] = PERMIT_KEY_COLUMNS) -> DataFrame:
+                         candidates: Sequence[str] = PERMIT_KEY_COLUMNS,
+                         seen: Observation | None = None, holds_seen: Observation | None = None) -> DataFrame:
     """Records with process events and the on-hold periods of the permit's authorization.
 
-    Only the id, the system id, the key and the events cross the join.
+    Only the id, the system id, the key and the events cross the join. ``holds_seen`` is told the matches of each hold
+    rule (``hit_0`` and so on) over all permit and hold pairs.
     """
     keep = _columns(permits, (spec.id_column, spec.system_column, *candidates))
-    rows = with_process_events(permits, rules.process, spec, keep)
-    grouped = grouped_holds(hold_event_rows(holds, rules.holds, spec))
-    joined = attach_holds(rows, grouped, candidates)
+    rows = with_process_events(permits, rules.process, spec, keep, seen=seen)
+    if holds_seen is None or not rules.holds:
+        joined = attach_holds(rows, grouped_holds(hold_event_rows(holds, rules.holds, spec)), candidates)
+    else:
+        names = [f"hit_{i}" for i in range(len(rules.holds))]
+        joined = attach_holds(rows, grouped_hold_hits(holds, rules.holds, spec), candidates)
+        joined = joined.observe(holds_seen, *[F.sum(n).alias(n) for n in names]).drop(*names)
     any_event = (F.size("process_event_set") + F.size("on_hold_event_set")) > 0
     return build_records(joined.filter(any_event), spec)
 
@@ -142,21 +158,33 @@ class JobFiles:
 
 @dataclass(frozen=True)
 class JobResult:
-    """Lines written and columns the rules named in vain."""
+    """Lines written, columns the rules named in vain, and what the same pass has counted.
+
+    ``process_hits`` and ``hold_hits`` have every rule with its matches, most hit first.
+    """
 
     lines: int
     missing_permit_columns: list[str]
     missing_hold_columns: list[str]
+    source_rows: int = 0
+    process_events: int = 0
+    on_hold_events: int = 0
+    process_hits: tuple[tuple[str, int], ...] = ()
+    hold_hits: tuple[tuple[str, int], ...] = ()
+
+    @property
+    def total_events(self) -> int:
+        return self.process_events + self.on_hold_events
 
 
 def run_job(spark: SparkSession, files: JobFiles, spec: RecordSpec, max_rows: int = 0,
-            fail_on_empty: bool = False) -> JobResult:
-    """Reads tables and rule files, writes the records as JSON lines.
+            fail_on_empty: bool = False, source: str | None = None) -> JobResult:
+    """Reads tables and rule files, writes the records as JSON lines, and counts on the way: each table is read once.
 
-    ``max_rows`` bounds the input of a trial run; 0 reads everything.
+    ``max_rows`` bounds the input of a trial run; 0 reads everything. ``source`` leaves out rules of other sources.
     """
     prepare(spark)
-    rules = Ruleset(config.read_rules(spark, files.rules), config.read_hold_rules(spark, files.hold_rules))
+    rules = Ruleset(config.read_rules(spark, files.rules, source), config.read_hold_rules(spark, files.hold_rules))
     spec = replace(
         spec,
         lifecycle=config.read_map(spark, files.lifecycle),
@@ -165,19 +193,45 @@ def run_job(spark: SparkSession, files: JobFiles, spec: RecordSpec, max_rows: in
     permits = tables.read_table(spark, files.permits, files.table_format)
     always = (spec.id_column, spec.system_column)
     missing_holds: list[str] = []
-    source = permits.limit(max_rows) if max_rows else permits
+    rows = permits.limit(max_rows) if max_rows else permits
+    seen, holds_seen, made = Observation(), Observation(), Observation()
     if files.holds:
         holds = tables.read_table(spark, files.holds, files.table_format)
         missing_holds = missing_columns(holds, rules.holds)
-        records = event_set_with_holds(source, holds, rules, spec)
+        records = event_set_with_holds(rows, holds, rules, spec, seen=seen, holds_seen=holds_seen)
     else:
-        records = event_set(source, rules.process, spec)
+        records = event_set(rows, rules.process, spec, seen=seen)
+    records = records.observe(
+        made, F.sum(F.size("process_event_set")).alias("process"), F.sum(F.size("on_hold_event_set")).alias("on_hold")
+    )
     lines = jsonl.write_lines(record_json(records), files.output, fail_on_empty=fail_on_empty)
-    return JobResult(lines, missing_columns(permits, rules.process, always), missing_holds)
+    counted, events = seen.get, made.get
+    return JobResult(
+        lines, missing_columns(permits, rules.process, always), missing_holds,
+        counted.get("source_rows") or 0, events.get("process") or 0, events.get("on_hold") or 0,
+        _most_hit(rules.process, counted),
+        _most_hit(rules.holds, holds_seen.get if files.holds and rules.holds else {}),
+    )
+
+
+def run_named_job(spark: SparkSession, name: str, files: JobFiles, spec: RecordSpec, environment: str, day: date,
+                  **options) -> JobResult:
+    """One of ``JOBS``: its system id is the default, and ``files.output`` is the folder that the run's own goes to."""
+    job = JOBS[name]
+    if job.with_holds and not files.holds:
+        raise ValueError(f"job '{name}' needs a table of holds")
+    path = jsonl.output_path(files.output, name.replace(", ", "_").replace(" ", "_"), environment, day)
+    files = replace(files, output=path, holds=files.holds if job.with_holds else None)
+    return run_job(spark, files, replace(spec, default_system_id=job.default_system_id), **options)
+
+
+def _most_hit(rules: Sequence[Rule], counts: Mapping[str, int]) -> tuple[tuple[str, int], ...]:
+    hits = [(rule.key, counts.get(f"hit_{i}") or 0) for i, rule in enumerate(rules)]
+    return tuple(sorted(hits, key=lambda h: -h[1]))
 
 
 __all__ = [
     "JOBS", "Job", "JobFiles", "JobResult", "Ruleset", "event_set", "event_set_with_holds",
     "hold_event_matches", "hold_hit_report", "process_event_rows", "process_hit_report", "run_job",
-    "run_summary", "with_process_events",
+    "run_named_job", "run_summary", "with_process_events",
 ]

@@ -177,7 +177,13 @@ def test_run_job_end_to_end(spark, tmp_path):
         lifecycle=str(tmp_path / "lifecycle.json"), holds=str(tmp_path / "holds"),
         hold_rules=str(tmp_path / "hold_rules.json"), hold_code_map=str(tmp_path / "codes.json"))
     result = event_sets.run_job(spark, job, SPEC)
-    assert result == event_sets.JobResult(4, ["NOWHERE", "system_id"], [])
+    assert (result.lines, result.missing_permit_columns, result.missing_hold_columns) == (4, ["NOWHERE", "system_id"], [])
+    assert result.source_rows == permit_table(spark).count() and dict(result.process_hits)["R"] >= result.process_events > 0
+    assert dict(result.hold_hits)["H1"] >= result.on_hold_events > 0
+    named = event_sets.run_named_job(spark, "water tracking, holds", replace(job, output=str(tmp_path / "named")), SPEC, "DEV", dt.date(2024, 5, 6))
+    assert named == result
+    again = jsonl.read_lines(spark, str(tmp_path / "named/dev/water_tracking_holds_dev_20240506.jsonl"))
+    assert {json.loads(r["value"])["system_id"] for r in again.collect()} == {"ITSM-6117"}
     records = [json.loads(r["value"]) for r in jsonl.read_lines(spark, output).collect()]
     assert len(records) == 4
     first = next(r for r in records if r["record_id"] == 1)

@@ -1,5 +1,6 @@
 """Rule sets, event records, on-hold periods and run reports."""
 
+import json
 from dataclasses import replace
 
 from pyspark.sql import functions as F
@@ -9,13 +10,15 @@ from casetrail.operators.events import HOLD_EVENTS, PROCESS_EVENTS, RecordSpec,
 from casetrail.operators.facets import Facets
 from casetrail.operators.holds import grouped_holds, hold_event_rows
 from casetrail.operators.report import run_summary
-from casetrail.operators.rules import Rule, compile_test, match_column, parse_hold_rules, parse_rules
+from casetrail.operators.rules import Rule, compile_test, match_column, missing_columns, parse_hold_rules, parse_rules
 from casetrail.plans import event_sets
+from casetrail.session import scratch_path
+from casetrail.sources import jsonl, tables
 
 from . import shapes
 from .registry import query, with_shapes
 
-RULES = parse_rules({
+RAW_RULES = {
     "APPLICATION_RECEIVED": {
         "code_set": "APPLICATION/SUBMISSION/RECEIVED",
         "start_date": {"attr": "RECEIVED"},
@@ -43,7 +46,8 @@ RULES = parse_rules({
             {"and": [{"op": "null", "attr": "STATUS"}, {"op": "not_null", "attr": "DECIDED"}]},
         ]},
     },
-})
+}
+RULES = parse_rules(RAW_RULES)
 LIFECYCLE = {
     "UNDER_REVIEW": ["APPLICATION", "UNDER_REVIEW"],
     "CLOSED": {
@@ -51,7 +55,7 @@ LIFECYCLE = {
         "status": {"Status": "Closed", "status_code": "CL", "status_description": " "},
     },
 }
-HOLD_RULES = parse_hold_rules({
+RAW_HOLD_RULES = {
     "HOLD_CLIENT": {
         "code": "WAITING_ON_CLIENT",
         "start_date": {"attr": "ON_HOLD_START_DATE"}, "end_date": {"attr": "ON_HOLD_END_DATE"},
@@ -65,7 +69,8 @@ HOLD_RULES = parse_hold_rules({
             {"op": "<", "attr": "ON_HOLD_END_DATE", "other_attr": "ON_HOLD_START_DATE"},
         ]},
     },
-})
+}
+HOLD_RULES = parse_hold_rules(RAW_HOLD_RULES)
 RULESET = event_sets.Ruleset(RULES, HOLD_RULES)
 SPEC = RecordSpec(
     id_column="PERMIT_ID",
@@ -394,3 +399,95 @@ def hold_rule_hits(t):
 def run_totals(t):
     rows = permits(t)
     return run_summary(rows, event_sets.event_set_with_holds(rows, holds(t), RULESET, SPEC))
+
+
+def _job(t, with_holds: bool, **options):
+    """A job run from stored tables and rule files: its files and its result."""
+    folder = scratch_path(t.spark, "job")
+
+    def stored(name: str, content) -> str:
+        path = f"{folder}/{name}"
+        if isinstance(content, dict):
+            t.spark.createDataFrame([(json.dumps(content),)], "value string").coalesce(1).write.text(path)
+        else:
+            tables.replace_files(content, path)
+        return path
+
+    files = event_sets.JobFiles(
+        permits=stored("permits", permits(t)), rules=stored("rules.json", RAW_RULES), lifecycle=stored("lifecycle.json", LIFECYCLE),
+        output=f"{folder}/out.jsonl",
+    )
+    if with_holds:
+        files = replace(
+            files, holds=stored("holds", holds(t)), hold_rules=stored("hold_rules.json", RAW_HOLD_RULES),
+            hold_code_map=stored("codes.json", dict(SPEC.hold_code_map)),
+        )
+    return files, event_sets.run_job(t.spark, files, SPEC, **options)
+
+
+def _lines_read(t, files):
+    """Lines as they were stored, the id that differs on every run replaced."""
+    value = F.regexp_replace("value", '^\\{"transaction_id":"[^"]*"', '{"transaction_id":"-"')
+    return jsonl.read_lines(t.spark, files.output).select(
+        F.regexp_extract("value", '"record_id":"?([^",]*)', 1).alias("record_id"), value.alias("value")
+    )
+
+
+@query(permits_sql(f"SELECT record_id, {_line_sql(chr(39) * 2)} FROM process_sets", PROCESS_SETS))
+def job_lines(t):
+    """A job without holds, from rule files to stored lines."""
+    return _lines_read(t, _job(t, False)[0])
+
+
+@query(permits_sql(
+    f"""SELECT CAST(PERMIT_ID AS VARCHAR) AS record_id, {_line_sql("coalesce(hold_json, '')")}
+    FROM (SELECT p.PERMIT_ID, p.sys, CAST(p.PERMIT_ID AS VARCHAR) AS record_id, x.events, h.hold_json FROM times p
+          LEFT JOIN process_sets x ON x.record_id = CAST(p.PERMIT_ID AS VARCHAR)
+          LEFT JOIN hold_sets h ON h.key = regexp_replace(trim(p.AUTHORIZATION_ID), '[.]0$', ''))
+    WHERE events IS NOT NULL OR hold_json IS NOT NULL""",
+    PROCESS_SETS, HOLD_EVENTS_CTE, HOLD_SETS, holds=shapes.HOLDS))
+def job_with_holds_lines(t):
+    """A job with holds, from rule files to stored lines."""
+    return _lines_read(t, _job(t, True)[0])
+
+
+_JOB_HITS = " UNION ALL ".join([
+    *[f"SELECT '{rule}' AS name, count(*) AS n FROM times WHERE {where}" for rule, where in WHERE.items()],
+    *[f"SELECT '{rule}' AS name, count(*) AS n FROM times p JOIN hold_matches h "
+      f"ON h.key = regexp_replace(trim(p.AUTHORIZATION_ID), '[.]0$', '') WHERE rule_pos = {i}"
+      for i, rule in enumerate(RAW_HOLD_RULES)],
+])
+
+
+@query(permits_sql(
+    f"""{_JOB_HITS} UNION ALL SELECT 'source rows' AS name, count(*) AS n FROM times
+    UNION ALL SELECT 'process events' AS name, count(*) AS n FROM ({EVENTS_SQL})
+    UNION ALL SELECT 'on-hold events' AS name, count(*) AS n {HOLD_MATCH_FROM}
+    UNION ALL SELECT 'lines' AS name, count(*) AS n FROM times p
+      WHERE CAST(PERMIT_ID AS VARCHAR) IN (SELECT record_id FROM process_sets)
+         OR regexp_replace(trim(p.AUTHORIZATION_ID), '[.]0$', '') IN (SELECT key FROM hold_events)""",
+    PROCESS_SETS, HOLD_EVENTS_CTE, holds=shapes.HOLDS))
+def job_with_holds_totals(t):
+    """What a job's only pass has counted."""
+    done = _job(t, True, fail_on_empty=True)[1]
+    counts = [
+        *done.process_hits, *done.hold_hits, ("source rows", done.source_rows), ("process events", done.process_events),
+        ("on-hold events", done.on_hold_events), ("lines", done.lines),
+    ]
+    return t.spark.createDataFrame(counts, "name string, n bigint")
+
+
+@query(permits_sql(_hits({rule: f"times WHERE {where}" for rule, where in WHERE.items() if rule != "UNDER_REVIEW"})))
+def hits_of_one_source(t):
+    """Rules of another source are left out; those that name none always count."""
+    named = {k: v | {"source": {"UNDER_REVIEW": "lands", "CLOSED": "WATER"}[k]} if k in ("UNDER_REVIEW", "CLOSED") else v for k, v in RAW_RULES.items()}
+    return event_sets.process_hit_report(permits(t), parse_rules(named, "water"))
+
+
+@query(permits_sql("SELECT 'NO_SUCH_COLUMN' AS name, count(*) AS rows_read_as_null FROM times"))
+def columns_rules_lack(t):
+    """Columns that rules read and the table lacks, and the rows for which they read as NULL."""
+    rows = permits(t)
+    lacking = parse_rules(RAW_RULES | {"X": {"start_attr": "NO_SUCH_COLUMN", "logic": {"and": []}}})
+    names = F.explode(F.array(*[F.lit(c) for c in missing_columns(rows, lacking, ("permit_id",))]))
+    return rows.select(names.alias("name")).groupBy("name").agg(F.count(F.lit(1)).alias("rows_read_as_null"))
