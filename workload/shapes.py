@@ -80,7 +80,7 @@ SUBTYPES = "SELECT 48 + n_regionkey AS TYPE_SID, n_nationkey AS SUBTYPE_SID, n_n
 PURPOSES = "SELECT r_regionkey AS PURPOSE_SID, 'Purpose ' || r_name AS PURPOSE_NME FROM {region}"
 SUBPURPOSES = "SELECT n_regionkey AS PURPOSE_SID, n_nationkey AS SUBPURPOSE_SID, n_name AS SUBPURPOSE_NME FROM {nation}"
 OFFICES = "SELECT r_regionkey AS DISTRICT_OFFICE_SID, 'Office ' || r_name AS NAME FROM {region}"
-STATUS_CODES = "SELECT DISTINCT l_returnflag AS CODE_CHR, 'Status ' || l_returnflag AS STATUS_NME FROM {lineitem} WHERE l_returnflag <> 'R'"
+STATUS_CODES = "SELECT DISTINCT replace(l_returnflag, 'R', '-') AS CODE_CHR, 'Status ' || l_returnflag AS STATUS_NME FROM {lineitem}"
 STAGE_CODES = "SELECT DISTINCT l_linestatus AS CODE_CHR, 'Stage ' || l_linestatus AS STAGE_NME FROM {lineitem}"
 REASON_CODES = "SELECT CAST(r_regionkey AS STRING) AS CODE_CHR, 'Reason ' || r_name AS REASON_DSC FROM {region}"
 
@@ -148,7 +148,7 @@ SELECT CAST(o_orderkey * 2 AS DECIMAL(38,18)) AS AUTHORIZATION_ID,
 FROM {orders}"""
 
 CLOSE_REASONS = "SELECT CAST(r_regionkey AS STRING) AS ATHN_CLOSE_REASON_CODE, 'Closed: ' || r_name AS DESCRIPTION FROM {region}"
-AUTH_STATUSES = "SELECT DISTINCT o_orderstatus AS AUTHORIZATION_STATUS_CODE, 'Auth ' || o_orderstatus AS DESCRIPTION FROM {orders} WHERE o_orderstatus <> 'P'"
+AUTH_STATUSES = "SELECT DISTINCT replace(o_orderstatus, 'P', '-') AS AUTHORIZATION_STATUS_CODE, 'Auth ' || o_orderstatus AS DESCRIPTION FROM {orders}"
 
 WATER_JOBS = """
 SELECT CASE WHEN o_orderkey % 4 = 0 THEN NULL WHEN o_orderkey % 4 = 1 THEN ' ' ELSE 'J' || CAST(o_orderkey AS STRING) END AS JobNumber,
