@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
@@ -52,3 +52,24 @@ def sent_if_small(rows: DataFrame, limit: int = BROADCAST_BYTES) -> DataFrame:
     rows = cut(rows)
     size = rows.agg(F.sum(F.octet_length(F.to_json(F.struct("*"))))).first()[0] or 0
     return F.broadcast(rows) if size <= limit else rows
+
+
+def keep_rows(documents: DataFrame, marked: DataFrame, id: str, text: str) -> DataFrame:
+    """The rows that stay, with all their columns. ``marked`` has one row per document: ``doc_id``, ``print`` (the
+    text's ``xxhash64``, null as empty) and ``stays``. Of rows that share id and text one stays.
+
+    The texts aren't shuffled where the rows to drop are few enough to be sent to every task.
+    """
+    gone = sent_if_small(marked.filter("NOT stays").select(F.col("doc_id").alias("_id"), F.col("print").alias("_print_of")).distinct())
+    several = marked.filter("stays").groupBy(F.col("doc_id").alias("_id"), F.col("print").alias("_print_of")).count().filter("count > 1").drop("count")
+    several = sent_if_small(several)
+    named = documents.withColumn("_print", F.xxhash64(F.coalesce(F.col(text), F.lit(""))))
+    same = F.col(id).eqNullSafe(F.col("_id")) & F.col("_print").eqNullSafe(F.col("_print_of"))
+    left = named.join(gone, same, "left_anti")
+    columns = [F.col(c) for c in documents.columns]
+    if several.isEmpty():
+        return left.select(*columns)
+    ties = [F.col(c) for c, kind in documents.dtypes if c != text and not kind.startswith(("map", "variant"))]
+    one = Window.partitionBy(id, "_print").orderBy(*ties)
+    repeated = left.join(several, same, "left_semi").withColumn("_nth", F.row_number().over(one)).filter("_nth = 1")
+    return left.join(several, same, "left_anti").select(*columns).unionAll(repeated.select(*columns))

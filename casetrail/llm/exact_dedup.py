@@ -10,9 +10,10 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from casetrail.llm.common import cut, keep_rows
 from casetrail.llm.perfect_hash import MinimalPerfectHash
 
 #: Digests of one shard, on average; its slots take about 50 bytes each.
@@ -106,10 +107,9 @@ def older_half(rows: DataFrame, id: str = "doc_id") -> tuple[DataFrame, DataFram
 def keep_last(rows: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The rows that stay, with all their columns: one of each group of equal texts, also among rows that share an
     id or have none."""
-    history, incoming = older_half(rows, id)
-    winners = digest_groups(history, incoming, id, text).select(
-        F.col("digest").alias("_digest"), F.col("keep_id").alias("_keep_id")
-    )
-    named = with_digest(rows, text, "_digest").join(winners, "_digest").filter(F.col(id).eqNullSafe(F.col("_keep_id")))
-    one = Window.partitionBy("_digest").orderBy(*[c for c, kind in rows.dtypes if c != text and not kind.startswith(("map", "variant"))])
-    return named.withColumn("_nth", F.row_number().over(one)).filter("_nth = 1").select(*[F.col(c) for c in rows.columns])
+    groups = digest_groups(*older_half(rows, id), id, text)
+    own = with_digest(rows.select(F.col(id).cast("long").alias("doc_id"), F.col(text).alias("text")))
+    # Null and empty texts are one group; all of its prints are those of the empty text.
+    seen = own.select("doc_id", "digest", F.xxhash64(F.coalesce("text", F.lit(""))).alias("print"))
+    marked = cut(seen.join(groups, "digest").select("doc_id", "print", F.col("doc_id").eqNullSafe(F.col("keep_id")).alias("stays")))
+    return keep_rows(rows, marked, id, text)

@@ -16,11 +16,11 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casetrail.llm.blocks import locator
-from casetrail.llm.common import cut
+from casetrail.llm.common import cut, keep_rows
 from casetrail.llm.components import components
 from casetrail.llm.shingles import bands, set_key, shingle_set, sketch
 
@@ -29,7 +29,7 @@ BINS, ROWS, WIDER = 125, 5, (10, 15, 20)
 
 
 def _sketches(documents: DataFrame, id: str, text: str, size: int) -> DataFrame:
-    """``doc_id``, ``at`` (locator), ``n``, ``key`` (of the shingle set), ``narrow`` and ``wide`` bands of each row."""
+    """``doc_id``, ``at`` (locator), ``print`` (of the text), ``n``, ``key`` (of the shingle set), ``narrow`` and ``wide`` bands of each row."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -42,13 +42,16 @@ def _sketches(documents: DataFrame, id: str, text: str, size: int) -> DataFrame:
                 out["narrow"].append(bands(values, ROWS).view(np.int64))
                 out["wide"].append(np.concatenate([bands(values, r) for r in WIDER]).view(np.int64))
             yield pa.RecordBatch.from_arrays(
-                [batch["doc_id"], batch["at"], pa.array(out["n"], pa.int64()), pa.array(out["key"], pa.binary()),
+                [batch["doc_id"], batch["at"], batch["print"], pa.array(out["n"], pa.int64()), pa.array(out["key"], pa.binary()),
                  pa.array(out["narrow"], pa.list_(pa.int64())), pa.array(out["wide"], pa.list_(pa.int64()))],
-                ["doc_id", "at", "n", "key", "narrow", "wide"],
+                ["doc_id", "at", "print", "n", "key", "narrow", "wide"],
             )
 
-    rows = documents.select(F.col(id).cast("long").alias("doc_id"), locator(id, text).alias("at"), F.col(text).cast("binary").alias("text"))
-    return rows.mapInArrow(work, "doc_id long, at long, n long, key binary, narrow array<long>, wide array<long>")
+    rows = documents.select(
+        F.col(id).cast("long").alias("doc_id"), locator(id, text).alias("at"),
+        F.xxhash64(F.coalesce(F.col(text), F.lit(""))).alias("print"), F.col(text).cast("binary").alias("text"),
+    )
+    return rows.mapInArrow(work, "doc_id long, at long, print long, n long, key binary, narrow array<long>, wide array<long>")
 
 
 def _sets(documents: DataFrame, wanted: DataFrame, id: str, text: str, size: int) -> DataFrame:
@@ -171,10 +174,10 @@ def _stray_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
 def near_groups(
     documents: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80
 ) -> tuple[DataFrame, DataFrame]:
-    """(rows, classes). rows: ``doc_id``, ``n`` (size of the shingle set), ``key`` for every row. classes: for every
+    """(rows, classes). rows: ``doc_id``, ``print``, ``n`` (size of the shingle set), ``key`` for every row. classes: for every
     ``key`` of a set that isn't empty the ``component`` (a key) and its smallest id ``least``."""
     found = cut(_sketches(documents, id, text, size))
-    rows = found.select("doc_id", "n", "key")
+    rows = found.select("doc_id", "print", "n", "key")
     classes = found.filter("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.min("at").alias("at"), F.count("*").alias("copies"), F.max("n").alias("n"),
         F.first("narrow").alias("narrow"), F.first("wide").alias("wide"),
@@ -220,18 +223,13 @@ def find_near_duplicates(documents: DataFrame, id: str = "doc_id", text: str = "
 
 def keep_one_of_each(documents: DataFrame, id: str = "doc_id", text: str = "text", size: int = 5, percent: int = 80) -> DataFrame:
     """The rows that stay, with all their columns: the smallest id of each group, one row even where ids repeat or are
-    null. Rows without words all stay."""
-
-    @F.pandas_udf("binary")
-    def key_of(texts):
-        return texts.map(lambda raw: set_key(shingle_set(raw, size)))
+    null. Rows without words all stay, but for those that share id and text."""
 
-    _, classes = near_groups(documents, id, text, size, percent)
-    named = documents.withColumn("_key", key_of(F.col(text).cast("binary"))).join(
-        classes.select(F.col("key").alias("_key"), F.col("component").alias("_component")), "_key", "left"
-    )
-    ties = [F.col(c) for c, kind in documents.dtypes if c not in (id, text) and not kind.startswith(("map", "variant"))]
-    first = Window.partitionBy("_component").orderBy(F.asc_nulls_last(id), F.col("_key"), *ties)
-    one = named.filter("_component IS NOT NULL").withColumn("_nth", F.row_number().over(first)).filter("_nth = 1")
-    columns = [F.col(c) for c in documents.columns]
-    return one.select(*columns).unionAll(named.filter("_component IS NULL").select(*columns))
+    rows, classes = near_groups(documents, id, text, size, percent)
+    placed = rows.join(classes.select("key", "component"), "key", "left")
+    # Null ids sort last.
+    first = F.min(F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "print")).alias("first")
+    winners = placed.filter("component IS NOT NULL").groupBy("component").agg(first)
+    stays = F.col("component").isNull() | (F.col("doc_id").eqNullSafe(F.col("first.doc_id")) & (F.col("print") == F.col("first.print")))
+    marked = cut(placed.join(winners, "component", "left").select("doc_id", "print", stays.alias("stays")))
+    return keep_rows(documents, marked, id, text)
