@@ -28,9 +28,13 @@ def backoff_seconds(attempt: Column, cap: int = BACKOFF_CAP_SECONDS) -> Column:
     return F.least(F.pow(F.lit(2), attempt - 1).cast("bigint"), F.lit(cap).cast("bigint"))
 
 
-def outcomes(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS, with_auth: bool = True) -> DataFrame:
+def outcomes(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS, with_auth: bool = True,
+             with_answer: bool = True) -> DataFrame:
     """One row per record: delivered, failed or pending, with the attempt that decided.
 
+    ``with_answer`` puts the answer's text behind the status in ``error``, as jobs with holds do; the others give the
+    status alone.
+
     Rows are first reduced to one per record and attempt, and attempts past the limit are left
     out: trying stops there. So the list gathered per record has at most ``max_attempts`` entries
     however long the log is.
@@ -67,8 +71,8 @@ def outcomes(attempts: DataFrame, max_attempts: int = MAX_ATTEMPTS, with_auth: b
         F.when(
             outcome == FAILED,
             F.when(status.isNull(), F.col("final.error")).otherwise(
-                F.concat(F.lit("HTTP "), status.cast("string"), F.lit(": "),
-                         F.coalesce("final.error", F.lit("")))
+                F.concat(F.lit("HTTP "), status.cast("string"),
+                         F.concat(F.lit(": "), F.coalesce("final.error", F.lit(""))) if with_answer else F.lit(""))
             ),
         ).alias("error"),
     )

@@ -1,15 +1,14 @@
 """The tables a full refresh copies, by source system.
 
-A landed name is the prefix and the source name in lower case; exceptions are listed.
-Column mappings are not repeated here: they come with the copy-job documents
-(``replicate.specs_from_copy_job``).
+A landed name is the prefix and the source name in lower case; exceptions are listed. Nine tables
+land by a column mapping, listed below; the others as they are.
 """
 
 from __future__ import annotations
 
 from dataclasses import dataclass, field
 
-from .replicate import ReplicaSpec
+from .replicate import LANDED_TYPES, ReplicaSpec
 
 
 @dataclass(frozen=True)
@@ -25,12 +24,80 @@ class SystemTables:
         return [
             ReplicaSpec(
                 self.other_schemas.get(n, self.schema), n, self.target,
-                self.renamed.get(n, self.prefix + n.lower()),
+                self.renamed.get(n, self.prefix + n.lower()), _mapping(n),
             )
             for n in self.names.split()
         ]
 
 
+def _mapping(table: str) -> tuple[tuple[str, str, str], ...]:
+    """(source, target, type) of each mapped column; names stay as they are."""
+    pairs = [entry.split() for entry in MAPPED_COLUMNS.get(table, "").split(",") if entry.strip()]
+    return tuple((name, name, LANDED_TYPES.get(kind, kind.replace(";", ","))) for name, kind in pairs)
+
+
+# Columns and landed types of the mapped tables (of a decimal: digits;decimals).
+MAPPED_COLUMNS: dict[str, str] = {
+    "ER_AUTHORIZATION": """
+        OBJECTID long, AGENCYFILENUMBER string, AGENCYOBJECTID long, AUTHORIZATIONAOI string, AUTHREFERRALTYPEID long,
+        PROJECTOBJECTID long""",
+    "ER_AUTHORIZATION_REFERRAL": """
+        RELATIONSHIPID long, AUTHORIZATIONOBJECTID long, REFERRALJOBID long, AUTHORIZATIONAOI string""",
+    "HARVESTING_AUTHORITY": """
+        HVA_SKEY long, FOREST_FILE_ID string, CUTTING_PERMIT_ID string, HARVESTING_AUTHORITY_ID string,
+        FOREST_DISTRICT long, DISTRICT_ADMN_ZONE string, GEOGRAPHIC_DISTRICT long, MGMT_UNIT_ID string,
+        MGMT_UNIT_TYPE_CODE string, LICENCE_TO_CUT_CODE string, HARVEST_TYPE_CODE string,
+        HARVEST_AUTH_STATUS_CODE string, TENURE_TERM integer, EXTEND_COUNT long,
+        HARVEST_AUTH_EXTEND_REAS_CODE string, QUOTA_TYPE_CODE string, CROWN_LANDS_REGION_CODE string,
+        SALVAGE_TYPE_CODE string, CASCADE_SPLIT_CODE string, CATASTROPHIC_IND string, CROWN_GRANTED_IND string,
+        CRUISE_BASED_IND string, DECIDUOUS_IND string, BCAA_FOLIO_NUMBER string, LOCATION string,
+        HIGHER_LEVEL_PLAN_REFERENCE string, HARVEST_AREA double, REVISION_COUNT integer, ENTRY_USERID string,
+        ENTRY_TIMESTAMP timestamp, UPDATE_USERID string, UPDATE_TIMESTAMP timestamp,
+        IS_WASTE_ASSESSMENT_REQUIRED string, IS_CP_EXTENSN_APPL_FEE_WAIVED string,
+        IS_CP_EXTENSION_APPL_FEE_PAID string, IS_WITHIN_FIBRE_RECOVERY_ZONE string, HARVESTING_AUTHORITY_GUID binary""",
+    "TIMBER_MARK": """
+        TIMBER_MARK string, FOREST_FILE_ID string, CUTTING_PERMIT_ID string, FOREST_DISTRICT long,
+        GEOGRAPHIC_DISTRCT long, CASCADE_SPLIT_CODE string, QUOTA_TYPE_CODE string, DECIDUOUS_IND string,
+        CATASTROPHIC_IND string, CROWN_GRANTED_IND string, CRUISE_BASED_IND string, CERTIFICATE string,
+        HDBS_TIMBER_MARK string, VM_TIMBER_MARK string, TENURE_TERM integer, BCAA_FOLIO_NUMBER string,
+        ACTIVATED_USERID string, AMENDED_USERID string, DISTRICT_ADMN_ZONE string, LANDS_REGION string,
+        CROWN_GRANTED_ACQ_DESC string, MARK_STATUS_ST string, MARK_EXTEND_RSN_CD string, MARK_EXTEND_COUNT long,
+        MARKNG_INSTRMNT_CD string, MARKING_METHOD_CD string, ENTRY_USERID string, ENTRY_TIMESTAMP timestamp,
+        UPDATE_USERID string, UPDATE_TIMESTAMP timestamp, REVISION_COUNT integer, SMALL_PATCH_SALVAGE_IND string,
+        SALVAGE_TYPE_CODE string""",
+    "RAR_DEV_ASSESSMENT_DOCS": """
+        DEV_ASSESSMENT_DOC_ID decimal(20;0), DEV_ASSESSMENT_ID decimal(20;0), DOCUMENT_NAME string,
+        DOCUMENT_TYPE string, UPLOAD_DATE timestamp, WHO_CREATED string, WHEN_CREATED timestamp, WHO_UPDATED string,
+        WHEN_UPDATED timestamp""",
+    "VFCBC_APPLICATION_VW": """
+        JOBID long, TRACKINGNUMBER string, BUSINESSAREANUMBER string, ATSLINKID long, ATSPROJECTNUMBER string,
+        EXTERNALREFERENCE string, EXTERNALJOBNUMBER string, EXTERNALJOBNUMBER2 string, MINENUMBER string,
+        LANDSFILENUMBER string, SUBMITTER string, APPLICANT string, AUTHORIZATIONTYPE string, APPLICATIONTYPE string,
+        CREATEDDATE timestamp, STATUS string, OFFICE string, BUSINESSAREA string, SUBMITTEDBYTYPE string,
+        STATUSSHOWNTOCLIENT string, SUBMITTEDDATE timestamp, RECEIVEDDATE timestamp, DATECOMPLETED timestamp""",
+    "VFCBC_ATSNUMBER_VW": """
+        ATSLINKID long, ATSAUTHORIZATIONNUMBER integer, LANDSFILENUMBER integer, DISPOSITION_TRANSACTION_SID integer,
+        DISPOSITION_TRANSACTION_STRING string""",
+    "VFCBC_PROCESSES": """
+        OBJECTID long, CREATEDDATE timestamp, DATECOMPLETED timestamp, JOBID long, OUTCOME string, PROCESSTYPE string,
+        STAFFASSIGNED string""",
+    "ATIS_WATERJOB_COMBINED_MV": """
+        UNIQUEID integer, VFCBCOBJECTID integer, AUTHORIZATIONID decimal(38;18), VFCTRACKING_NUMBER string,
+        WATEROBJECTID integer, JOBNUMBER string, FILENUMBER string, LICENCENUMBER string, VFCAPPSTATUS string,
+        ATSAUTHORIZATIONSTATUS string, WATERJOBSTATUS string, VFCBCJOBSTATUS string, STATUSTRANSFORMED string,
+        JOBSTATUSGROUP string, APPJOBOPEN string, APPROVALLICENCESTATUS string, REGION string,
+        REGIONTRANSFORMED string, VFCBCOFFICE string, WATEROFFICE string, DISTRICTPRECINCT string, JOBTYPE string,
+        JOBSUBTYPE string, JOBTYPETRANSFORMED string, JOBTYPEGROUP string, CLIENTNAME string, WATERSHEDNAME string,
+        USETYPE string, DIVERSIONTYPE string, CIATYPE string, DIVERSIONSOURCE string, PURPOSEUSENAME string,
+        PURPOSEUSECODE string, JOBCURRENTLYASSIGNEDTO string, RECEIVEDDATE timestamp, FCBCACCEPTEDDATE timestamp,
+        FCBCCOMPLETEDATE timestamp, FCBCPROCESSINGTIME float, FNCONSULTTIME float, FNCONSULTCOMPLETE string,
+        PROCESSSTATUS string, PRELIMREVIEWCOMPLETEDATE timestamp, PRELIMREVIEWNETTIME float,
+        TECHASSESSMENTCOMPLETEDATE timestamp, TECHASSESSMENTNETTIME float, LEGALCHECKCOMPLETEDATE timestamp,
+        LEGALCHECKCOMPLETENETTIME float, GRANTEDREFUSEDATE timestamp, GRANTREFUSECOMPLETENETTIME float,
+        ATSDECISIONDATE timestamp, TOTALTIMEFORDECISION float, CURRENTPARKTIME float, TOTALPARKTIME float,
+        NETTIMEFORDECISION float""",
+}
+
 # Source names, schemas and prefixes of the copied tables, job by job.
 SYSTEMS: dict[str, SystemTables] = {
     "archaeology permits": SystemTables(

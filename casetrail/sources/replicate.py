@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterable, Mapping
+from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass
 from typing import Any
 
@@ -49,16 +50,20 @@ class JdbcSource:
     """Connection to the system that is copied.
 
     A table with an entry in ``ranges`` (column, lowest, highest) is read by that many parallel
-    range queries; any other by a single one, which only suits small tables.
+    range queries. One named in ``small`` is read by a single query; any other is refused, as one
+    task would have to move it.
     """
 
     url: str
     properties: Mapping[str, str]
     ranges: Mapping[str, tuple[str, int, int]]
+    small: frozenset[str] = frozenset()
     partitions: int = 64
     fetch_size: int = 10_000
 
     def read(self, spark: SparkSession, spec: ReplicaSpec) -> DataFrame:
+        if spec.source not in self.ranges and spec.source not in self.small:
+            raise ValueError(f"{spec.source} needs a range to be read in parallel, or to be named as small")
         reader = (
             spark.read.format("jdbc")
             .option("url", self.url)
@@ -84,12 +89,14 @@ def replicate(
     specs: Iterable[ReplicaSpec],
     read: Callable[[SparkSession, ReplicaSpec], DataFrame],
     write: Callable[[DataFrame, ReplicaSpec], None] | None = None,
+    at_once: int = 4,
 ) -> None:
-    """Copies every table in full, replacing what was there. Rows go from reader to writer on
-    the executors."""
+    """Copies every table in full, replacing what was there, several at a time. Rows go from
+    reader to writer on the executors."""
     store = write or (lambda df, spec: replace_table(df, spec.target))
-    for spec in specs:
-        store(landed(read(spark, spec), spec), spec)
+    with ThreadPoolExecutor(at_once) as pool:
+        for done in [pool.submit(lambda s=spec: store(landed(read(spark, s), s), s)) for spec in specs]:
+            done.result()
 
 
 def specs_from_copy_job(job: Mapping[str, Any]) -> list[ReplicaSpec]:

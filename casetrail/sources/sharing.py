@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
+import posixpath
 from collections.abc import Mapping
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.shape import allow_list
-from .tables import materialise_view
+from .tables import REBASE_LEGACY, materialise_view, read_table
 
 # Audit columns that close most riparian tables, and the processes that are shared.
 AUDIT = ("WHO_CREATED", "WHEN_CREATED", "WHO_UPDATED", "WHEN_UPDATED")
@@ -59,6 +60,12 @@ def publish_share(tables: Mapping[str, DataFrame], spec: ShareSpec, schema: str,
     return materialise_view(shared_rows(tables[spec.source], spec), f"{schema}.{spec.view}", fmt)
 
 
+def share_stored(spark: SparkSession, folder: str, spec: ShareSpec, schema: str, fmt: str = "parquet") -> DataFrame:
+    """Stores the view of a table kept below ``folder``. The sources have timestamps of the old calendar."""
+    table = read_table(spark, posixpath.join(folder, spec.source), fmt, REBASE_LEGACY)
+    return publish_share({spec.source: table}, spec, schema, fmt)
+
+
 def _permit_view(view: str, columns: str, clean: str = "", only=None) -> ShareSpec:
     source = view.removesuffix("_redacted").removesuffix("_subset")
     return ShareSpec(view, source, tuple(columns.split()), tuple(clean.split()), only)

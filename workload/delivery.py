@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from casetrail.operators import delivery
 from casetrail.session import scratch_path
 from casetrail.sources import jsonl, tables
-from casetrail.sources.replicate import ReplicaSpec, replica_counts, replicate
+from casetrail.sources.catalogue import replica_specs
+from casetrail.sources.replicate import ReplicaSpec, landed, replica_counts, replicate
 
 from . import shapes
 from .registry import query, with_shapes
@@ -43,6 +44,14 @@ def delivery_outcomes(t):
     return decided(t).withColumn("attempts", F.col("attempts").cast("bigint"))
 
 
+@query(with_shapes(
+    f"""SELECT record_id, line_no, outcome, CASE WHEN status_code IS NOT NULL AND outcome = 'failed' THEN 'HTTP ' || status_code
+        ELSE error END AS error FROM ({OUTCOMES_SQL})""", attempts=shapes.ATTEMPTS))
+def outcomes_by_status_alone(t):
+    """Jobs without holds give the status without the answer's text."""
+    return delivery.outcomes(t.shape(shapes.ATTEMPTS), with_answer=False).select("record_id", "line_no", "outcome", "error")
+
+
 @query(with_shapes(
     f"""SELECT count(*) FILTER (outcome = 'delivered') AS delivered, count(*) FILTER (outcome = 'failed') AS failed,
         count(*) FILTER (outcome = 'pending') AS pending FROM ({OUTCOMES_SQL})""", attempts=shapes.ATTEMPTS))
@@ -106,6 +115,43 @@ def replicated_counts(t):
     return replica_counts({s.target: tables.read_table(t.spark, f"{folder}/{s.target_table}") for s in specs})
 
 
+@query(with_shapes(
+    """SELECT CAST(ATSLINKID AS BIGINT) AS ATSLINKID, CAST(ATSAUTHORIZATIONNUMBER AS INTEGER) AS ATSAUTHORIZATIONNUMBER,
+        CAST(LANDSFILENUMBER AS INTEGER) AS LANDSFILENUMBER,
+        CAST(DISPOSITION_TRANSACTION_SID AS INTEGER) AS DISPOSITION_TRANSACTION_SID, DISPOSITION_TRANSACTION_STRING
+    FROM links""", links=shapes.LINKS))
+def catalogue_columns(t):
+    """A table landed by the mapping that the catalogue has for it."""
+    spec = next(s for s in replica_specs("applications") if s.source_table == "VFCBC_ATSNUMBER_VW")
+    return landed(t.shape(shapes.LINKS), spec)
+
+
+@query("""SELECT o_orderkey, o_orderdate FROM orders""")
+def old_calendar_reading(t):
+    """Sources of shared views are read by the old calendar's rule, which leaves recent times alone."""
+    return tables.read_table(t.spark, f"{t.folder}/orders.parquet", rebase=tables.REBASE_LEGACY).select("o_orderkey", "o_orderdate")
+
+
+@query("""SELECT s_suppkey, upper(s_name) AS s_name FROM supplier""")
+def view_published_again(t):
+    """A session view is replaced by the next one of its name."""
+    name, suppliers = f"suppliers_{uuid.uuid4().hex}", t.table("supplier").select("s_suppkey", "s_name")
+    tables.publish_view(suppliers, name)
+    return tables.drop_and_publish_view(suppliers.withColumn("s_name", F.upper("s_name")), name)
+
+
+# Braces by number, as they mark tables in a shape.
+_SENT = """SELECT event_id, CASE event_id % 6 WHEN 0 THEN chr(123) || '"a":1,"a":2' || chr(125)
+    WHEN 1 THEN chr(123) || '"a":NaN' || chr(125) WHEN 2 THEN chr(123) || '"a":' WHEN 3 THEN ' '
+    WHEN 4 THEN chr(123) || '"a":[-Infinity, "NaN"]' || chr(125) ELSE props END AS value FROM {events}"""
+
+
+@query(with_shapes("SELECT event_id, value FROM sent WHERE event_id % 6 NOT IN (2, 3)", sent=_SENT))
+def lines_worth_sending(t):
+    """Repeated keys and NaN are sent; blanks and broken texts aren't."""
+    return delivery.sendable_lines(t.shape(_SENT))
+
+
 @query("""SELECT n_nationkey, n_name FROM nation""")
 def view_stored_once(t):
     """The second call finds the view and leaves it as it is."""

@@ -477,6 +477,13 @@ def job_with_holds_totals(t):
     return t.spark.createDataFrame(counts, "name string, n bigint")
 
 
+@query(permits_sql("SELECT least(count(*), 1000) AS source_rows FROM times"))
+def trial_job_rows(t):
+    """A trial run reads no more rows than it may; which ones is left open."""
+    done = _job(t, False, max_rows=1000)[1]
+    return t.table("orders").select(F.lit(done.source_rows).cast("bigint").alias("source_rows")).limit(1)
+
+
 @query(permits_sql(_hits({rule: f"times WHERE {where}" for rule, where in WHERE.items() if rule != "UNDER_REVIEW"})))
 def hits_of_one_source(t):
     """Rules of another source are left out; those that name none always count."""
