@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 #: Bytes of text that one block holds on average; a block is what one Python call works on.
 BLOCK_BYTES = 24 << 20
+ZSTD_LEVEL = 9
 
 
 def pack_by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -29,7 +30,7 @@ def pack_by_block(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]
 
 def _packed(table: pa.Table) -> bytes:
     sink = pa.BufferOutputStream()
-    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+    with pa.ipc.new_stream(sink, table.schema, options=pa.ipc.IpcWriteOptions(compression=pa.Codec("zstd", ZSTD_LEVEL))) as out:
         out.write_table(table)
     return sink.getvalue().to_pybytes()
 
@@ -45,10 +46,15 @@ def locator(id: str, text: str):
     return F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text)))
 
 
+def block_count(rows: DataFrame, text: str, block_bytes: int = BLOCK_BYTES) -> int:
+    """How many blocks of about ``block_bytes`` the texts fill."""
+    total = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
+    return max(1, -(-total // block_bytes))
+
+
 def in_blocks(rows: DataFrame, id: str, text: str, block_bytes: int = BLOCK_BYTES) -> DataFrame:
     """``block`` and ``blob``: every row's ``id`` and ``raw`` (its text's bytes), dealt by a hash and packed."""
-    total = rows.agg(F.sum(F.octet_length(text))).first()[0] or 0
-    blocks = max(1, -(-total // block_bytes))
+    blocks = block_count(rows, text, block_bytes)
     dealt = rows.select(
         F.pmod(F.xxhash64(locator(id, text), F.lit("block")), F.lit(blocks)).cast("int").alias("block"),
         F.col(id).cast("long").alias("id"),

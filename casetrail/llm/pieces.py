@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm.blocks import in_blocks, pack_by_block, unpacked
+from casetrail.llm.blocks import block_count, in_blocks, pack_by_block, unpacked
 
 MARK = "▁"
 PIECE_COST = 1e6
@@ -129,8 +129,9 @@ def fold_long(unit: str, model: Model, piece_cost: float) -> list[int]:
 
 
 def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST) -> DataFrame:
-    """``unit`` and ``ids`` of distinct units (column ``unit``, none of them empty)."""
-    spark = found.sparkSession
+    """The rows of distinct units (column ``unit``, none of them empty, up to ``LONG_UNIT`` characters) with their
+    ``ids``. Rows that are partitioned by unit stay where they are."""
+    spark, keys = found.sparkSession, found.columns
     longest = model.longest
     table = spark.createDataFrame(
         pa.table({
@@ -139,7 +140,6 @@ def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST)
             "cost": pa.array([piece_cost - s for _, s in model.pieces.values()], pa.float64()),
         })
     )
-    short = found.filter(F.length("unit") <= LONG_UNIT)
     sizes = lambda end: F.sequence(F.lit(1), F.least(end, F.lit(longest)))
     substrings = F.flatten(
         F.transform(
@@ -149,7 +149,7 @@ def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST)
             ),
         )
     )
-    lattice = short.select("unit", F.explode(substrings).alias("e")).select("unit", "e.end", "e.size", "e.piece")
+    lattice = found.select(*keys, F.explode(substrings).alias("e")).select(*keys, "e.end", "e.size", "e.piece")
     hexed = F.hex(F.encode("piece", "utf-8"))
     byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
     as_bytes = F.transform(
@@ -161,13 +161,13 @@ def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST)
         lattice.join(F.broadcast(table), "piece", "left")
         .filter("id IS NOT NULL OR size = 1")
         .select(
-            "unit", "end", "size",
+            *keys, "end", "size",
             F.coalesce("cost", F.lit(BYTES_COST)).alias("cost"),
             F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"),
         )
     )
-    by_end = edges.groupBy("unit", "end").agg(F.collect_list(F.struct("size", "cost", "ids")).alias("into"))
-    by_unit = by_end.groupBy("unit").agg(F.array_sort(F.collect_list(F.struct("end", "into"))).alias("ends"))
+    by_end = edges.groupBy(*keys, "end").agg(F.collect_list(F.struct("size", "cost", "ids")).alias("into"))
+    by_unit = by_end.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("end", "into"))).alias("ends"))
     start = F.array(F.struct(F.lit(0.0).alias("cost"), F.array().cast("array<int>").alias("ids")))
 
     def step(last, end):
@@ -180,15 +180,7 @@ def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST)
         )
         return F.slice(F.concat(F.array(F.array_min(paths)), last), 1, longest)
 
-    folded = by_unit.select("unit", F.aggregate("ends", start, step, lambda last: F.get(last, F.lit(0))["ids"]).alias("ids"))
-
-    def long_ones(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            ids = [fold_long(u, model, piece_cost) for u in batch["unit"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["unit"], pa.array(ids, pa.list_(pa.int32()))], ["unit", "ids"])
-
-    rest = found.filter(F.length("unit") > LONG_UNIT).select("unit").mapInArrow(long_ones, "unit string, ids array<int>")
-    return folded.unionAll(rest)
+    return by_unit.select(*keys, F.aggregate("ends", start, step, lambda last: F.get(last, F.lit(0))["ids"]).alias("ids"))
 
 
 def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "text", piece_cost: float = PIECE_COST) -> DataFrame:
@@ -198,23 +190,29 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
     space, as the format does not tell them apart; all else comes back as it was. Repeated rows are encoded each.
     Other columns are not looked at; an empty table gives no rows.
     """
+    # One shuffle of the texts and one of what is asked serve two readers each; what a reader doesn't need is carried
+    # along, as a narrower one would be shuffled anew.
     by_block = in_blocks(documents, id, text, BLOCK_BYTES).groupBy("block")
-    sent = documents.sparkSession.sparkContext.broadcast((neighbours(model), model.spelled))
+    sent = documents.sparkSession.sparkContext.broadcast((neighbours(model), model.spelled, model.pieces, model.byte_ids))
+    tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * block_count(documents, text, BLOCK_BYTES))
 
     def ask(packed: pa.Table) -> pa.Table:
         joined, own = sent.value[0], set()
         for table in unpacked(packed["blob"]):
             for x in table["raw"].cast(pa.string()).to_pylist():
-                own.update(units(x, joined))
+                own.update(u for u in units(x, joined) if len(u) <= LONG_UNIT)
         block = np.full(len(own), packed["block"][0].as_py(), dtype=np.int32)
         return pa.table({"unit": pa.array(sorted(own), pa.string()), "block": block})
 
-    asked = by_block.applyInArrow(ask, "unit string, block int").repartition("unit")
-    encoded = encode_units(asked.groupBy("unit").agg(F.count("*").alias("n")).select("unit"), model, piece_cost)
-    answers = asked.join(encoded, "unit").select("block", "unit", "ids").sortWithinPartitions("block")
+    # A unit of ten characters has some fifty substrings, so tasks are many, and not put together by their input's size.
+    asked = by_block.applyInArrow(ask, "unit string, block int").repartition(tasks, "unit")
+    encoded = encode_units(asked.groupBy("unit").agg(F.min("block").alias("least")), model, piece_cost)
+    answered = F.when(F.col("least") <= F.col("block"), F.col("ids")).alias("ids")
+    answers = asked.join(encoded, "unit").select("block", "unit", answered).sortWithinPartitions("block")
 
     def assemble(packed: pa.Table, known: pa.Table) -> pa.Table:
-        joined, spelled = sent.value
+        joined, spelled, table_of, byte_ids = sent.value
+        whole = Model(table_of, byte_ids, spelled)
         at, flat, sizes = {}, [], []
         for table in unpacked(known["blob"]):
             for u in table["unit"].to_pylist():
@@ -233,8 +231,12 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
                     texts.append(None)
                     continue
                 found = units(x, joined)
-                k = np.fromiter(map(at.__getitem__, found), dtype=np.int64, count=len(found))
-                own = flat[np.repeat(starts[k] - (np.cumsum(sizes[k]) - sizes[k]), sizes[k]) + np.arange(sizes[k].sum())]
+                try:
+                    k = np.fromiter(map(at.__getitem__, found), dtype=np.int64, count=len(found))
+                    own = flat[np.repeat(starts[k] - (np.cumsum(sizes[k]) - sizes[k]), sizes[k]) + np.arange(sizes[k].sum())]
+                except KeyError:  # a longer unit, which is folded here
+                    parts = [flat[starts[at[u]] : starts[at[u]] + sizes[at[u]]] if u in at else fold_long(u, whole, piece_cost) for u in found]
+                    own = np.concatenate(parts).astype(np.int32)
                 ids.append(own)
                 texts.append(decode(own.tolist(), spelled))
         return pa.table({"id": pa.array(names, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())})
