@@ -26,4 +26,5 @@ def training_sample(documents: DataFrame, labels: DataFrame, label: str, most: i
     total = known.count()
     if total > most:
         known = known.filter(F.pmod(F.xxhash64(F.col(id), F.lit("sample")), F.lit(1_000_000)) < int(1_000_000 * most / total))
-    return documents.join(known, id)
+    # At most about ``most`` ids, so they may go to every task.
+    return documents.join(F.broadcast(known), id)
