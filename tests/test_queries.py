@@ -5,11 +5,10 @@ import pytest
 
 import __spark_entry__ as spark_entry
 from tools.check import TABLES, rows_of
+from workload.registry import ORACLES, QUERIES
 
 from .conftest import SMALL
 
-QUERIES, ORACLES = spark_entry.queries(), spark_entry.oracle_sql()
-
 
 @pytest.fixture(scope="module")
 def checker():
@@ -33,6 +32,7 @@ def test_query_matches_sql(spark, checker, name):
 
 def test_every_query_has_sql():
     assert set(QUERIES) == set(ORACLES)
+    assert set(QUERIES) <= set(spark_entry.queries()) and set(ORACLES) <= set(spark_entry.oracle_sql())
 
 
 def test_entry_gives_event_records(spark):
