@@ -32,7 +32,7 @@ PIECE_COST = 1e6
 BYTES_COST = 1e8
 #: Units of more characters are folded in Python, since a higher-order aggregate copies its state at every step.
 LONG_UNIT = 200
-BLOCK_BYTES = 32 << 20
+BLOCK_BYTES = 12 << 20
 _PLACES = 20
 
 
