@@ -1,14 +1,13 @@
 """Language-model scores: prediction by partial matching, learned from the corpus, next to a unigram base.
 
-A text is coded as its words and the single white-space bytes after them; what stands between two white-space bytes
-in a row is an empty word. Each word is coded by the byte-context trie, with its end, then the white space or the end
-of the text by their shares. The trie is counted from the distinct words of the training side, all of them, and keeps
-a node when it holds at least 1 / ``NODES`` of all training symbols, so that each of its orders has at most ``NODES``
-nodes whatever the size of the corpus; what is not kept is part of its context's escape.
-
-Above its orders stand whole beginnings of words, as contexts without a limit in number, so that a word that the corpus
-has is known even where it is rare. Distinct words are coded once for the whole corpus. Documents are dealt into blocks; each block asks for its distinct
-words and gets their counts and code lengths back, so that neither the vocabulary nor a document is ever in one place.
+Every symbol of a text, white space and the end among them, is coded by the byte contexts before it, which run over
+white space and words within the document (``ppm.py``). All counted nodes stay, at every size of the corpus: they are
+tables partitioned by context, which the distinct contexts of the texts are joined with, one order after the other.
+
+Above the fixed orders stand whole beginnings of words. From there on a symbol's cost depends on its word and the
+white space after it alone, so distinct units are coded once for the whole corpus. Documents are dealt into blocks; each
+block asks for its distinct units and its distinct contexts elsewhere, and gets their counts and code lengths back, so
+that neither the vocabulary, nor the trie, nor a document is ever in one place.
 """
 
 from __future__ import annotations
@@ -18,37 +17,24 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casetrail.llm.blocks import in_blocks, unpacked
 from casetrail.llm.common import cut
 from casetrail.llm.labelled import held_out
-from casetrail.llm.ppm import ORDER, STEM, Trie, counted
+from casetrail.llm.ppm import BITS, DISCOUNT, ORDER, STEM, SYMBOLS, coded_beginnings, laid_out, units
 
-#: Nodes of each order, at most.
-NODES = 1_000_000
 HELD_OUT = 1
-#: Distinct words of one group, on average, whose beginnings are looked at together.
+#: Distinct units of one group, on average, whose beginnings are looked at together.
 GROUP_WORDS = 40_000
 BLOCK_BYTES = 16 << 20
-
-#: Keys that no word can have: white-space bytes, and the end of a text.
-SPACES = [bytes([x]) for x in (9, 10, 11, 12, 13, 32)]
-TEXT_END = b"  "
-_MARKS = [*SPACES, TEXT_END]
-
-
-def _pieces(raw: bytes | None) -> tuple[list[bytes], int, list[int]]:
-    """(words, number of empty words, number of each white-space byte)."""
-    raw = (raw or b"").lower()
-    words, spaces = raw.split(), [raw.count(x) for x in SPACES]
-    return words, sum(spaces) + 1 - len(words), spaces
+#: Contexts of up to this order are at most 67,000 by nature, and are sent to every task.
+SENT_ORDER = 1
 
 
 def vocabulary(documents: DataFrame, id: str, text: str) -> DataFrame:
-    """``word`` and its count ``c`` on the training side, for all words, marks and the empty word; 0 for words that
-    the held-out side alone has."""
+    """``unit`` and its count ``c`` on the training side, for all units; 0 for those that the held-out side alone has."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         counts: Counter = Counter()
@@ -57,46 +43,150 @@ def vocabulary(documents: DataFrame, id: str, text: str) -> DataFrame:
             words = sorted(counts)
             for at in range(0, len(words), 100_000):
                 some = words[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([counts[w] for w in some], pa.int64())], ["word", "c"])
+                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([counts[w] for w in some], pa.int64())], ["unit", "c"])
             counts.clear()
 
         for batch in batches:
             for raw, learn in zip(batch["raw"].to_pylist(), batch["learn"].to_pylist()):
-                words, empty, spaces = _pieces(raw)
                 if learn:
-                    counts.update(words)
-                    counts[b""] += empty
-                    counts.update(dict(zip(_MARKS, [*spaces, 1])))
+                    counts.update(units(raw))
                 else:
-                    for w in words:
+                    for w in units(raw):
                         counts.setdefault(w, 0)
-            if len(counts) > 1_000_000:
-                yield from told()
+                if len(counts) > 1_000_000:
+                    yield from told()
         yield from told()
 
-    rows = documents.select(F.col(text).cast("binary").alias("raw"), (~held_out(F.col(id), HELD_OUT)).alias("learn"))
-    return rows.mapInArrow(work, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
+    return _sides(documents, id, text).mapInArrow(work, "unit binary, c long").groupBy("unit").agg(F.sum("c").alias("c"))
 
 
-def build_trie(words: DataFrame) -> Trie:
-    """The trie of all counted words; the driver gets its kept nodes, at most ``NODES`` for each order."""
+def _sides(documents: DataFrame, id: str, text: str) -> DataFrame:
+    return documents.select(F.col(text).cast("binary").alias("raw"), (~held_out(F.col(id), HELD_OUT)).alias("learn"))
+
+
+def counted_nodes(documents: DataFrame, id: str, text: str) -> DataFrame:
+    """``key`` (a context of ``ORDER`` symbols and the one after it) and ``n`` on the training side, for all texts."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        parts: list[tuple[np.ndarray, np.ndarray]] = []
+
+        def summed() -> tuple[np.ndarray, np.ndarray]:
+            keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
+            return keys, np.bincount(inverse, np.concatenate([n for _, n in parts])).astype(np.int64)
+
+        def told(keys: np.ndarray, n: np.ndarray) -> Iterator[pa.RecordBatch]:
+            for at in range(0, len(keys), 100_000):
+                yield pa.RecordBatch.from_arrays([pa.array(keys[at : at + 100_000]), pa.array(n[at : at + 100_000])], ["key", "n"])
+
         for batch in batches:
-            order, key, n = counted(batch["word"].to_pylist(), batch["c"].to_numpy())
-            yield pa.RecordBatch.from_arrays([pa.array(order), pa.array(key), pa.array(n)], ["k", "key", "n"])
-
-    nodes = cut(words.filter("c > 0").mapInArrow(work, "k int, key long, n long").groupBy("k", "key").agg(F.sum("n").alias("n")))
-    total = nodes.filter("k = 0").agg(F.sum("n")).first()[0] or 0
-    kept = nodes.filter(F.col("n") * NODES >= total)
-    contexts = nodes.groupBy("k", F.shiftright("key", 9).alias("key")).agg(F.sum("n").alias("n"))
-    parents = contexts.join(kept.select("k", F.shiftright("key", 9).alias("key")).distinct(), ["k", "key"])
-    found = []
-    for rows in (kept, parents):
-        got = rows.select("k", "key", "n").toArrow()
-        k, key, n = (got[c].to_numpy() for c in ("k", "key", "n"))
-        found.append([(key[k == order], n[k == order]) for order in range(ORDER + 1)])
-    return Trie(*found)
+            learn = batch["learn"].to_numpy(zero_copy_only=False)
+            for first, laid in laid_out(batch["raw"]):
+                keys, own = laid.keys(laid.at), learn[first + laid.document]
+                found, times = np.unique(keys[own], return_counts=True)
+                parts += [(found, times), (other := np.unique(keys[~own]), np.zeros(len(other), dtype=np.int64))]
+            if sum(len(k) for k, _ in parts) > 2_000_000:
+                parts = [summed()]
+                if len(parts[0][0]) > 1_000_000:
+                    yield from told(*parts.pop())
+        if parts:
+            yield from told(*summed())
+
+    return _sides(documents, id, text).mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
+
+
+def _at(order: int, key: str | Column = "key") -> Column:
+    """A key's last symbol and the ``order`` before it."""
+    return (F.col(key) if isinstance(key, str) else key).bitwiseAND(F.lit((1 << BITS * (order + 1)) - 1))
+
+
+class Trie:
+    """For each order the table of nodes (``node``, ``count``) and that of contexts (``context``, its ``total``, the
+    number ``several`` of its symbols, and their summed counts ``excluded`` one order lower). All nodes are kept."""
+
+    def __init__(self, counted: DataFrame) -> None:
+        nodes = {ORDER: cut(counted.filter("n > 0").select(F.col("key").alias("node"), F.col("n").alias("count")))}
+        for order in range(ORDER - 1, -1, -1):
+            nodes[order] = cut(nodes[order + 1].groupBy(_at(order, "node").alias("node")).agg(F.sum("count").alias("count")))
+        self.nodes = {k: self._sent(v, k) for k, v in nodes.items()}
+        self.contexts = {}
+        for order in range(ORDER + 1):
+            both = nodes[order].withColumn("below", F.lit(0).cast("long"))
+            if order:
+                shorter = self.nodes[order - 1].select(F.col("node").alias("short"), F.col("count").alias("below"))
+                both = nodes[order].join(shorter, _at(order - 1, "node") == F.col("short"))
+            rows = both.groupBy(F.shiftright("node", BITS).alias("context"))
+            sums = rows.agg(F.sum("count").alias("total"), F.count("*").alias("several"), F.sum("below").alias("excluded"))
+            self.contexts[order] = self._sent(cut(sums), order)
+
+    @staticmethod
+    def _sent(rows: DataFrame, order: int) -> DataFrame:
+        return F.broadcast(rows) if order <= SENT_ORDER else rows
+
+    def coded(self, rows: DataFrame) -> DataFrame:
+        """Adds to ``log`` log10 of the probability of each ``key``. ``gone`` and ``kinds`` are the counts and the number
+        of symbols that a longer context than the trie's has seen; they go away."""
+        carried = [c for c in rows.columns if c not in ("log", "gone", "kinds")]
+        done = []
+        for order in range(ORDER, -1, -1):
+            met = rows.join(self.nodes[order], _at(order) == F.col("node"), "left")
+            met = met.join(self.contexts[order], F.shiftright(_at(order), BITS) == F.col("context"), "left")
+            # Where the longer context has seen the same symbols, there is nothing to choose, and so no cost.
+            more = F.col("several") > F.col("kinds")
+            share = F.coalesce(F.col("count") - DISCOUNT, DISCOUNT * (F.col("several") - F.col("kinds"))) / (F.col("total") - F.col("gone"))
+            met = cut(met.select(
+                *carried,
+                F.when(more, F.col("log") + F.log10(share)).otherwise(F.col("log")).alias("log"),
+                F.coalesce(F.col("excluded").cast("double"), "gone").alias("gone"),
+                F.coalesce(F.col("several").cast("double"), "kinds").alias("kinds"),
+                F.col("count").isNotNull().alias("hit"),
+            ))
+            done.append(met.filter("hit").select(*carried, "log"))
+            rows = met.filter("NOT hit").drop("hit")
+        done.append(rows.select(*carried, (F.col("log") - F.log10(F.greatest(F.lit(SYMBOLS) - F.col("kinds"), F.lit(1.0)))).alias("log")))
+        out = done[0]
+        for more in done[1:]:
+            out = out.unionAll(more)
+        return out
+
+
+def _coded_units(words: DataFrame, trie: Trie, coded: DataFrame) -> DataFrame:
+    """``unit``, ``c`` of its word, and ``ll``, the cost of what stands behind its first ``STEM`` bytes."""
+
+    def begin(group: pa.Table) -> pa.Table:
+        own, c = group["unit"].to_pylist(), group["c"].to_numpy()
+        by_word: Counter = Counter()
+        for w, n in zip(own, c.tolist()):
+            by_word[w[:-1]] += n
+        got = coded_beginnings(own, c)
+        named = pa.array(own, pa.binary())
+        sizes = [len(own), len(got.key), len(got.excluded)]
+
+        def column(kind: pa.DataType, *parts: object) -> pa.ChunkedArray:
+            return pa.chunked_array([pa.nulls(n, kind) if x is None else pa.array(x, kind) for n, x in zip(sizes, parts)], kind)
+
+        return pa.table({
+            "unit": column(pa.binary(), named, named.take(pa.array(got.unit)), None),
+            "c": column(pa.int64(), [by_word[w[:-1]] for w in own], None, None),
+            "ll": column(pa.float64(), got.log, None, None),
+            "key": column(pa.int64(), None, got.key, got.excluded),
+            "begun": column(pa.int64(), None, got.begun, got.excluded_of),
+            "kinds": column(pa.float64(), None, got.kinds, None),
+        })
+
+    # Units with the same beginning go to the same group, whose size doesn't depend on that of the vocabulary.
+    groups = max(1, -(-words.count() // GROUP_WORDS))
+    stem = F.expr(f"substring(unit, 1, least({STEM}, octet_length(unit) - 1))")
+    grouped = words.withColumn("g", F.pmod(F.xxhash64(stem), F.lit(groups))).groupBy("g")
+    told = cut(grouped.applyInArrow(begin, "unit binary, c long, ll double, key long, begun long, kinds double"))
+    missed = told.filter("kinds IS NOT NULL").select("unit", "key", "begun", "kinds")
+    lost = told.filter("unit IS NULL").select("key", F.col("begun").alias("of")).join(trie.nodes[ORDER], F.col("key") == F.col("node"))
+    gone = lost.groupBy("of").agg(F.sum("count").cast("double").alias("gone"))
+    begun = missed.filter("kinds > 0").join(gone, F.col("begun") == F.col("of")).select("unit", "key", F.lit(0.0).alias("log"), "gone", "kinds")
+    unseen = missed.filter("kinds = 0").select("unit", "key").join(coded, "key").select("unit", "log")
+    rest = trie.coded(begun).select("unit", "log").unionAll(unseen).groupBy("unit").agg(F.sum("log").alias("log"))
+    return told.filter("c IS NOT NULL").select("unit", "c", "ll").join(rest, "unit", "left").select(
+        "unit", "c", (F.col("ll") + F.coalesce("log", F.lit(0.0))).alias("ll")
+    )
 
 
 def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -107,55 +197,64 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     as they come. Without any training row all counts are 0, the base is uniform over one unseen token and the model
     over all symbols. Other columns are not looked at; an empty table gives no rows.
     """
-    spark = documents.sparkSession
     words = cut(vocabulary(documents, id, text))
-    marks = {bytes(r["word"]): r["c"] for r in words.filter(F.col("word").isin([bytearray(x) for x in [b"", *_MARKS]])).collect()}
-    plain = words.filter(~F.col("word").isin([bytearray(x) for x in [b"", *_MARKS]]))
-    sizes = plain.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v"), F.count("*").alias("words")).first()
-    ends = marks.get(TEXT_END, 0)
+    by_word = words.groupBy(F.expr("substring(unit, 1, octet_length(unit) - 1)").alias("word")).agg(F.sum("c").alias("c"))
+    sizes = by_word.agg(F.sum("c").alias("n"), F.count(F.when(F.col("c") > 0, 1)).alias("v")).first()
+    ends = documents.filter(~held_out(F.col(id), HELD_OUT)).count()
     train_tokens, kinds = (sizes["n"] or 0) + ends, sizes["v"] + (ends > 0)
     floor = train_tokens + 0.5 * (kinds + 1)
-    after = np.array([marks.get(x, 0) for x in _MARKS], dtype=np.float64) + 0.5
-    after = np.log10(after / after.sum())
-    trie = build_trie(words.filter(~F.col("word").isin([bytearray(x) for x in _MARKS])))
-    empty_word = float(trie.code_lengths([b""])[0])
-    sent = spark.sparkContext.broadcast(trie.arrays())
-
-    def code(group: pa.Table) -> pa.Table:
-        c = group["c"].to_numpy()
-        lengths = Trie.of(sent.value).code_lengths(group["word"].to_pylist(), c)
-        return pa.table({"word": group["word"], "c": c, "ll": lengths})
-
-    # Words with the same beginning go to the same group, whose size doesn't depend on that of the vocabulary.
-    groups = max(1, -(-sizes["words"] // GROUP_WORDS))
-    grouped = plain.withColumn("g", F.pmod(F.xxhash64(F.substring("word", 1, STEM)), F.lit(groups)))
-    coded = grouped.groupBy("g").applyInArrow(code, "word binary, c long, ll double")
+    nodes = cut(counted_nodes(documents, id, text))
+    trie = Trie(nodes)
+    coded = cut(trie.coded(nodes.select("key", *[F.lit(0.0).alias(c) for c in ("log", "gone", "kinds")])))
+    coded_units = _coded_units(words, trie, coded)
     blocks = in_blocks(documents, id, text, BLOCK_BYTES).groupBy("block")
 
-    def ask(block: pa.Table) -> pa.Table:
+    def ask_units(block: pa.Table) -> pa.Table:
         own: set[bytes] = set()
         for table in unpacked(block["blob"]):
             for raw in table["raw"].to_pylist():
-                own.update((raw or b"").lower().split())
-        return pa.table({"word": pa.array(sorted(own), pa.binary()), "block": pa.array([block["block"][0].as_py()] * len(own), pa.int32())})
+                own.update(units(raw))
+        return pa.table({"unit": pa.array(sorted(own), pa.binary()), "block": pa.array([block["block"][0].as_py()] * len(own), pa.int32())})
 
-    answers = blocks.applyInArrow(ask, "word binary, block int").join(coded, "word").select("block", "word", "c", "ll")
+    def ask_keys(block: pa.Table) -> pa.Table:
+        own = [np.empty(0, dtype=np.int64)]
+        for table in unpacked(block["blob"]):
+            own += [np.unique(laid.keys(laid.at[laid.shallow()])) for _, laid in laid_out(table["raw"])]
+        keys = np.unique(np.concatenate(own))
+        return pa.table({"key": pa.array(keys), "block": pa.array(np.full(len(keys), block["block"][0].as_py()), pa.int32())})
+
+    nothing = {"unit": "binary", "c": "long", "key": "long"}
+    empty = {c: F.lit(None).cast(kind).alias(c) for c, kind in nothing.items()}
+    answers = (
+        blocks.applyInArrow(ask_units, "unit binary, block int").join(coded_units, "unit").select("block", "unit", "c", empty["key"], "ll")
+        .unionAll(blocks.applyInArrow(ask_keys, "key long, block int").join(coded, "key").select("block", empty["unit"], empty["c"], "key", F.col("log").alias("ll")))
+    )
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        at = {w: k for k, w in enumerate(known["word"].to_pylist())}
-        c, ll = known["c"].to_numpy(), known["ll"].to_numpy()
+        of_unit = known.filter(known["unit"].is_valid())
+        of_key = known.filter(known["key"].is_valid()).sort_by("key")
+        at = {w: k for k, w in enumerate(of_unit["unit"].to_pylist())}
+        c, ll = of_unit["c"].to_numpy(), of_unit["ll"].to_numpy()
+        keys, costs = of_key["key"].to_numpy(), of_key["ll"].to_numpy()
         base, seen = np.log10((c + 0.5) / floor), c > 0
         out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
-        table = pa.concat_tables(unpacked(block["blob"]))
-        for raw in table["raw"].to_pylist():
-            words, empty, spaces = _pieces(raw)
-            k = np.fromiter(map(at.__getitem__, words), dtype=np.int64, count=len(words))
-            out["n_tokens"].append(len(words) + 1)
-            out["n_known"].append(int(seen[k].sum()) + (ends > 0))
-            out["base_score"].append(float(base[k].sum() + np.log10((ends + 0.5) / floor)))
-            out["score"].append(float(ll[k].sum() + empty * empty_word + np.array([*spaces, 1]) @ after))
+        ids = []
+        for table in unpacked(block["blob"]):
+            ids += table["id"].chunks
+            short = np.zeros(table.num_rows)
+            for first, laid in laid_out(table["raw"]):
+                where = laid.shallow()
+                cost = costs[np.searchsorted(keys, laid.keys(laid.at[where]))]
+                short += np.bincount(first + laid.document[where], cost, minlength=table.num_rows)
+            for raw, begun in zip(table["raw"].to_pylist(), short.tolist()):
+                words = units(raw)
+                k = np.fromiter(map(at.__getitem__, words), dtype=np.int64, count=len(words))
+                out["n_tokens"].append(len(words) + 1)
+                out["n_known"].append(int(seen[k].sum()) + (ends > 0))
+                out["base_score"].append(float(base[k].sum() + np.log10((ends + 0.5) / floor)))
+                out["score"].append(begun + float(ll[k].sum()))
         return pa.table({
-            "id": table["id"], "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
+            "id": pa.chunked_array(ids, pa.int64()), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
             "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64()),
         })
 
@@ -169,4 +268,3 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
         "base_score",
         "score",
     )
-

@@ -1,191 +1,171 @@
-"""Prediction by partial matching over a byte-context trie, in numpy.
+"""Prediction by partial matching over byte contexts of whole documents.
 
-The unit is a word with a start mark before and an end mark behind it. A context is up to ``ORDER`` symbols back, not
-further than the start mark. Keys pack a context and the symbol after it into 9 bits each, 0 for none.
+A document is its lower-cased bytes with a start mark before and an end mark behind them. A context is the ``ORDER``
+symbols before a symbol, white space and the words before it included, not further than the start mark. Keys pack a
+context and the symbol after it into 9 bits each, 0 for what would lie before the start mark.
 
-Escape estimation: a context seen n times with q kept symbols gives each of them (count - DISCOUNT) / n, and the rest
-to the next shorter context. Symbols that the longer context has kept are excluded there. A kept symbol of a context is
-kept in every shorter one too, since it is counted at least as often, so that what is excluded can be summed up
-beforehand for each context.
+Escape estimation: a context seen n times with q different symbols gives each of them (count - DISCOUNT) / n, and the
+rest to the next shorter context. Symbols that the longer context has seen are excluded there. As each of them was seen
+after the shorter context too, what is excluded can be summed up beforehand for each context.
 
-Above the fixed orders stand the whole beginnings of words, from ``STEM`` bytes on and without a limit on their number.
-Words with the same first ``STEM`` bytes are looked at together, so that no more than those are needed at once.
+Above the fixed orders stand whole beginnings of words, from ``STEM`` bytes on, however long. A unit is a word with
+the white-space byte after it, or ``LAST`` at the end of the text.
 """
 
 from __future__ import annotations
 
-from dataclasses import dataclass
+import re
+from collections.abc import Iterator
+from functools import lru_cache
+from typing import NamedTuple
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 ORDER = 4
 DISCOUNT = 0.25
-#: Beginnings of this many bytes to this many symbols are contexts of their own.
-STEM, DEEPEST = 4, 64
+#: Beginnings of words are contexts of their own from this many bytes on; all of a key's symbols are then in the word.
+STEM = ORDER
 START, END = 258, 257
 #: Bytes and the end mark.
 SYMBOLS = 257
 
-_BITS = 9
+BITS = 9
+#: Bytes of text looked at together, but for longer documents.
+CHUNK_BYTES = 2 << 20
 
+LAST = b"\x00"
+_UNIT = re.compile(rb"[^\t-\r ]+[\t-\r ]?")
+_SYMBOL = np.array([x + 1 + (32 if 65 <= x <= 90 else 0) for x in range(256)], dtype=np.int64)
+_IN_WORD = np.ones(START + 1, dtype=bool)
+_IN_WORD[[0, *(x + 1 for x in (9, 10, 11, 12, 13, 32)), START, END]] = False
 
-def spelled(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(symbols, place in the word, number of the word) of all words, start marks included."""
-    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words)) + 2
-    ends = np.cumsum(sizes)
-    symbols = np.empty(int(ends[-1]) if len(words) else 0, dtype=np.int64)
-    word = np.repeat(np.arange(len(words)), sizes)
-    place = np.arange(len(symbols)) - np.repeat(ends - sizes, sizes)
-    symbols[ends - sizes], symbols[ends - 1] = START, END
-    inner = np.ones(len(symbols), dtype=bool)
-    inner[ends - sizes] = inner[ends - 1] = False
-    symbols[inner] = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64) + 1
-    return symbols, place, word
-
-
-def contexts(symbols: np.ndarray, place: np.ndarray, order: int) -> tuple[np.ndarray, np.ndarray]:
-    """(positions that have a context of this order, the contexts' keys). Start marks are never predicted."""
-    at = np.flatnonzero(place >= max(order, 1))
-    key = np.zeros(len(at), dtype=np.int64)
-    for back in range(order, 0, -1):
-        key = (key << _BITS) | symbols[at - back]
-    return at, key
-
-
-def counted(words: list[bytes], counts: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-    """(order, key, count) of all trie nodes: a context with the symbol after it."""
-    symbols, place, word = spelled(words)
-    orders, keys, sums = [], [], []
-    for order in range(ORDER + 1):
-        at, context = contexts(symbols, place, order)
-        found, inverse = np.unique((context << _BITS) | symbols[at], return_inverse=True)
-        orders.append(np.full(len(found), order, dtype=np.int32))
-        keys.append(found)
-        sums.append(np.bincount(inverse, counts[word[at]].astype(np.float64), minlength=len(found)).astype(np.int64))
-    return np.concatenate(orders), np.concatenate(keys), np.concatenate(sums)
-
-
-@dataclass
-class Level:
-    """The kept contexts of one order: sorted keys, log of the escape and of the denominator's parts."""
-
-    nodes: np.ndarray
-    counts: np.ndarray
-    contexts: np.ndarray
-    total: np.ndarray
-    kept: np.ndarray
-    kinds: np.ndarray
-    excluded: np.ndarray
 
+def units(raw: bytes | None) -> list[bytes]:
+    """The units of a text, in its order."""
+    found = _UNIT.findall((raw or b"").lower() + LAST)
+    if found[-1] == LAST and (not raw or not _IN_WORD[raw[-1] + 1]):
+        found.pop()
+    return found
+
+
+class Laid(NamedTuple):
+    """Documents one after the other: their symbols, with ``ORDER`` zeros and the start mark before each; where each
+    one starts; the predicted positions, and the document of each."""
+
+    symbols: np.ndarray
+    starts: np.ndarray
+    at: np.ndarray
+    document: np.ndarray
 
-class Trie:
-    """Kept nodes by order. ``totals`` has the count of every context that has a kept node, whether all of its symbols
-    were kept or not."""
-
-    def __init__(self, nodes: list[tuple[np.ndarray, np.ndarray]], totals: list[tuple[np.ndarray, np.ndarray]]) -> None:
-        self.levels: list[Level] = []
-        for order, ((keys, counts), (seen, times)) in enumerate(zip(nodes, totals)):
-            by = np.argsort(keys)
-            keys, counts = keys[by], counts[by].astype(np.float64)
-            context, first = np.unique(keys >> _BITS, return_index=True)
-            group = np.repeat(np.arange(len(context)), np.diff(np.append(first, len(keys))))
-            kept = np.bincount(group, counts, minlength=len(context))
-            kinds = np.bincount(group, minlength=len(context)).astype(np.float64)
-            by = np.argsort(seen)
-            total = times[by][np.searchsorted(seen[by], context)].astype(np.float64) if len(context) else np.empty(0)
-            excluded = np.zeros(len(context))
-            if order:
-                # The same symbols one order lower: the context without its first symbol.
-                mask = (1 << (_BITS * order)) - 1
-                lower = self.levels[-1]
-                excluded = np.bincount(group, lower.counts[np.searchsorted(lower.nodes, keys & mask)], minlength=len(context))
-            self.levels.append(Level(keys, counts, context, total, kept, kinds, excluded))
-
-    def arrays(self) -> list[tuple]:
-        return [tuple(vars(x).values()) for x in self.levels]
-
-    @classmethod
-    def of(cls, arrays: list[tuple]) -> Trie:
-        out = cls([], [])
-        out.levels = [Level(*x) for x in arrays]
+    def keys(self, at: np.ndarray) -> np.ndarray:
+        out = np.zeros(len(at), dtype=np.int64)
+        for back in range(ORDER, -1, -1):
+            out = (out << BITS) | self.symbols[at - back]
         return out
 
-    def code_lengths(self, words: list[bytes], counts: np.ndarray | None = None) -> np.ndarray:
-        """log10 of each word's probability, end mark included. With ``counts``, of all words that begin like these,
-        their beginnings are contexts too."""
-        symbols, place, word = spelled(words)
-        log, done = np.zeros(len(symbols)), place == 0
-        # What the longer context has kept: its symbols' counts and kinds one order lower.
-        gone, kinds = np.zeros(len(symbols)), np.zeros(len(symbols))
-        if counts is not None and len(symbols):
-            self._beginnings(symbols, place, counts[word], log, done, gone, kinds)
-        for order in range(len(self.levels) - 1, -1, -1):
-            level = self.levels[order]
-            at, context = contexts(symbols, place, order)
-            open_ = ~done[at]
-            at, context = at[open_], context[open_]
-            if not len(level.contexts) or not len(at):
-                continue
-            # Many positions say the same; each saying is looked up once.
-            said, back = np.unique((context << _BITS) | symbols[at], return_inverse=True)
-            place_of = np.minimum(np.searchsorted(level.contexts, said >> _BITS), len(level.contexts) - 1)
-            known = level.contexts[place_of] == said >> _BITS
-            node = np.minimum(np.searchsorted(level.nodes, said), len(level.nodes) - 1)
-            hit = known & (level.nodes[node] == said)
-            place_of, node, known, hit = place_of[back], node[back], known[back], hit[back]
-            at, place_of, node, hit = at[known], place_of[known], node[known], hit[known]
-            room = level.total[place_of] - gone[at]
-            escape = level.total[place_of] - level.kept[place_of] + DISCOUNT * (level.kinds[place_of] - kinds[at])
-            # Where the longer context has kept the same symbols, there is nothing to choose, and so no cost.
-            more = level.kinds[place_of] > kinds[at]
-            log[at[more]] += np.log10(np.where(hit, level.counts[node] - DISCOUNT, escape)[more] / room[more])
-            done[at[hit]] = True
-            missed = ~hit
-            gone[at[missed]], kinds[at[missed]] = level.excluded[place_of[missed]], level.kinds[place_of[missed]]
-        rest = SYMBOLS - (float(self.levels[0].kinds[0]) if self.levels and len(self.levels[0].kinds) else 0.0)
-        log[~done] -= np.log10(max(rest, 1.0))
-        return np.bincount(word, log, minlength=len(words))
-
-    def _beginnings(self, symbols: np.ndarray, place: np.ndarray, weight: np.ndarray, log: np.ndarray, done: np.ndarray, gone: np.ndarray, kinds: np.ndarray) -> None:
-        """Codes what whole beginnings predict, and leaves what they exclude one step down."""
-        named = beginnings(symbols, place)
-        found, number = np.unique(named, return_inverse=True)
-        times = np.bincount(number, weight)
-        at = np.flatnonzero((place > STEM) & (place <= DEEPEST))
-        before, times_before = number[at - 1], times[number[at - 1]]
-        at, before, seen = (x[times_before > 0] for x in (at, before, times_before))
-        child = number[at]
-        # The distinct symbols that were seen after each beginning.
-        once, first = np.unique(child, return_index=True)
-        once, first = once[times[once] > 0], first[times[once] > 0]
-        parent = before[first]
-        several = np.bincount(parent, minlength=len(found))
-        hit = times[child] > 0
-        log[at] += np.log10(np.where(hit, times[child] - DISCOUNT, DISCOUNT * several[before]) / seen)
-        done[at[hit]] = True
-        # Of those symbols, the ones that the longest fixed context has kept as well.
-        for order in range(len(self.levels) - 1, -1, -1):
-            level = self.levels[order]
-            if len(level.nodes):
-                break
-        else:
-            return
-        key = np.zeros(len(first), dtype=np.int64)
-        for back in range(order, -1, -1):
-            key = (key << _BITS) | symbols[at[first] - back]
-        node = np.minimum(np.searchsorted(level.nodes, key), len(level.nodes) - 1)
-        both = level.nodes[node] == key
-        lost = np.bincount(parent[both], level.counts[node[both]], minlength=len(found))
-        fewer = np.bincount(parent[both], minlength=len(found))
-        missed = at[~hit]
-        gone[missed], kinds[missed] = lost[before[~hit]], fewer[before[~hit]]
-
-
-def beginnings(symbols: np.ndarray, place: np.ndarray) -> np.ndarray:
-    """A hash of each symbol together with all before it in its word, up to ``DEEPEST``."""
-    out = symbols.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)
-    for depth in range(1, min(int(place.max(initial=0)), DEEPEST) + 1):
-        at = np.flatnonzero(place == depth)
-        x = (out[at - 1] ^ (out[at - 1] >> np.uint64(29))) * np.uint64(0xBF58476D1CE4E5B9) + out[at]
-        out[at] = x ^ (x >> np.uint64(32))
-    return out
+    def shallow(self) -> np.ndarray:
+        """Which predicted positions have fewer than ``STEM`` bytes of a word before them."""
+        deep = np.ones(len(self.at), dtype=bool)
+        inner = _IN_WORD[self.symbols]
+        for back in range(1, STEM + 1):
+            deep &= inner[self.at - back]
+        return ~deep
+
+
+def laid_out(raw: pa.Array) -> Iterator[tuple[int, Laid]]:
+    """(number of the first document, documents), some at a time; null texts are empty."""
+    raw = raw.combine_chunks() if isinstance(raw, pa.ChunkedArray) else raw
+    sizes = pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    chunk = np.cumsum(sizes) // CHUNK_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(sizes)]
+    for a, b in zip(edges, edges[1:]):
+        if a == b:
+            continue
+        own = sizes[a:b]
+        ends = np.cumsum(own + ORDER + 2)
+        starts = ends - own - 2
+        symbols = np.zeros(int(ends[-1]), dtype=np.int64)
+        text = np.frombuffer(b"".join(x or b"" for x in raw.slice(a, b - a).to_pylist()), dtype=np.uint8)
+        document = np.repeat(np.arange(b - a), own + 1)
+        at = np.arange(len(document)) + document * (ORDER + 1) + ORDER + 1
+        symbols[starts], symbols[ends - 1] = START, END
+        inner = np.ones(len(at), dtype=bool)
+        inner[np.cumsum(own + 1) - 1] = False
+        symbols[at[inner]] = _SYMBOL[text]
+        yield a, Laid(symbols, starts, at, document)
+
+
+@lru_cache(maxsize=1)
+def _mixed() -> np.ndarray:
+    """A random 64-bit number for each symbol."""
+    return _finished(np.arange(1, START + 2, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+
+
+def _finished(x: np.ndarray) -> np.ndarray:
+    x = (x ^ (x >> np.uint64(30))) * np.uint64(0xBF58476D1CE4E5B9)
+    x = (x ^ (x >> np.uint64(27))) * np.uint64(0x94D049BB133111EB)
+    return x ^ (x >> np.uint64(31))
+
+
+_BASE = 0xD1342543DE82EF95
+_BASE_INVERSE = pow(_BASE, -1, 1 << 64)
+
+
+def _powers(base: int, n: int) -> np.ndarray:
+    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(max(n - 1, 0), base, dtype=np.uint64)])[:n], dtype=np.uint64)
+
+
+def beginnings(symbols: np.ndarray, start: np.ndarray) -> np.ndarray:
+    """A hash of each symbol together with all from ``start`` (a position for each symbol) on, by one running sum."""
+    sums = np.cumsum(_mixed()[symbols] * _powers(_BASE, len(symbols)), dtype=np.uint64)
+    before = np.where(start > 0, sums[np.maximum(start - 1, 0)], np.uint64(0))
+    return _finished((sums - before) * _powers(_BASE_INVERSE, len(symbols))[start])
+
+
+class Begun(NamedTuple):
+    """What whole beginnings say of units that begin alike: log10 by unit; the positions left to the fixed orders (unit,
+    key, beginning, number of symbols seen after it, 0 where it was not seen); for those the beginnings' symbols, as
+    keys."""
+
+    log: np.ndarray
+    unit: np.ndarray
+    key: np.ndarray
+    begun: np.ndarray
+    kinds: np.ndarray
+    excluded_of: np.ndarray
+    excluded: np.ndarray
+
+
+def coded_beginnings(words: list[bytes], counts: np.ndarray) -> Begun:
+    """For all units that begin like these, with their counts."""
+    sizes = np.fromiter(map(len, words), dtype=np.int64, count=len(words))
+    ends = np.cumsum(sizes)
+    symbols = np.frombuffer(b"".join(words), dtype=np.uint8).astype(np.int64) + 1
+    last = ends - 1
+    symbols[last] = np.where(symbols[last] == 1, END, symbols[last])
+    unit, start = np.repeat(np.arange(len(words)), sizes), np.repeat(ends - sizes, sizes)
+    place = np.arange(len(symbols)) - start
+    found, number = np.unique(beginnings(symbols, start), return_inverse=True)
+    times = np.bincount(number, counts[unit].astype(np.float64), minlength=len(found))
+    at = np.flatnonzero(place >= STEM)
+    key = np.zeros(len(at), dtype=np.int64)
+    for back in range(ORDER, -1, -1):
+        key = (key << BITS) | symbols[at - back]
+    before, child = number[at - 1], number[at]
+    # The distinct symbols that were seen after each beginning.
+    once, first = np.unique(child, return_index=True)
+    first = first[times[once] > 0]
+    several = np.bincount(before[first], minlength=len(found)).astype(np.float64)
+    hit, seen = times[child] > 0, times[before] > 0
+    paid = np.zeros(len(at))
+    paid[seen] = np.log10(np.where(hit, times[child] - DISCOUNT, DISCOUNT * several[before])[seen] / times[before][seen])
+    wanted = np.zeros(len(found), dtype=bool)
+    wanted[before[~hit & seen]] = True
+    told = first[wanted[before[first]]]
+    names = found.view(np.int64)
+    return Begun(
+        np.bincount(unit[at], paid, minlength=len(words)), unit[at][~hit], key[~hit], names[before[~hit]], several[before[~hit]],
+        names[before[told]], key[told],
+    )
