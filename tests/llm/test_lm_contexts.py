@@ -71,3 +71,12 @@ def test_words_before_count(spark):
     rows += [(held[0], "the cat sat on a mat"), (held[1], "mat a on sat cat the")]
     found = {r.doc_id: r.score for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found[held[0]] > found[held[1]] + 1
+
+
+def test_rare_nodes_stay(spark):
+    """A short word seen once among millions of symbols is still known, and its letters the other way round are not."""
+    learn = [i for i in range(1, 60) if zlib.crc32(str(i).encode()) % 5 != 1]
+    held = [i for i in range(60, 100) if zlib.crc32(str(i).encode()) % 5 == 1]
+    rows = [(i, "aaaa bbbb " * 10_000) for i in learn] + [(learn[0], "qx"), (held[0], "qx"), (held[1], "xq")]
+    found = {r.doc_id: r.score for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert found[held[0]] > found[held[1]] + 3
