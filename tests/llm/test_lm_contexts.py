@@ -80,3 +80,11 @@ def test_rare_nodes_stay(spark):
     rows = [(i, "aaaa bbbb " * 10_000) for i in learn] + [(learn[0], "qx"), (held[0], "qx"), (held[1], "xq")]
     found = {r.doc_id: r.score for r in lm_score.score_texts(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
     assert found[held[0]] > found[held[1]] + 3
+
+
+def test_long_words_are_contexts_to_their_end(spark):
+    rng = random.Random(9)
+    words = ["".join(rng.choice("ab") for _ in range(200)) for _ in range(3)]
+    rows = [(i, " ".join(rng.choice(words) for _ in range(3)).encode()) for i in range(60)]
+    table = spark.createDataFrame([(i, t.decode()) for i, t in rows], "doc_id long, text string")
+    assert {r.doc_id: r.score for r in lm_score.score_texts(table).collect()} == pytest.approx(by_hand(rows), rel=1e-9)
