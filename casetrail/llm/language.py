@@ -11,8 +11,10 @@ Bayes' rule over four sources taken as independent given the language:
 - Host: language shares of the host's rows, drawn towards those of its parent (its suffix, or all rows where there is
   none), which are drawn towards those of all rows. All three levels are grouped sums.
 
-The classes are declared languages with at least ``LEAST_SHARE`` of the rows, so there are at most 200, and the
-trigram table has a fixed number of places for each.
+The classes are declared languages with at least ``LEAST_ROWS`` rows, however small their share. The text of rows that
+declare a rarer one isn't counted; such rows get the class that their text and the other evidence speak for, or are
+rejected. The trigram table has a fixed number of places for each class. Up to ``TOGETHER`` classes are counted and
+scored in one pass; with more, that many at a time, and a text's scores are joined.
 """
 
 from __future__ import annotations
@@ -28,7 +30,8 @@ from pyspark.sql import functions as F
 from casetrail.llm.common import cut, sent_if_small
 
 BITS = 15
-LEAST_SHARE = 0.005
+#: Rows that a declared language needs to be a class; classes counted and sent to the tasks together.
+LEAST_ROWS, TOGETHER = 5, 200
 TEXT_WEIGHT = 40.0
 #: Pseudo-rows of the parent's shares in a host's, and of all rows' shares in a parent's.
 HOST_PRIOR, PARENT_PRIOR = 20.0, 100.0
@@ -85,12 +88,14 @@ def evidence(rows: DataFrame, text: str, declared: str | None, host: Column | No
     )
 
 
-def trigram_table(rows: DataFrame) -> tuple[list[str], np.ndarray]:
-    """(languages, log P(place | language)), from all rows with a declared language."""
-    shares = rows.groupBy("_declared").agg(F.count("*").alias("n"))
-    total = shares.agg(F.sum("n")).first()[0] or 0
-    large = shares.filter(F.col("_declared").isNotNull() & (F.col("n") >= LEAST_SHARE * total))
-    languages = sorted(r[0] for r in large.select("_declared").collect())  # at most 1 / LEAST_SHARE
+def classes(rows: DataFrame) -> list[str]:
+    """The declared languages with enough rows, in alphabetical order."""
+    enough = rows.filter("_declared IS NOT NULL").groupBy("_declared").agg(F.count("*").alias("n")).filter(F.col("n") >= LEAST_ROWS)
+    return sorted(r[0] for r in enough.select("_declared").collect())
+
+
+def trigram_table(rows: DataFrame, languages: list[str]) -> np.ndarray:
+    """log P(place | language), from all rows that declare one of ``languages``."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         number = {x: k for k, x in enumerate(languages)}
@@ -108,11 +113,11 @@ def trigram_table(rows: DataFrame) -> tuple[list[str], np.ndarray]:
     table = np.full((len(languages), 1 << BITS), 0.05)
     if got.num_rows:
         table[got["k"].to_numpy(), got["place"].to_numpy()] += got["n"].to_numpy()
-    return languages, np.log(table / table.sum(axis=1, keepdims=True))
+    return np.log(table / table.sum(axis=1, keepdims=True))
 
 
-def _text_scores(rows: DataFrame, table: np.ndarray, carried: list[str]) -> DataFrame:
-    """``carried`` columns, ``_ll`` (log-likelihood of each language, the best 0) and ``_grams``."""
+def _means(rows: DataFrame, table: np.ndarray, carried: list[str]) -> DataFrame:
+    """``carried`` columns, ``_ll`` (mean log-likelihood of a trigram in each language) and ``_grams``."""
     sent = rows.sparkSession.sparkContext.broadcast(np.ascontiguousarray(table.T.astype(np.float32)))
     kinds = [f"`{c}` {rows.schema[c].dataType.simpleString()}" for c in carried]
 
@@ -124,9 +129,7 @@ def _text_scores(rows: DataFrame, table: np.ndarray, carried: list[str]) -> Data
                 places = trigrams(raw)
                 grams.append(len(places))
                 if len(places):
-                    counts = np.bincount(places, minlength=len(by_place))
-                    mean = counts @ by_place / len(places)
-                    scores.append((mean - mean.max()) * min(len(places) / 3, TEXT_WEIGHT))
+                    scores.append(np.bincount(places, minlength=len(by_place)) @ by_place / len(places))
                 else:
                     scores.append(np.zeros(by_place.shape[1]))
             yield pa.RecordBatch.from_arrays(
@@ -136,6 +139,25 @@ def _text_scores(rows: DataFrame, table: np.ndarray, carried: list[str]) -> Data
     return rows.select(*carried, "_text").mapInArrow(work, ", ".join([*kinds, "_ll array<double>", "_grams long"]))
 
 
+def _text_scores(rows: DataFrame, languages: list[str], carried: list[str]) -> DataFrame:
+    """``carried`` columns, ``_ll`` (log-likelihood of each language, the best 0) and ``_grams``."""
+    parts = [languages[k : k + TOGETHER] for k in range(0, len(languages), TOGETHER)]
+    if len(parts) == 1:
+        means = _means(rows, trigram_table(rows, languages), carried)
+    else:
+        # Equal texts have equal scores, so that a digest of the text is enough to join by.
+        named = rows.withColumn("_print", F.sha2(F.coalesce(F.col("_text"), F.lit(b"")), 256))
+        means = named.select(*carried, "_print")
+        for k, part in enumerate(parts):
+            scored = cut(_means(named, trigram_table(rows, part), ["_print"]).dropDuplicates(["_print"]))
+            scored = scored.select(F.col("_print").alias("_at_print"), F.col("_ll").alias(f"_ll{k}"), F.col("_grams").alias(f"_grams{k}"))
+            means = means.join(scored, F.col("_print") == F.col("_at_print")).drop("_at_print")
+        means = means.select(*carried, F.concat(*[f"_ll{k}" for k in range(len(parts))]).alias("_ll"), F.col("_grams0").alias("_grams"))
+    weight = F.least(F.col("_grams") / 3, F.lit(TEXT_WEIGHT))
+    top = F.array_max("_ll")
+    return means.select(*carried, F.transform("_ll", lambda x: (x - top) * weight).alias("_ll"), "_grams")
+
+
 def _softmax(scores: Column) -> Column:
     top = F.array_max(scores)
     powers = F.transform(scores, lambda x: F.exp(x - top))
@@ -169,18 +191,18 @@ def identify(
 
     A row whose text is null, empty or without letters is ``und`` with probability 0 and not accepted. Without declared
     language or host, or with one that is null, that source says nothing. Repeated rows count each time and get the
-    same answer; ties go to the language first in alphabetical order. With no declared language in the whole table
-    (an empty one too) there are no classes, and every row is ``und``. Names that start with an underscore are taken.
+    same answer; ties go to the language first in alphabetical order. With no declared language that has
+    ``LEAST_ROWS`` rows (in an empty table too) there are no classes, and every row is ``und``. Names that start with an underscore are taken.
     """
     keep = [c for c in rows.columns if c != text] if carried is None else carried
     seen = evidence(rows, text, declared, host)
-    languages, table = trigram_table(seen)
+    languages = classes(seen)
     width = len(languages)
     if not width:
         return rows.select(
             *keep, F.lit(UNKNOWN).alias("language"), F.lit(0.0).alias("probability"), F.lit(UNKNOWN).alias("text_language"), F.lit(False).alias("accepted")
         )
-    scored = cut(_text_scores(seen, table, [*keep, "_declared", "_host", "_suffix"]))
+    scored = cut(_text_scores(seen, languages, [*keep, "_declared", "_host", "_suffix"]))
     speaks = scored.filter("_grams > 0").select("_declared", "_host", "_suffix", _softmax(F.col("_ll")).alias("_p"))
 
     everything = _sums(speaks, [], width).first()
