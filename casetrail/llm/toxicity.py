@@ -1,16 +1,18 @@
 """Toxicity: a weighted finite-state grammar over clauses.
 
-Five transducers rewrite a clause's words one after the other, each reading what the one before it wrote:
+Five weighted transducers are composed over a clause's words, each reading what the one before it wrote:
 
     insult      word -> INSULT, weighted by a lexicon that is learned from labelled rows
     threat      word -> THREAT (a fixed list of verbs)
-    target      word -> TARGET (second person and groups of people)
-    negation    a negating word, which takes weight from what follows it within ``REACH`` words
-    reported    a verb of saying or an opening quotation mark, which takes weight from the rest of the clause
-
-The composed machine's matches are clauses with an insult or a threat. Each falls into one class, by whether it is
-aimed at a target, negated or reported; what a clause adds is its weight in that class. A document's score is a
-logistic function of the classes' sums, fitted on the labelled sample: matched clauses count, not isolated words.
+    target      marks a match as AIMED if a second person or a group of people stands before it in the clause, or
+                behind it before the next match
+    negation    marks a match as NEGATED within ``REACH`` words behind a negating one, and takes weight from it
+    reported    marks a match as REPORTED behind a verb of saying, up to the end of the quotation that follows or else of
+                the clause, and between quotation marks
+
+The first two have one state, and their output is remembered by word; the others are transition tables. Each match
+falls into a class by its own marks and adds its weight there. A document's score is a logistic function of the classes'
+sums, fitted on the labelled sample: matches in their clauses count, not isolated words.
 """
 
 from __future__ import annotations
@@ -35,6 +37,8 @@ LEAST_DOCUMENTS, LEAST_CONTEXTS, LEAST_ODDS = 5, 4, 2.5
 #: Lengths of word beginnings that can be entries, so that inflected insults share one.
 BEGINNINGS = (4, 5, 6)
 REACH = 3
+#: What a negated match keeps of its weight.
+NEGATED_SHARE = 0.3
 THRESHOLD = 0.5
 
 THREAT = frozenset("kill hurt destroy beat shoot burn murder töten umbringen schlagen tuer frapper matar golpear".split())
@@ -48,13 +52,70 @@ SAYING = frozenset(
 )
 
 CLAUSE = re.compile(r"[.!?;:\n]+")
-WORD = re.compile(r"\w+(?:'\w+)?|[\"“«„]")
-QUOTES = frozenset('"“«„')
+WORD = re.compile(r"\w+(?:'\w+)?|[\"“”«»„]")
+QUOTES = frozenset('"“”«»„')
 
-#: Classes of a matched clause: plain, aimed, negated, reported, threatening, aimed threat; then the shares of the
-#: matched clauses and the largest weight of one.
+#: Classes of a match: plain, aimed, negated, reported, threatening, aimed threat; then the share of the clauses with a
+#: match and the largest weight of one.
 CLASSES = 8
 
+#: What a word is, as bits: several may hold.
+INSULT, THREATENS, TARGETS, NEGATES, SAYS, QUOTES_ = 1, 2, 4, 8, 16, 32
+MATCH = INSULT | THREATENS
+#: What a machine writes on a match.
+AIMED, NEGATED, REPORTED = 64, 128, 256
+
+
+@dataclass(frozen=True)
+class Machine:
+    """A sequential transducer: by state and the first of ``reads`` that a word is (else 0), the next state, the mark
+    written on a match, and the factor of its weight. ``backwards`` reads from the clause's end."""
+
+    reads: tuple[int, ...]
+    moves: dict[tuple[int, int], tuple[int, int, float]]
+    backwards: bool = False
+
+    def run(self, tape: list[list]) -> None:
+        state = 0
+        for cell in reversed(tape) if self.backwards else tape:
+            symbol = next((x for x in self.reads if cell[0] & x), 0)
+            state, mark, factor = self.moves[state, symbol]
+            if cell[0] & MATCH:
+                cell[0] |= mark
+                cell[1] *= factor
+
+
+def _target_before() -> Machine:
+    return Machine((TARGETS,), {(0, 0): (0, 0, 1.0), (0, TARGETS): (1, AIMED, 1.0), (1, 0): (1, AIMED, 1.0), (1, TARGETS): (1, AIMED, 1.0)})
+
+
+def _target_behind() -> Machine:
+    # A word that is target and match at once is read as the target, and so aims at the match before it too.
+    moves = {(s, TARGETS): (1, AIMED, 1.0) for s in (0, 1)}
+    moves |= {(s, MATCH): (0, AIMED if s else 0, 1.0) for s in (0, 1)} | {(s, 0): (s, 0, 1.0) for s in (0, 1)}
+    return Machine((TARGETS, MATCH), moves, backwards=True)
+
+
+def _negation() -> Machine:
+    # The state is how many words the negation still reaches. What is a match doesn't negate.
+    moves = {}
+    for left in range(REACH + 1):
+        written = (max(left - 1, 0), NEGATED if left else 0, NEGATED_SHARE if left else 1.0)
+        moves |= {(left, 0): written, (left, MATCH): written, (left, NEGATES): (REACH, 0, 1.0)}
+    return Machine((MATCH, NEGATES), moves)
+
+
+def _reported() -> Machine:
+    # 0: own words; 1: behind a verb of saying; 2: within quotation marks.
+    moves = {}
+    for state, quoted in ((0, 2), (1, 2), (2, 0)):
+        mark = REPORTED if state else 0
+        moves |= {(state, 0): (state, mark, 1.0), (state, QUOTES_): (quoted, 0, 1.0), (state, SAYS): (state or 1, mark, 1.0)}
+    return Machine((QUOTES_, SAYS), moves)
+
+
+CASCADE = (_target_before(), _target_behind(), _negation(), _reported())
+
 
 def clauses(text: str | None) -> Iterator[list[str]]:
     for part in CLAUSE.split(text.lower()) if text else ():
@@ -68,47 +129,52 @@ def entries(word: str) -> list[str]:
     return [word, *(word[:n] + "*" for n in BEGINNINGS if len(word) > n)]
 
 
-def match(words: list[str], lexicon: dict[str, float], known: dict[str, float]) -> tuple[int, float] | None:
-    """The class and weight of a clause, None where nothing matches. ``known`` remembers words' weights."""
-    weight, kind, aimed, reported, negated_until = 0.0, None, False, False, -1
-    for at, word in enumerate(words):
-        insult = known.get(word)
-        if insult is None:
-            insult = known[word] = max((lexicon.get(e, 0.0) for e in entries(word)), default=0.0)
-        if insult > 0:
-            negated = at <= negated_until
-            weight += insult * (0.3 if negated else 1.0)
-            kind = "negated" if negated and kind is None else kind or "plain"
-        elif word in THREAT:
-            kind, weight = "threat", weight + 1.0
-        elif word in NEGATION:
-            negated_until = at + REACH
-        if word in TARGET:
-            aimed = True
-        elif word in SAYING or word in QUOTES:
-            reported = reported or kind is None
-    if kind is None:
-        return None
-    if reported:
-        return 3, weight
-    if kind == "negated":
-        return 2, weight
-    if kind == "threat":
-        return (5 if aimed else 4), weight
-    return (1 if aimed else 0), weight
-
-
-def features(text: str | None, lexicon: dict[str, float], known: dict[str, float]) -> tuple[np.ndarray, int]:
-    """Sums by class, damped by a logarithm, then the share of matched clauses and the largest weight; and how many
-    clauses matched."""
+def read(word: str, lexicon: dict[str, float]) -> tuple[int, float]:
+    """What the insult and the threat transducer, and the word lists, make of a word: its bits and its weight."""
+    insult = max((lexicon.get(e, 0.0) for e in entries(word)), default=0.0)
+    bits = INSULT if insult > 0 else THREATENS if word in THREAT else 0
+    for bit, words in ((TARGETS, TARGET), (NEGATES, NEGATION), (SAYS, SAYING), (QUOTES_, QUOTES)):
+        bits |= bit if word in words else 0
+    return bits, insult if insult > 0 else 1.0
+
+
+def matches(words: list[str], lexicon: dict[str, float], known: dict[str, tuple[int, float]]) -> list[tuple[int, float]]:
+    """The class and weight of each match of a clause. ``known`` remembers what words are."""
+    tape, any_match = [], 0
+    for word in words:
+        cell = known.get(word)
+        if cell is None:
+            cell = known[word] = read(word, lexicon)
+        any_match |= cell[0]
+        tape.append(cell)
+    if not any_match & MATCH:
+        return []
+    tape = [list(cell) for cell in tape]
+    for machine in CASCADE:
+        machine.run(tape)
+    return [(_class(bits), weight) for bits, weight in tape if bits & MATCH]
+
+
+def _class(bits: int) -> int:
+    if bits & REPORTED:
+        return 3
+    if bits & NEGATED:
+        return 2
+    return (4 if bits & THREATENS else 0) + (1 if bits & AIMED else 0)
+
+
+def features(text: str | None, lexicon: dict[str, float], known: dict[str, tuple[int, float]]) -> tuple[np.ndarray, int]:
+    """Sums of matches by class, damped by a logarithm, then the share of clauses with a match and the largest weight of
+    one; and how many clauses had a match."""
     out, total, matched, most = np.zeros(CLASSES), 0, 0, 0.0
     for words in clauses(text):
         total += 1
-        found = match(words, lexicon, known)
+        found = matches(words, lexicon, known)
         if found:
             matched += 1
-            out[found[0]] += found[1]
-            most = max(most, found[1])
+            for kind, weight in found:
+                out[kind] += weight
+            most = max(most, sum(weight for _, weight in found))
     out[:6] = np.log1p(out[:6])
     out[6], out[7] = (matched / total if total else 0.0), most / 10
     return out, matched
@@ -120,7 +186,7 @@ class Grammar:
     bias: float
     weights: np.ndarray
 
-    def score(self, text: str | None, known: dict[str, float]) -> tuple[float, int]:
+    def score(self, text: str | None, known: dict[str, tuple[int, float]]) -> tuple[float, int]:
         """The score and the number of matched clauses."""
         found, matched = features(text, self.lexicon, known)
         raw = self.bias + float(self.weights @ found)
@@ -184,7 +250,7 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "toxic", id: str
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            known: dict[str, float] = {}
+            known: dict[str, tuple[int, float]] = {}
             found = [features(x, lexicon, known)[0] for x in batch["text"].to_pylist()]
             yield pa.RecordBatch.from_arrays([batch["id"], batch["label"], pa.array(found, pa.list_(pa.float64()))], ["id", "label", "x"])
 
