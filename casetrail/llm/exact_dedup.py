@@ -1,6 +1,6 @@
 """Exact dedup against a history: a minimal perfect hash over the history's distinct digests.
 
-The history's digests are dealt into shards of bounded size. Each shard gets a minimal perfect hash whose slots hold
+Both sides' digests are dealt into shards of bounded size. Each shard gets a minimal perfect hash whose slots hold
 the full digest and the winner's locator (its id). Distinct digests of the incoming rows look up their slot and are
 compared byte by byte; those that are not there form groups of their own. Both sides are aggregated by digest before
 anything else, so a group of copies is one row per task, however large it is.
@@ -69,7 +69,7 @@ def _probe(old: pa.Table, new: pa.Table) -> pa.Table:
 
 def digest_groups(history: DataFrame, incoming: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``digest``, ``group_size``, ``keep_id`` (largest id) and ``in_history`` of every distinct text of both sides."""
-    shards = max(1, -(-max(history.count(), 1) // SHARD_DIGESTS))
+    shards = max(1, -(-(history.count() + incoming.count()) // SHARD_DIGESTS))
     old, new = (_groups(side, id, text, shards) for side in (history, incoming))
     schema = "digest binary, group_size long, keep_id long, in_history boolean"
     return old.groupBy("shard").cogroup(new.groupBy("shard")).applyInArrow(_probe, schema)
@@ -98,9 +98,10 @@ def find_repeats(history: DataFrame, incoming: DataFrame, id: str = "doc_id", te
 
 
 def older_half(rows: DataFrame, id: str = "doc_id") -> tuple[DataFrame, DataFrame]:
-    """(history, incoming): rows whose id is at most the middle of the ids, and the others, null ids among them."""
-    low, high = rows.agg(F.min(id), F.max(id)).first()
-    old = F.coalesce(F.col(id) <= F.lit(None if low is None else (low + high) // 2).cast("long"), F.lit(False))
+    """(history, incoming): rows whose id is at most the approximate median of the ids, and the others, null ids among
+    them. The median is found among the ids' 53 leading bits."""
+    middle = rows.agg(F.percentile_approx(F.col(id).cast("long"), 0.5)).first()[0]
+    old = F.coalesce(F.col(id) <= F.lit(middle).cast("long"), F.lit(False))
     return rows.filter(old), rows.filter(~old)
 
 
