@@ -51,3 +51,16 @@ class MinimalPerfectHash:
             out[open_[hit]] = rank[at[hit]]
             open_ = open_[~hit]
         return out
+
+    def bits(self) -> list[bytes]:
+        """The levels' owned bits, one value a level; ``of_bits`` makes the same hash of them again."""
+        return [len(own).to_bytes(8, "little") + np.packbits(own).tobytes() for own, _ in self.levels]
+
+    @classmethod
+    def of_bits(cls, bits: list[bytes]) -> MinimalPerfectHash:
+        made = cls(np.empty((0, 8), dtype=np.uint8))
+        for level in bits:
+            own = np.unpackbits(np.frombuffer(level[8:], dtype=np.uint8), count=int.from_bytes(level[:8], "little")).astype(bool)
+            made.levels.append((own, made.size + np.cumsum(own, dtype=np.int64) - 1))
+            made.size += int(own.sum())
+        return made

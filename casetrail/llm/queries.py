@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, substrings, toxicity
+from casetrail.llm import chat, common_lines, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -186,3 +186,26 @@ def op10_sentencepiece(spark: SparkSession, folder: str) -> DataFrame:
     documents = table(spark, folder, "documents")
     encoded = pieces.encode_texts(documents, pieces.load_model(pieces.default_model()))
     return encoded.select("doc_id", "n_pieces", "ids", F.sha2(F.col("decoded").cast("binary"), 256).alias("decoded_sha256"))
+
+
+@query(
+    """
+WITH l AS (
+  SELECT doc_id, string_split(coalesce(text, ''), chr(10)) AS lines FROM documents
+), e AS (
+  SELECT doc_id, unnest(lines) AS line, unnest(range(1, len(lines) + 1)) AS pos FROM l
+), k AS (
+  SELECT *, translate(trim(line, ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS key FROM e
+), common AS (
+  SELECT key, max(doc_id) AS keep_id FROM k WHERE length(key) >= 40 GROUP BY key HAVING count(DISTINCT doc_id) >= 5
+), kept AS (
+  SELECT doc_id, string_agg(line, chr(10) ORDER BY pos) AS t, count(*) AS n
+  FROM k LEFT JOIN common USING (key) WHERE keep_id IS NULL OR keep_id = doc_id GROUP BY doc_id
+)
+SELECT doc_id, len(lines) AS n_lines, len(lines) - coalesce(n, 0) AS n_dropped, sha256(coalesce(t, '')) AS kept_sha256
+FROM l LEFT JOIN kept USING (doc_id)
+"""
+)
+def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    kept = common_lines.drop_common_lines(table(spark, folder, "documents"))
+    return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
