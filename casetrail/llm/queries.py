@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import chat, common_lines, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, substrings, toxicity
+from casetrail.llm import alignment, chat, common_lines, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -209,3 +209,15 @@ FROM l LEFT JOIN kept USING (doc_id)
 def op13_line_dedup(spark: SparkSession, folder: str) -> DataFrame:
     kept = common_lines.drop_common_lines(table(spark, folder, "documents"))
     return kept.select("doc_id", "n_lines", "n_dropped", F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256"))
+
+
+def tokenizer_files() -> tuple[str, str]:
+    """The public files of the machine this runs on."""
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model")
+
+
+@query()
+def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    return alignment.score_links(table(spark, folder, "documents"), alignment.Pair.read(*tokenizer_files()))
