@@ -1,6 +1,8 @@
 """Alignment against plain byte spans, on every document and on odd input."""
 
 import hashlib
+import json
+import random
 from collections import Counter
 
 import numpy as np
@@ -94,6 +96,23 @@ def test_groups_as_text(spark, pair):
     assert found[1].groups == whole and (found[2].n_a, found[2].groups) == (0, "")
 
 
+def test_quick_encoder_is_the_same(pair):
+    rng = random.Random(1)
+    alphabet = [*" \n\t\r'", *"abcXYZ019", *"!?.-_", *"éßÇñ中文日本한글नमस्", *"\u0085\u00a0\u180e\u200b\u2028\u3000\ufeff", "😀", "'s", "'LL", "<|endoftext|>", "\x00", "\U0001e900"]
+    texts = ["".join(rng.choice(alphabet) for _ in range(rng.randrange(1, 60))) for _ in range(3_000)]
+    texts += [" " * 300_000 + "x", "\n" * 4_999 + "y", "z" * 100_000]
+    assert pair.quick is not None
+    own = pair.a.encode_batch([" " + t for t in texts], add_special_tokens=False)
+    assert [x.tolist() for x in pair.a_ids(texts)] == [x.ids for x in own]
+
+
+def test_other_merges_have_no_quick_encoder(pair):
+    file = json.loads(pair.a_file)
+    file["model"]["merges"] = file["model"]["merges"][1:]
+    other = alignment.Pair(json.dumps(file), pair.b_file)
+    assert other.quick is None and len(other.a_ids(["some words", ""])) == 2
+
+
 @pytest.mark.parametrize("seed", range(5))
 def test_gallop_is_a_search(seed):
     rng = np.random.default_rng(seed)
