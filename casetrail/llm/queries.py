@@ -2,12 +2,13 @@
 
 from __future__ import annotations
 
+import zlib
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm import alignment, chat, common_lines, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, substrings, toxicity
+from casetrail.llm import alignment, chat, common_lines, decontaminate, exact_dedup, language, lm_score, near_dedup, pieces, quality, runs, substrings, toxicity
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -221,3 +222,36 @@ def tokenizer_files() -> tuple[str, str]:
 @query()
 def op12_tokenizer_alignment(spark: SparkSession, folder: str) -> DataFrame:
     return alignment.score_links(table(spark, folder, "documents"), alignment.Pair.read(*tokenizer_files()))
+
+
+def _with_made_runs(id: int | None, raw: bytes | None) -> list[bytes]:
+    """The words, in a tenth of the documents made periodic from a place on, both by a checksum of the id."""
+    words = runs.words_of(id, raw)
+    h, n = zlib.crc32(str(id).encode()), len(words)
+    if id is None or h % 10 or not n:
+        return words
+    g = h // 10
+    a = g % n
+    p = 1 + (n - a) // (3 + g % 8)
+    return [*words[:a], *(words[a + k % p] for k in range(n - a))]
+
+
+@query()
+def op11_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    """Every document's runs after a tenth of the documents were made periodic; the run of most periods, and digests."""
+    found = runs.find_runs(table(spark, folder, "documents"), read=_with_made_runs)
+    none = F.lit(None).cast("struct<start: long, length: long, period: long>")
+    # Runs come by start and period, so the first of equal ones stays.
+    more = lambda best, x: best.isNull() | (x["length"] * best["period"] > best["length"] * x["period"])
+    best = found.withColumn("best", F.aggregate("runs", none, lambda best, x: F.when(more(best, x), x).otherwise(best)))
+    line = lambda x: F.concat(x["start"], F.lit(","), x["length"], F.lit(","), x["period"], F.lit("\n"))
+    return best.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        "best.start",
+        "best.length",
+        "best.period",
+        F.floor(1000 * F.col("best.length") / F.col("best.period")).alias("exponent_milli"),
+        F.sha2(F.array_join(F.transform("runs", line), "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
