@@ -14,21 +14,26 @@ _SALT = "__null_salt"
 
 def spread_missing(key: Column) -> Column:
     """A cleaned text key; where there is none, a filler that starts with a blank, as no cleaned key does, and
-    differs from row to row. Rows that can match nothing are so dealt over all tasks."""
-    return F.coalesce(key, F.concat(F.lit(" "), F.monotonically_increasing_id().cast("string")))
+    names the task that sends the row. Rows that can match nothing are so dealt over all tasks."""
+    return F.coalesce(key, F.concat(F.lit(" "), F.spark_partition_id().cast("string")))
 
 
 def _null_salt(df: DataFrame, keys: Sequence[str]) -> Column:
-    """0 where the key is complete. Rows that can match nothing get a running number, and so are dealt over as many
-    tasks as the shuffle has; otherwise they would all meet in the partition of NULL. No further column is read."""
+    """0 where the key is complete, else the number of the task that sends the row, from 1.
+
+    Rows that can match nothing are so dealt over as many tasks as send them; otherwise they would all meet in the
+    partition of NULL. No further column is read. A task that runs again, because an executor was lost, has the same
+    rows in any order, so each goes where it went before: a running number would not do, as blocks that arrive in
+    another order number the rows anew, and those sent elsewhere are lost or doubled.
+    """
     incomplete = F.greatest(*[F.col(quoted(k)).isNull() for k in keys], F.lit(False))
-    return F.when(incomplete, F.monotonically_increasing_id() + 1).otherwise(F.lit(0))
+    return F.when(incomplete, F.spark_partition_id() + 1).otherwise(F.lit(0))
 
 
 def _matching_salt(keys: Sequence[str]) -> Column:
     """0 for every row that can match."""
     complete = F.least(*[F.col(quoted(k)).isNotNull() for k in keys], F.lit(True))
-    return F.when(complete, F.lit(0).cast("bigint"))
+    return F.when(complete, F.lit(0))
 
 
 def left_join(left: DataFrame, right: DataFrame, keys: Sequence[str], null_match: bool = False) -> DataFrame:

@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from casetrail.operators import dedup, routing, shape
-from casetrail.operators.joins import decode, lookup, matching, without_match
+from casetrail.operators.joins import decode, lookup, matching, spread_missing, without_match
 from casetrail.plans.water_staging import AUTHORIZATION, JOB, TRACKING, WaterTables, water_staging
 
 
@@ -23,7 +23,7 @@ def test_missing_keys_match_nothing_and_are_spread(spark):
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
     try:
-        used = lookup(left, right, [("k", "k")], columns=["v"]).select(F.spark_partition_id().alias("p")).distinct().count()
+        used = lookup(left.repartition(32, "id"), right, [("k", "k")], columns=["v"]).select(F.spark_partition_id().alias("p")).distinct().count()
     finally:
         spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
@@ -146,3 +146,79 @@ def test_trusted_links_equal_split_and_append(spark):
         for part in (own, none)
     ]
     assert rows(together) == rows(routing.append(*branches))
+
+
+def without_broadcast(spark):
+    for name, value in (("spark.sql.autoBroadcastJoinThreshold", "-1"), ("spark.sql.adaptive.enabled", "false")):
+        spark.conf.set(name, value)
+
+
+@pytest.fixture
+def plain_shuffles(spark):
+    without_broadcast(spark)
+    yield spark
+    for name in ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.enabled"):
+        spark.conf.unset(name)
+
+
+def chained(orders):
+    """Two lookups in a row; two thirds of the rows have no key in the first, and three quarters none in the second."""
+    spark = orders.sparkSession
+    customers = spark.createDataFrame([(i, i % 7 if i % 2 else None) for i in range(40)], "k int, nation int")
+    nations = spark.createDataFrame([(i, f"n{i}") for i in range(7)], "nation int, name string")
+    return lookup(lookup(orders, customers, [("k", "k")], columns=["nation"]), nations, [("nation", "nation")], columns=["name"])
+
+
+def many_orders(spark):
+    return spark.range(3000).selectExpr("id", "CAST(IF(id % 3 = 0, id % 40, NULL) AS INT) AS k").repartition(6, "id")
+
+
+def test_place_of_keyless_rows_doesnt_depend_on_their_order(plain_shuffles):
+    """What a task that runs again sends arrives in another order, and must go to the same tasks."""
+    orders = many_orders(plain_shuffles)
+    places = [
+        rows(chained(again).select("id", F.spark_partition_id().alias("place")))
+        for again in (orders.sortWithinPartitions("id"), orders.sortWithinPartitions(F.desc("id")))
+    ]
+    assert places[0] == places[1] and len({p for _, p in places[0]}) > 4
+    holds = plain_shuffles.createDataFrame([("1", [1])], "__hold_key string, on_hold_event_set array<int>")
+    keyed = [
+        rows(again.withColumn("__hold_key", spread_missing(F.lit(None).cast("string"))).join(holds, "__hold_key", "left")
+             .select("id", F.spark_partition_id().alias("place")))
+        for again in (orders.sortWithinPartitions("id"), orders.sortWithinPartitions(F.desc("id")))
+    ]
+    assert keyed[0] == keyed[1] and len({p for _, p in keyed[0]}) > 2
+
+
+def test_lost_map_outputs_lose_and_double_no_row(plain_shuffles):
+    spark = plain_shuffles
+    joined = chained(many_orders(spark))
+    jvm_rows = joined._jdf.queryExecution().toRdd()
+    assert jvm_rows.count() == 3000
+    tracker = spark.sparkContext._jvm.org.apache.spark.SparkEnv.get().mapOutputTracker()
+    shuffles = {d for d in joined.rdd.toDebugString().decode().split() if d.startswith("Shuffled")}
+    assert shuffles
+    thrown = 0
+    ids = tracker.shuffleStatuses().keys().iterator()
+    while ids.hasNext():
+        shuffle = ids.next()
+        statuses = tracker.shuffleStatuses().apply(shuffle).mapStatuses()
+        for task in range(0, len(statuses), 2):
+            if statuses[task] is not None:
+                tracker.unregisterMapOutput(shuffle, task, statuses[task].location())
+                thrown += 1
+    assert thrown and jvm_rows.count() == 3000
+    got = joined.collect()
+    assert sorted(r["id"] for r in got) == list(range(3000))
+    wanted = {i: (f"n{i % 40 % 7}" if i % 3 == 0 and i % 40 % 2 else None) for i in range(3000)}
+    assert {r["id"]: r["name"] for r in got} == wanted
+
+
+def test_no_running_number_below_a_shuffle(spark):
+    plans = [
+        chained(many_orders(spark)),
+        without_match(many_orders(spark), spark.createDataFrame([(1,)], "k int"), [("k", "k")]),
+        water_staging(water_tables(spark), JOB, "PERMIT_ID", corrected=True),
+    ]
+    for plan in plans:
+        assert "monotonically_increasing_id" not in plan._jdf.queryExecution().toString().lower()
