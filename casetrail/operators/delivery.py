@@ -9,6 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ..functions.json_text import is_json, on_one_line
 from ..functions.text import strip
 
 # Which answers are worth another attempt, and the limits of trying.
@@ -17,9 +18,6 @@ AUTH_STATUSES = (401, 403)
 MAX_ATTEMPTS = 3
 BACKOFF_CAP_SECONDS = 10
 
-# A bare NaN or Infinity; inside a text the change is harmless, as only validity is asked for.
-_NO_NUMBER = r"(?<=[\[:,\s]|^)-?(?:NaN|Infinity)(?=[\]},\s]|$)"
-
 DELIVERED, FAILED, PENDING = "delivered", "failed", "pending"
 
 
@@ -85,16 +83,13 @@ def totals(decided: DataFrame) -> DataFrame:
     ])
 
 
-def parsed(line: Column) -> Column:
-    """A JSON text as a variant, NULL if it is none. NaN and Infinity are let through as null; of a repeated key the
-    last one counts (a setting of ``session.prepare``)."""
-    return F.try_parse_json(F.regexp_replace(line, _NO_NUMBER, "null"))
-
-
 def sendable_lines(lines: DataFrame, column: str = "value") -> DataFrame:
-    """Lines worth sending: not blank, and JSON as senders read it, with NaN, Infinity and repeated keys allowed."""
+    """Lines worth sending: not blank, and JSON as senders read it, with NaN, Infinity and repeated keys allowed.
+
+    The lines stay as they are, whatever the length of their numbers, their nesting or their size.
+    """
     content = strip(F.col(column))
-    return lines.filter((content != "") & parsed(content).isNotNull())
+    return lines.filter((content != "") & is_json(content))
 
 
 def error_bucket(decided: DataFrame, records: DataFrame) -> DataFrame:
@@ -109,10 +104,8 @@ def error_bucket(decided: DataFrame, records: DataFrame) -> DataFrame:
 
 
 def error_lines(bucket: DataFrame) -> DataFrame:
-    """Error bucket as JSON lines, the record nested as an object."""
-    return bucket.select(
-        F.to_json(
-            F.struct("line_no", "record_id", "status_code", "error", parsed(F.col("record")).alias("record")),
-            {"ignoreNullFields": "false"},
-        ).alias("value")
-    )
+    """Error bucket as JSON lines, the record nested as the text it was sent as; null where it is no JSON."""
+    record = strip(F.col("record"))
+    fields = F.to_json(F.struct("line_no", "record_id", "status_code", "error"), {"ignoreNullFields": "false"})
+    nested = F.when(is_json(record), on_one_line(record)).otherwise(F.lit("null"))
+    return bucket.select(F.concat(F.left(fields, F.length(fields) - 1), F.lit(',"record":'), nested, F.lit("}")).alias("value"))

@@ -18,8 +18,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     be read as UTC."""
     spark.conf.set("spark.sql.session.timeZone", "UTC")
     spark.conf.set("spark.sql.codegen.hugeMethodLimit", LARGEST_COMPILED_METHOD)
-    # Of a repeated key in a JSON text the last one counts, as most readers have it.
-    spark.conf.set("spark.sql.variant.allowDuplicateKeys", "true")
     return spark
 
 

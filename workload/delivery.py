@@ -170,3 +170,43 @@ def lines_written_and_read(t):
     return jsonl.read_lines(t.spark, path).select(content).select(
         "c.event_id", "c.event_type", F.lit(written).cast("bigint").alias("lines")
     )
+
+
+# Texts that a reader of numbers or objects would change or refuse: ids of 45 and 400 digits, a number of 1,100, and
+# 1,100 brackets; and the same made invalid.
+def _long_texts(number, digit):
+    opened, closed = "repeat('[', 1100)", "repeat(']', 1100)"
+    keyed = """chr(123) || '"record_id":'"""
+    return f"""CASE {number} % 50
+        WHEN 10 THEN {opened} || {keyed} || '"x","record_id":1' || chr(125) || {closed}
+        WHEN 20 THEN {opened} || {digit} || {closed} || ']'
+        WHEN 30 THEN '[' || {opened} || {digit} || ',' || {closed} || ']'
+        ELSE {keyed} || CASE {number} % 5 WHEN 0 THEN repeat({digit}, 45) WHEN 1 THEN repeat({digit}, 400) || ',"b":"x,' || chr(92) || '"]"'
+            WHEN 2 THEN '-' || repeat({digit}, 1100) || '.50e+07, "b": NaN' WHEN 3 THEN '0' || repeat({digit}, 45)
+            ELSE repeat({digit}, 45) || '.' END || chr(125) END"""
+
+
+def _sent(number):
+    return f"CASE WHEN {number} % 50 IN (10, 20, 30) THEN {number} % 50 = 10 ELSE {number} % 5 < 3 END"
+
+
+LONG_LINES = f"""SELECT event_id, {_long_texts("event_id", "CAST(event_id % 9 + 1 AS STRING)")} AS value FROM {{events}}"""
+LONG_RECORDS = f"""SELECT DISTINCT CAST(user_id AS STRING) || '-' || event_type AS record_id, user_id AS line_no,
+    {_long_texts("user_id", "CAST(user_id % 9 + 1 AS STRING)")} AS value FROM {{events}}"""
+
+
+@query(with_shapes(f"""SELECT event_id, value FROM sent WHERE {_sent("event_id")}""", sent=LONG_LINES))
+def long_lines_worth_sending(t):
+    """Numbers of any length and any nesting are sent as they are; brackets too many and broken numbers aren't."""
+    return delivery.sendable_lines(t.shape(LONG_LINES))
+
+
+@query(with_shapes(
+    f"""SELECT '{{"line_no":' || d.line_no || ',"record_id":"' || d.record_id || '","status_code":'
+        || coalesce(CAST(status_code AS VARCHAR), 'null') || ',"error":"' || error
+        || '","record":' || CASE WHEN {_sent("d.line_no")} THEN r.value ELSE 'null' END || '}}' AS value
+    FROM ({OUTCOMES_SQL}) d JOIN records r ON d.record_id = r.record_id AND d.line_no = r.line_no
+    WHERE outcome = 'failed'""", attempts=shapes.ATTEMPTS, records=LONG_RECORDS))
+def bucket_of_long_records(t):
+    """Failed records stand in the bucket digit by digit."""
+    return delivery.error_lines(delivery.error_bucket(decided(t), t.shape(LONG_RECORDS)))
