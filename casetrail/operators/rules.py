@@ -4,7 +4,6 @@ from __future__ import annotations
 
 import json
 import operator
-import re
 from collections.abc import Callable, Iterable, Iterator, Mapping
 from dataclasses import dataclass
 from typing import Any
@@ -14,6 +13,7 @@ from pyspark.sql import functions as F
 
 from ..functions.text import NULL_WORDS
 from .facets import Attribute, Facets
+from .patterns import PatternError, rewritten
 
 # The operators of the rule grammar.
 EMPTINESS = ("null", "not_null")
@@ -157,8 +157,8 @@ def _compile_test(node: Mapping[str, Any], facets: Facets) -> Check:
     value, other = node.get("value"), node.get("other_attr")
     if op == "regex" and isinstance(value, str):
         try:
-            re.compile(value)
-        except re.error as problem:
+            pattern = rewritten(value)
+        except PatternError as problem:
             raise RuleError(f"bad pattern {value!r}: {problem}") from problem
 
     left = facets.attribute(name)
@@ -175,7 +175,7 @@ def _compile_test(node: Mapping[str, Any], facets: Facets) -> Check:
     if op == "regex":
         if not isinstance(value, str):
             return Check(F.when(left.nullish, F.lit(False)), may_fail=True)
-        return Check(_guarded(~left.nullish, left.printed.rlike(value)))
+        return Check(_guarded(~left.nullish, left.printed.rlike(pattern)))
     return Check(_guarded(~left.nullish, _with_literal(op, left, value)))
 
 

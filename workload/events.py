@@ -198,6 +198,28 @@ def rule_operators(t):
     return facets.project(rows).select("PERMIT_ID", *[c.alias(name) for name, c in tests.items()])
 
 
+# Names as the permits have them; each pattern has something that the two matchers read differently.
+NAMED = """SELECT event_id AS PERMIT_ID, CASE event_id % 8 WHEN 0 THEN 'Montréal' WHEN 1 THEN 'Montreal' WHEN 2 THEN 'Tŝilhqot''in'
+    WHEN 3 THEN 'xʷməθkʷəy̓əm' WHEN 4 THEN '٣٤' WHEN 5 THEN 'Ville de Québec' WHEN 6 THEN 'QUÉBEC 12' ELSE 'bb aa' || chr(160) || 'b' END AS NAME
+    FROM {events}"""
+PATTERN_TESTS = {
+    "one_word": (r"^\w+$", (0, 1, 4)), "digits": (r"^\d+\Z", (4,)), "word_end": (r"l\b", (0, 1)), "no_word": (r"[^\w\s]", (2, 3)),
+    "space": (r"\s", (5, 6, 7)), "any_case": (r"(?i)québec\b", (5, 6)), "doubled": (r"(?P<c>\w)(?P=c)", (5, 7)), "ascii": (r"(?a)^\w+$", (1,)),
+    "verbose": (r"(?x) ^ v | ^ V i  # ville", (5,)), "not_first": (r"(?<!^)M|\BQ|b$", (7,)),
+}
+
+
+@query(with_shapes(
+    "SELECT PERMIT_ID, " + ", ".join(f"PERMIT_ID % 8 IN {found}" .replace(",)", ")") + f" AS {name}" for name, (_, found) in PATTERN_TESTS.items())
+    + " FROM named", named=NAMED))
+def rule_patterns(t):
+    """Rules' patterns find what the matcher they were written for finds."""
+    rows = t.shape(NAMED)
+    facets = Facets(rows.schema)
+    tests = {name: compile_test({"op": "regex", "attr": "NAME", "value": pattern}, facets).holds for name, (pattern, _) in PATTERN_TESTS.items()}
+    return facets.project(rows).select("PERMIT_ID", *[c.alias(name) for name, c in tests.items()])
+
+
 _HIGH, _OPEN = {"op": ">", "attr": "FEE", "value": 250000}, {"op": "=", "attr": "STATUS", "value": "O"}
 _FAILING = {"op": "regex", "attr": "PRIORITY", "other_attr": "STATUS"}
 TREES = {
