@@ -35,10 +35,22 @@ def cut(rows: DataFrame) -> DataFrame:
     return rows.checkpoint(eager=True)
 
 
+def unused_name(rows: DataFrame, name: str) -> str:
+    """The name, or one with underscores behind it that no column has."""
+    taken = {c.lower() for c in rows.columns}
+    while name.lower() in taken:
+        name += "_"
+    return name
+
+
+#: Bytes of a row group that a task holds while it writes; whole texts fill the usual 128 MB quickly.
+ROW_GROUP_BYTES = 16 << 20
+
+
 def stored(rows: DataFrame, name: str) -> DataFrame:
     """Rows written as Parquet to a new place in the shared folder, and read again."""
     path = f"{shared_folder(rows.sparkSession)}/{name}-{uuid.uuid4().hex}"
-    rows.write.parquet(path)
+    rows.write.option("parquet.block.size", ROW_GROUP_BYTES).parquet(path)
     return rows.sparkSession.read.parquet(path)
 
 

@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrail.llm.common import cut, lower_ascii, sent_if_small
+from casetrail.llm.common import cut, lower_ascii, sent_if_small, unused_name
 
 #: What stands between words, after A-Z are lower-cased: ASCII that is neither a digit nor a letter.
 BETWEEN = "[\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+"
@@ -50,6 +50,26 @@ def prefix_words(documents: DataFrame, windows: DataFrame, text: str = "text") -
     return first.filter("rare.count > 0").select("rare.word", "rare.offset", "window", "items")
 
 
+def _with_candidates(
+    documents: DataFrame, items: DataFrame, id: str, text: str, item_id: str, item_text: str, length: int
+) -> tuple[DataFrame, str]:
+    """The documents with an array of windows that may occur (null for none) and where, and that column's name."""
+    key, candidate = unused_name(documents, "_key"), unused_name(documents, "_candidates")
+    windows = cut(item_windows(items, item_id, item_text, length))
+    prefixes = sent_if_small(prefix_words(documents, windows, text))
+    # Any key does that says the same for the same row: whatever else shares it is compared with its own words below.
+    keyed = documents.withColumn(key, F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text))))
+    placed = keyed.select(key, words(F.col(text)).alias("w")).select(key, F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
+    starts = placed.join(prefixes, "word").select(key, (F.col("pos") - F.col("offset")).alias("start"), "n", "window", "items")
+    within = starts.filter((F.col("start") >= 0) & (F.col("start") + F.size("window") <= F.col("n")))
+    candidates = within.groupBy(key).agg(F.collect_list(F.struct("start", "window", "items")).alias(candidate))
+    return keyed.join(candidates, key, "left").drop(key), candidate
+
+
+def _occurs(words: Column, candidate: Column) -> Column:
+    return F.slice(words, candidate["start"] + 1, F.size(candidate["window"])) == candidate["window"]
+
+
 def find_leaks(
     documents: DataFrame,
     items: DataFrame,
@@ -64,32 +84,28 @@ def find_leaks(
 
     Null texts and texts without a word have no hits. Rows are judged one by one, so repeated rows and repeated or
     null ids are no matter. Items without words occur nowhere; an item's null id counts for hits, but is not listed.
-    All columns of ``documents`` stay; names that start with an underscore are taken.
+    All columns of ``documents`` stay, whatever their names; three that are named as the new ones must not be there.
     """
-    windows = cut(item_windows(items, item_id, item_text, length))
-    prefixes = sent_if_small(prefix_words(documents, windows, text))
-    # Any key does that says the same for the same row: whatever else shares it is compared with its own words below.
-    keyed = documents.withColumn("_key", F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text))))
-    placed = keyed.select("_key", words(F.col(text)).alias("w")).select("_key", F.size("w").alias("n"), F.posexplode("w").alias("pos", "word"))
-    starts = placed.join(prefixes, "word").select("_key", (F.col("pos") - F.col("offset")).alias("start"), "n", "window", "items")
-    within = starts.filter((F.col("start") >= 0) & (F.col("start") + F.size("window") <= F.col("n")))
-    candidates = within.groupBy("_key").agg(F.collect_list(F.struct("start", "window", "items")).alias("_candidates"))
-
-    joined = keyed.join(candidates, "_key", "left").withColumn("_words", words(F.col(text)))
-    same = F.filter(
-        F.coalesce("_candidates", F.array().cast(candidates.schema["_candidates"].dataType)),
-        lambda c: F.slice(F.col("_words"), c["start"] + 1, F.size(c["window"])) == c["window"],
-    )
-    verified = joined.withColumn("_n_words", F.size("_words")).withColumn("_found", same)
-    covered = F.array_distinct(F.flatten(F.transform("_found", lambda c: F.sequence(c["start"], c["start"] + F.size(c["window"]) - 1))))
+    joined, candidate = _with_candidates(documents, items, id, text, item_id, item_text, length)
+    split, found = unused_name(joined, "_words"), unused_name(joined, "_found")
+    joined = joined.withColumn(split, words(F.col(text)))
+    none = F.array().cast(joined.schema[candidate].dataType)
+    verified = joined.withColumn(found, F.filter(F.coalesce(candidate, none), lambda c: _occurs(F.col(split), c)))
+    covered = F.array_distinct(F.flatten(F.transform(found, lambda c: F.sequence(c["start"], c["start"] + F.size(c["window"]) - 1))))
     return verified.select(
         *[F.col(c) for c in documents.columns],
-        F.col("_n_words").cast("long").alias("_n_words"),
+        F.size(split).cast("long").alias("_n_words"),
         F.size(covered).cast("long").alias("_n_hit"),
-        F.array_sort(F.array_distinct(F.flatten(F.transform("_found", lambda c: c["items"])))).alias("_leaks"),
+        F.array_sort(F.array_distinct(F.flatten(F.transform(found, lambda c: c["items"])))).alias("_leaks"),
     )
 
 
 def drop_leaks(documents: DataFrame, items: DataFrame, id: str = "doc_id", text: str = "text", length: int = WINDOW) -> DataFrame:
-    """The documents without any window of an item."""
-    return find_leaks(documents, items, id, text, length=length).filter("_n_hit = 0").select(*[F.col(c) for c in documents.columns])
+    """The documents without any window of an item; the rest as for ``find_leaks``.
+
+    The words are an element of an array, so that each text with candidates is split once, wherever the filter goes.
+    """
+    joined, candidate = _with_candidates(documents, items, id, text, "item_id", "text", length)
+    hit = F.exists(F.array(words(F.col(text))), lambda w: F.exists(candidate, lambda c: _occurs(w, c)))
+    clean = F.when(F.col(candidate).isNull(), F.lit(True)).otherwise(~hit)
+    return joined.filter(clean).select(*[F.col(c) for c in documents.columns])

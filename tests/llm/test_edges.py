@@ -199,3 +199,14 @@ def test_pipeline_on_odd_rows(spark, odd, none, tmp_path):
         for _, stage in corpus_pipeline.STAGES:
             before, docs = docs, stage(spark, docs, str(tmp_path))
         assert docs.count() <= before.count() and "ids" in docs.columns
+
+
+def test_leaks_beside_columns_of_the_same_names(spark):
+    rows = [(1, "a b c", "mine", "w"), (2, "x a b c d", "own", None), (2, None, None, "w"), (None, "z", "k", "v")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, _key string, _words string")
+    items = spark.createDataFrame([("i", "A b C")], "item_id string, text string")
+    found = decontaminate.find_leaks(df, items)
+    assert found.columns == [*df.columns, "_n_words", "_n_hit", "_leaks"]
+    assert sorted((r._key or "", r._words or "", r._n_hit) for r in found.collect()) == [("", "w", 0), ("k", "v", 0), ("mine", "w", 3), ("own", "", 3)]
+    left = decontaminate.drop_leaks(df, items)
+    assert left.columns == df.columns and sorted(str(r._key) for r in left.collect()) == ["None", "k"]
