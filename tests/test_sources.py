@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from casetrail.operators import delivery
 from casetrail.session import scratch_path, shared_dir
-from casetrail.sources import config, tables
+from casetrail.sources import config, jsonl, tables
 from casetrail.sources.catalogue import SYSTEMS, replica_specs
 from casetrail.sources.replicate import ReplicaSpec, landed, replicate, specs_from_copy_job
 from casetrail.sources.sharing import PERMIT_VIEWS, RIPARIAN_VIEWS, publish_share, shared_rows
@@ -164,3 +164,23 @@ def test_error_bucket_and_totals(spark):
 def test_sendable_lines(spark):
     df = spark.createDataFrame([('{"a":1}',), ("  ",), ("{bad",), (None,), (' {"b":2} ',)], "value string")
     assert delivery.sendable_lines(df).count() == 2
+
+
+def test_lines_are_numbered_where_they_stand(spark, tmp_path):
+    wanted = []
+    folder = tmp_path / "lines"
+    folder.mkdir()
+    for k, size in enumerate((500, 0, 3, 1200, 1)):
+        texts = [f"{k}:{i}" + "x" * (i % 50) for i in range(size)]
+        (folder / f"part-{k}.txt").write_text("".join(t + "\n" for t in texts))
+        wanted += [(t, i + 1) for i, t in enumerate(texts)]
+    for size in ("1000", "134217728"):
+        spark.conf.set("spark.sql.files.maxPartitionBytes", size)
+        spark.conf.set("spark.sql.files.openCostInBytes", "10")
+        try:
+            got = jsonl.read_numbered_lines(spark, str(folder)).orderBy("line_no").collect()
+        finally:
+            spark.conf.unset("spark.sql.files.maxPartitionBytes")
+            spark.conf.unset("spark.sql.files.openCostInBytes")
+        assert [r["line_no"] for r in got] == list(range(1, len(wanted) + 1))
+        assert [(r["value"], r["line_in_file"]) for r in got] == wanted

@@ -210,3 +210,23 @@ def long_lines_worth_sending(t):
 def bucket_of_long_records(t):
     """Failed records stand in the bucket digit by digit."""
     return delivery.error_lines(delivery.error_bucket(decided(t), t.shape(LONG_RECORDS)))
+
+
+@query("""SELECT '{"line_no":' || n || ',"record_id":"' || event_id || '","status_code":400,"error":"HTTP 400: ' || event_type
+        || '","record":{"record_id":"' || event_id || '","kind":"' || event_type || '"}}' AS value
+    FROM (SELECT *, row_number() OVER (ORDER BY event_id) AS n FROM events) WHERE event_id % 7 = 0""")
+def bucket_of_numbered_lines(t):
+    """Lines are written to several files, read back with their numbers, and those refused named by them."""
+    path = scratch_path(t.spark, "numbered")
+    events = t.table("events").repartitionByRange(8, "event_id").sortWithinPartitions("event_id")
+    kind = F.struct(F.col("event_id").cast("string").alias("record_id"), F.col("event_type").alias("kind"))
+    jsonl.write_lines(events.select(F.to_json(kind).alias("value")), path)
+    records = jsonl.read_numbered_lines(t.spark, path).select(
+        F.get_json_object("value", "$.record_id").alias("record_id"), "line_no", "value"
+    )
+    refused = F.col("record_id").cast("bigint") % 7 == 0
+    log = records.select(
+        "record_id", "line_no", F.lit(1).alias("attempt"), F.when(refused, 400).otherwise(200).alias("status"),
+        F.get_json_object("value", "$.kind").alias("error"),
+    )
+    return delivery.error_lines(delivery.error_bucket(delivery.outcomes(log), records))
