@@ -21,10 +21,11 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from casetrail.llm.blocks import block_count, in_blocks, pack_by_block, unpacked
+from casetrail.llm.blocks import block_count, by_bytes, in_blocks, pack_by_block, unpacked
 
 MARK = "▁"
 PIECE_COST = 1e6
@@ -32,8 +33,11 @@ PIECE_COST = 1e6
 BYTES_COST = 1e8
 #: Units of more characters are folded in Python, since a higher-order aggregate copies its state at every step.
 LONG_UNIT = 200
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 24 << 20
 _PLACES = 20
+_IDS = pa.list_(pa.int32())
+#: Bytes of text, and characters, that are worked on at once.
+_AT_ONCE = 2 << 20
 
 
 @dataclass
@@ -97,6 +101,54 @@ def units(text: str | None, joined: np.ndarray) -> list[str]:
     return [whole[a:b] for a, b in zip([0, *ends], [*ends, len(whole)])]
 
 
+def units_of(raw: pa.ChunkedArray, joined: np.ndarray) -> tuple[pa.Array, np.ndarray]:
+    """The units of many texts (their bytes) one after the other, and how many there are before each text and in all;
+    each text's are those that ``units`` finds. Null has none."""
+    text = raw.cast(pa.string()).combine_chunks()
+    marked = pc.replace_substring(pc.fill_null(text, ""), " ", MARK)
+    marked = pc.if_else(pc.equal(marked, ""), "", pc.binary_join_element_wise(MARK, marked, ""))
+    stops = np.concatenate([[0], np.cumsum(pc.binary_length(marked).to_numpy())])
+    data = "".join(marked.to_pylist()).encode()
+    plain = np.frombuffer(data, dtype=np.uint8)
+    # A character begins at each byte that does not carry one on.
+    begins = np.flatnonzero((plain & 0xC0) != 0x80)
+    codes = np.frombuffer(data.decode().encode("utf-32-le"), dtype=np.uint32)
+    apart = np.zeros(len(codes), dtype=bool)
+    for a in range(0, len(codes) - 1, _AT_ONCE):
+        some = codes[a : a + _AT_ONCE + 1].astype(np.uint64)
+        apart[a + 1 : a + len(some)] = ~joined[_pair_places(some[:-1], some[1:])]
+    at = np.searchsorted(begins, stops)
+    apart[at[at < len(codes)]] = True
+    cuts = np.append(begins[apart], len(data))
+    found = pa.StringArray.from_buffers(len(cuts) - 1, pa.py_buffer(cuts.astype(np.int32)), pa.py_buffer(data))
+    return found, np.searchsorted(cuts, stops)
+
+
+def decoded(offsets: np.ndarray, ids: np.ndarray, spelled: list[bytes], none: pa.Array) -> pa.Array:
+    """The texts of many sequences of ids, as ``decode`` gives them; null where ``none`` says so."""
+    sizes = np.fromiter(map(len, spelled), dtype=np.int64, count=len(spelled))
+    first, all_bytes = np.cumsum(sizes) - sizes, np.frombuffer(b"".join(spelled), dtype=np.uint8)
+    length = sizes[ids]
+    ends = np.concatenate([[0], np.cumsum(length)])
+    data = all_bytes[np.repeat(first[ids] - ends[:-1], length) + np.arange(ends[-1])].tobytes()
+    stops = ends[offsets].tolist()
+    texts = [data[a:b].decode("utf-8", "replace")[1:] for a, b in zip(stops, stops[1:])]
+    return pc.if_else(none, pa.scalar(None, pa.string()), pa.array(texts, pa.string()))
+
+
+def _ids_of(codes: pa.Array) -> pa.Array:
+    """Lists of ids from their codes."""
+    ends = np.concatenate([[0], np.cumsum(pc.binary_length(codes).to_numpy(zero_copy_only=False) // 4)])
+    ids = np.frombuffer(b"".join(codes.to_pylist()), dtype=">i4").astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+
+
+def _pieces_of(blobs: pa.ChunkedArray) -> Iterator[pa.Table]:
+    """The documents of a block, some at a time."""
+    for table in unpacked(blobs):
+        yield from by_bytes(iter(table.to_batches()), "raw", _AT_ONCE)
+
+
 def decode(ids: list[int] | np.ndarray, spelled: list[bytes]) -> str:
     """The text of a sequence of ids. Bytes that are no UTF-8 become replacement characters."""
     return b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")[1:]
@@ -128,59 +180,49 @@ def fold_long(unit: str, model: Model, piece_cost: float) -> list[int]:
     return settled + best[-1][1]
 
 
+def _code(i: int) -> bytes:
+    """An id in four bytes, which sort as the ids do."""
+    return i.to_bytes(4, "big")
+
+
 def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST) -> DataFrame:
     """The rows of distinct units (column ``unit``, none of them empty, up to ``LONG_UNIT`` characters) with their
-    ``ids``. Rows that are partitioned by unit stay where they are."""
+    ``code``: the ids, four bytes each, the first byte the highest. Rows that are partitioned by unit stay where they are."""
     spark, keys = found.sparkSession, found.columns
     longest = model.longest
     table = spark.createDataFrame(
         pa.table({
             "piece": pa.array(list(model.pieces), pa.string()),
-            "id": pa.array([i for i, _ in model.pieces.values()], pa.int32()),
+            "code": pa.array([_code(i) for i, _ in model.pieces.values()], pa.binary()),
             "cost": pa.array([piece_cost - s for _, s in model.pieces.values()], pa.float64()),
         })
     )
-    sizes = lambda end: F.sequence(F.lit(1), F.least(end, F.lit(longest)))
-    substrings = F.flatten(
-        F.transform(
-            F.sequence(F.lit(1), F.length("unit")),
-            lambda end: F.transform(
-                sizes(end), lambda n: F.struct(end.alias("end"), n.alias("size"), F.substring("unit", end - n + 1, n).alias("piece"))
-            ),
-        )
-    )
-    lattice = found.select(*keys, F.explode(substrings).alias("e")).select(*keys, "e.end", "e.size", "e.piece")
-    hexed = F.hex(F.encode("piece", "utf-8"))
-    byte_ids = F.array(*[F.lit(i) for i in model.byte_ids])
-    as_bytes = F.transform(
-        F.sequence(F.lit(0), F.octet_length("piece") - 1),
-        lambda k: F.get(byte_ids, F.conv(F.substring(hexed, 2 * k + 1, F.lit(2)), 16, 10).cast("int")),
-    )
+    # Explode and join are generated code as long as nothing here needs a lambda.
+    ends = found.select(*keys, F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("end"))
+    sized = ends.select(*keys, "end", F.explode(F.sequence(F.lit(1), F.least("end", F.lit(longest)))).alias("size"))
+    lattice = sized.withColumn("piece", F.substring("unit", F.col("end") - F.col("size") + 1, F.col("size")))
+    hexed, codes = F.hex(F.encode("piece", "utf-8")), F.array(*[F.lit(_code(i)) for i in model.byte_ids])
+    spelled = [F.get(codes, F.conv(F.substring(hexed, 2 * k + 1, 2), 16, 10).cast("int")) for k in range(4)]
+    in_bytes = F.concat(*[F.coalesce(x, F.lit(b"")) for x in spelled])
     # The table's size is that of the model's vocabulary, so it may go to every task.
     edges = (
         lattice.join(F.broadcast(table), "piece", "left")
-        .filter("id IS NOT NULL OR size = 1")
-        .select(
-            *keys, "end", "size",
-            F.coalesce("cost", F.lit(BYTES_COST)).alias("cost"),
-            F.when(F.col("id").isNotNull(), F.array("id")).otherwise(as_bytes).alias("ids"),
-        )
+        .filter("code IS NOT NULL OR size = 1")
+        .select(*keys, "end", "size", F.coalesce("cost", F.lit(BYTES_COST)).alias("cost"), F.coalesce("code", in_bytes).alias("code"))
     )
-    by_end = edges.groupBy(*keys, "end").agg(F.collect_list(F.struct("size", "cost", "ids")).alias("into"))
-    by_unit = by_end.groupBy(*keys).agg(F.array_sort(F.collect_list(F.struct("end", "into"))).alias("ends"))
-    start = F.array(F.struct(F.lit(0.0).alias("cost"), F.array().cast("array<int>").alias("ids")))
+    # Joined as bytes, paths are compared as their ids are, at a fraction of the cost.
+    by_unit = edges.groupBy(*keys).agg(F.collect_list(F.struct("end", "size", "cost", "code")).alias("edges"))
+    start = F.array(F.struct(F.lit(0.0).alias("cost"), F.lit(b"").alias("code")))
 
     def step(last, end):
-        paths = F.transform(
-            end["into"],
-            lambda e: F.struct(
-                (F.get(last, e["size"] - 1)["cost"] + e["cost"]).alias("cost"),
-                F.concat(F.get(last, e["size"] - 1)["ids"], e["ids"]).alias("ids"),
-            ),
-        )
-        return F.slice(F.concat(F.array(F.array_min(paths)), last), 1, longest)
+        def path(edge):
+            before = F.get(last, edge["size"] - 1)
+            return F.struct((before["cost"] + edge["cost"]).alias("cost"), F.concat(before["code"], edge["code"]).alias("code"))
+        into = F.filter("edges", lambda e: e["end"] == end)
+        return F.concat(F.array(F.array_min(F.transform(into, path))), F.slice(last, 1, longest - 1))
 
-    return by_unit.select(*keys, F.aggregate("ends", start, step, lambda last: F.get(last, F.lit(0))["ids"]).alias("ids"))
+    whole = F.sequence(F.lit(1), F.length("unit"))
+    return by_unit.select(*keys, F.aggregate(whole, start, step, lambda last: F.get(last, F.lit(0))["code"]).alias("code"))
 
 
 def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: str = "text", piece_cost: float = PIECE_COST) -> DataFrame:
@@ -197,49 +239,39 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
     tasks = max(int(documents.sparkSession.conf.get("spark.sql.shuffle.partitions")), 4 * block_count(documents, text, BLOCK_BYTES))
 
     def ask(packed: pa.Table) -> pa.Table:
-        joined, own = sent.value[0], set()
-        for table in unpacked(packed["blob"]):
-            for x in table["raw"].cast(pa.string()).to_pylist():
-                own.update(u for u in units(x, joined) if len(u) <= LONG_UNIT)
-        block = np.full(len(own), packed["block"][0].as_py(), dtype=np.int32)
-        return pa.table({"unit": pa.array(sorted(own), pa.string()), "block": block})
+        own = [pc.unique(units_of(table["raw"], sent.value[0])[0]) for table in _pieces_of(packed["blob"])]
+        own = pc.unique(pa.chunked_array(own, pa.string()))
+        own = own.filter(pc.less_equal(pc.utf8_length(own), LONG_UNIT))
+        return pa.table({"unit": own, "block": np.full(len(own), packed["block"][0].as_py(), dtype=np.int32)})
 
     # A unit of ten characters has some fifty substrings, so tasks are many, and not put together by their input's size.
     asked = by_block.applyInArrow(ask, "unit string, block int").repartition(tasks, "unit")
     encoded = encode_units(asked.groupBy("unit").agg(F.min("block").alias("least")), model, piece_cost)
-    answered = F.when(F.col("least") <= F.col("block"), F.col("ids")).alias("ids")
+    answered = F.when(F.col("least") <= F.col("block"), F.col("code")).alias("code")
     answers = asked.join(encoded, "unit").select("block", "unit", answered).sortWithinPartitions("block")
 
     def assemble(packed: pa.Table, known: pa.Table) -> pa.Table:
         joined, spelled, table_of, byte_ids = sent.value
         whole = Model(table_of, byte_ids, spelled)
-        at, flat, sizes = {}, [], []
-        for table in unpacked(known["blob"]):
-            for u in table["unit"].to_pylist():
-                at[u] = len(at)
-            flat.append(table["ids"].combine_chunks().flatten().to_numpy())
-            sizes.append(table["ids"].combine_chunks().value_lengths().to_numpy())
-        flat = np.concatenate(flat) if flat else np.empty(0, dtype=np.int32)
-        sizes = np.concatenate(sizes).astype(np.int64) if sizes else np.empty(0, dtype=np.int64)
-        starts = np.cumsum(sizes) - sizes
-        names, ids, texts = [], [], []
-        for table in unpacked(packed["blob"]):
-            names += table["id"].to_pylist()
-            for x in table["raw"].cast(pa.string()).to_pylist():
-                if x is None:
-                    ids.append(None)
-                    texts.append(None)
-                    continue
-                found = units(x, joined)
-                try:
-                    k = np.fromiter(map(at.__getitem__, found), dtype=np.int64, count=len(found))
-                    own = flat[np.repeat(starts[k] - (np.cumsum(sizes[k]) - sizes[k]), sizes[k]) + np.arange(sizes[k].sum())]
-                except KeyError:  # a longer unit, which is folded here
-                    parts = [flat[starts[at[u]] : starts[at[u]] + sizes[at[u]]] if u in at else fold_long(u, whole, piece_cost) for u in found]
-                    own = np.concatenate(parts).astype(np.int32)
-                ids.append(own)
-                texts.append(decode(own.tolist(), spelled))
-        return pa.table({"id": pa.array(names, pa.int64()), "ids": pa.array(ids, pa.list_(pa.int32())), "decoded": pa.array(texts, pa.string())})
+        replies = pa.concat_tables([pa.table({"unit": pa.array([], pa.string()), "code": pa.array([], pa.binary())}), *unpacked(known["blob"])])
+        names, of_unit = replies["unit"].combine_chunks(), _ids_of(replies["code"].combine_chunks())
+        done = [pa.table({"id": pa.array([], pa.int64()), "ids": pa.array([], _IDS), "decoded": pa.array([], pa.string())})]
+        for table in _pieces_of(packed["blob"]):
+            found, ends = units_of(table["raw"], joined)
+            found = found.dictionary_encode()
+            at = pc.index_in(found.dictionary, value_set=names)
+            if at.null_count:  # longer units, which are folded here
+                longer = found.dictionary.filter(pc.is_null(at))
+                names = pa.concat_arrays([names, longer])
+                of_unit = pa.concat_arrays([of_unit, pa.array([fold_long(u, whole, piece_cost) for u in longer.to_pylist()], _IDS)])
+                at = pc.index_in(found.dictionary, value_set=names)
+            own = of_unit.take(at.take(found.indices))
+            # Each text's units end where ``ends`` says, so its ids end where those of its last unit do.
+            offsets = own.offsets.to_numpy()[ends].astype(np.int32)
+            none = pc.is_null(table["raw"]).combine_chunks()
+            ids = pa.ListArray.from_arrays(pa.array(offsets), own.values, mask=none)
+            done.append(pa.table({"id": table["id"], "ids": ids, "decoded": decoded(offsets, own.values.to_numpy(), spelled, none)}))
+        return pa.concat_tables(done)
 
     replies = answers.mapInArrow(pack_by_block, "block int, blob binary")
     done = by_block.cogroup(replies.groupBy("block")).applyInArrow(assemble, "id long, ids array<int>, decoded string")
