@@ -36,6 +36,8 @@ LONG_UNIT = 200
 BLOCK_BYTES = 24 << 20
 _PLACES = 20
 _IDS = pa.list_(pa.int32())
+#: Numbers of 64 bits that say which substrings may be pieces; one in ten others passes with 32,000 pieces.
+_WORDS = 1 << 12
 #: Bytes of text, and characters, that are worked on at once.
 _AT_ONCE = 2 << 20
 
@@ -180,6 +182,18 @@ def fold_long(unit: str, model: Model, piece_cost: float) -> list[int]:
     return settled + best[-1][1]
 
 
+def _word(hashed):
+    return F.shiftrightunsigned(hashed, 6).bitwiseAND(_WORDS - 1)
+
+
+def _bits(table: DataFrame):
+    """An array of numbers whose bits are set for the hashes of the vocabulary's pieces."""
+    words = np.zeros(_WORDS, dtype=np.uint64)
+    for hashed, word in table.select(F.hash("piece").alias("h"), _word(F.hash("piece"))).collect():
+        words[word] |= np.uint64(1) << np.uint64(hashed & 63)
+    return F.lit(words.view(np.int64))
+
+
 def _code(i: int) -> bytes:
     """An id in four bytes, which sort as the ids do."""
     return i.to_bytes(4, "big")
@@ -200,7 +214,9 @@ def encode_units(found: DataFrame, model: Model, piece_cost: float = PIECE_COST)
     # Explode and join are generated code as long as nothing here needs a lambda.
     ends = found.select(*keys, F.explode(F.sequence(F.lit(1), F.length("unit"))).alias("end"))
     sized = ends.select(*keys, "end", F.explode(F.sequence(F.lit(1), F.least("end", F.lit(longest)))).alias("size"))
-    lattice = sized.withColumn("piece", F.substring("unit", F.col("end") - F.col("size") + 1, F.col("size")))
+    substrings = sized.withColumn("piece", F.substring("unit", F.col("end") - F.col("size") + 1, F.col("size")))
+    # Most substrings are no piece, and a bit for each hash of one tells so before the join.
+    lattice = substrings.filter((F.col("size") == 1) | (F.getbit(F.get(_bits(table), _word(F.hash("piece"))), F.hash("piece").bitwiseAND(63)) == 1))
     hexed, codes = F.hex(F.encode("piece", "utf-8")), F.array(*[F.lit(_code(i)) for i in model.byte_ids])
     spelled = [F.get(codes, F.conv(F.substring(hexed, 2 * k + 1, 2), 16, 10).cast("int")) for k in range(4)]
     in_bytes = F.concat(*[F.coalesce(x, F.lit(b"")) for x in spelled])
@@ -256,16 +272,18 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
         replies = pa.concat_tables([pa.table({"unit": pa.array([], pa.string()), "code": pa.array([], pa.binary())}), *unpacked(known["blob"])])
         names, of_unit = replies["unit"].combine_chunks(), _ids_of(replies["code"].combine_chunks())
         done = [pa.table({"id": pa.array([], pa.int64()), "ids": pa.array([], _IDS), "decoded": pa.array([], pa.string())})]
-        for table in _pieces_of(packed["blob"]):
-            found, ends = units_of(table["raw"], joined)
-            found = found.dictionary_encode()
-            at = pc.index_in(found.dictionary, value_set=names)
-            if at.null_count:  # longer units, which are folded here
-                longer = found.dictionary.filter(pc.is_null(at))
-                names = pa.concat_arrays([names, longer])
-                of_unit = pa.concat_arrays([of_unit, pa.array([fold_long(u, whole, piece_cost) for u in longer.to_pylist()], _IDS)])
-                at = pc.index_in(found.dictionary, value_set=names)
-            own = of_unit.take(at.take(found.indices))
+        tables = list(_pieces_of(packed["blob"]))
+        cut = [units_of(table["raw"], joined) for table in tables]
+        # One dictionary for the whole block, so that each of its units is looked up once.
+        found = pa.chunked_array([x for x, _ in cut], pa.string()).dictionary_encode()
+        distinct = found.chunk(0).dictionary if cut else names
+        at = pc.index_in(distinct, value_set=names)
+        if at.null_count:  # longer units, which are folded here
+            longer = distinct.filter(pc.is_null(at))
+            of_unit = pa.concat_arrays([of_unit, pa.array([fold_long(u, whole, piece_cost) for u in longer.to_pylist()], _IDS)])
+            at = pc.index_in(distinct, value_set=pa.concat_arrays([names, longer]))
+        for table, (_, ends), some in zip(tables, cut, found.chunks):
+            own = of_unit.take(at.take(some.indices))
             # Each text's units end where ``ends`` says, so its ids end where those of its last unit do.
             offsets = own.offsets.to_numpy()[ends].astype(np.int32)
             none = pc.is_null(table["raw"]).combine_chunks()
