@@ -33,13 +33,13 @@ PIECE_COST = 1e6
 BYTES_COST = 1e8
 #: Units of more characters are folded in Python, since a higher-order aggregate copies its state at every step.
 LONG_UNIT = 200
-BLOCK_BYTES = 24 << 20
+BLOCK_BYTES = 18 << 20
 _PLACES = 20
 _IDS = pa.list_(pa.int32())
 #: Numbers of 64 bits that say which substrings may be pieces; one in ten others passes with 32,000 pieces.
 _WORDS = 1 << 12
 #: Bytes of text, and characters, that are worked on at once.
-_AT_ONCE = 2 << 20
+_AT_ONCE = 1 << 19
 
 
 @dataclass
