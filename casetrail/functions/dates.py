@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from ..schemas import is_instant
+from .culture import written_instant
 from .text import attribute_text, strip
 
 # The shapes and bounds that decide which values count as dates.
@@ -29,6 +30,12 @@ def iso_instant(text: Column) -> Column:
     return F.when(text.rlike(ISO_SHAPE), text.try_cast("timestamp"))
 
 
+def read_instant(text: Column, day_first: bool = False) -> Column:
+    """Instant of staged date text: ISO first, with or without a final Z, then the forms the source systems write."""
+    trimmed = strip(text)
+    return F.coalesce(iso_instant(F.regexp_replace(trimmed, r"Z\z", "")), written_instant(trimmed, day_first))
+
+
 def has_offset(text: Column) -> Column:
     return text.rlike(OFFSET_TAIL)
 
@@ -56,7 +63,7 @@ def to_second(c: Column, dtype: T.DataType = T.StringType()) -> Column:
     """Timestamp rounded to the whole second, NULL where the value is no date."""
     if isinstance(dtype, T.DateType):
         return c.cast("timestamp_ntz")
-    stamp = c if is_instant(dtype) else iso_instant(strip(c))
+    stamp = c if is_instant(dtype) else read_instant(c)
     rounded = F.date_trunc("second", stamp.cast("timestamp") + F.expr("INTERVAL 500 MILLISECONDS"))
     return rounded.cast("timestamp_ntz") if isinstance(dtype, T.TimestampNTZType) else rounded
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .facets import Facets
@@ -12,6 +12,8 @@ from .rules import Rule, match_column
 
 # Fixed value: length of the rule-hit report unless told otherwise.
 TOP_RULES = 15
+# Matches that one number carries, a bit each.
+HITS_A_NUMBER = 62
 
 
 class EmptyOutput(RuntimeError):
@@ -25,6 +27,32 @@ def rule_hits(rows: DataFrame, rules: Sequence[Rule]) -> DataFrame:
     return facets.project(rows).agg(*hits)
 
 
+def packed_hits(rules: Sequence[Rule], facets: Facets, prefix: str) -> dict[str, Column]:
+    """The rules a row matches as bits, in as few numbers as will hold them: 300 rules take five.
+
+    So matches cross a shuffle with their row and are counted behind it. What a task counts in front of a shuffle is
+    counted again when the task runs again; in the stage that writes, each task counts once.
+    """
+    packed = {}
+    for first in range(0, len(rules), HITS_A_NUMBER):
+        bits = F.lit(0).cast("bigint")
+        for place, rule in enumerate(rules[first:first + HITS_A_NUMBER]):
+            bit = F.when(match_column(rule, facets), F.lit(1 << place).cast("bigint")).otherwise(F.lit(0).cast("bigint"))
+            bits = bits.bitwiseOR(bit)
+        packed[f"{prefix}{first // HITS_A_NUMBER}"] = bits
+    return packed
+
+
+def unpacked_hits(rules: Sequence[Rule], prefix: str) -> list[Column]:
+    """Counts over rows with ``packed_hits``: ``hit_0`` for the first rule and so on."""
+    counts = []
+    for i in range(len(rules)):
+        number, place = divmod(i, HITS_A_NUMBER)
+        bit = F.col(f"{prefix}{number}").bitwiseAND(F.lit(1 << place).cast("bigint"))
+        counts.append(F.count_if(bit != 0).alias(f"hit_{i}"))
+    return counts
+
+
 def hit_report(counts: DataFrame, rules: Sequence[Rule], top: int = TOP_RULES) -> DataFrame:
     """The rules hit most often; rules never hit count 0, ties keep rule order."""
     pairs = F.array(*[

@@ -73,7 +73,7 @@ def converted(c: Column, dtype: T.DataType, target: str) -> Column:
     if target == "string":
         return text.plain_text(c, dtype)
     if target.startswith("timestamp"):
-        stamp = c if is_instant(dtype) else dates.iso_instant(text.strip(text.plain_text(c, dtype)))
+        stamp = c if is_instant(dtype) else dates.read_instant(text.plain_text(c, dtype))
         return stamp.try_cast(target)
     if target == "bigint":
         return F.round(numbers.to_number(c, dtype)).try_cast("bigint")

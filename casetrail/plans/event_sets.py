@@ -18,13 +18,17 @@ from ..operators.holds import (
     PERMIT_KEY_COLUMNS, attach_holds, grouped_hold_hits, grouped_holds, hold_event_rows, hold_hits,
     matched_hold_events,
 )
-from ..operators.report import TOP_RULES, hit_report, rule_hits, run_summary
+from ..operators.report import TOP_RULES, hit_report, packed_hits, rule_hits, run_summary, unpacked_hits
 from ..operators.rules import Rule, match_column, missing_columns
 from ..schemas import quoted
 from ..session import prepare
 from ..sources import config, jsonl, tables
 
 
+# Columns that carry a permit's rule matches over the join with its holds.
+_MATCHES = "__matches_"
+
+
 @dataclass(frozen=True)
 class Job:
     """A named event-set job: where its rows are staged, and its system id."""
@@ -58,14 +62,17 @@ class Ruleset:
 
 def with_process_events(permits: DataFrame, rules: Sequence[Rule], spec: RecordSpec,
                         keep: Sequence[Column], only_matched: bool = False,
-                        seen: Observation | None = None) -> DataFrame:
+                        seen: Observation | None = None, carry: str | None = None) -> DataFrame:
     """Permits with the array of their process events, in rule order. No shuffle.
 
-    ``seen`` is told the rows read (``source_rows``) and the matches of each rule (``hit_0`` and so on).
+    ``seen`` is told the rows read (``source_rows``) and the matches of each rule (``hit_0`` and so on). Where a shuffle
+    follows, ``carry`` names columns for the matches instead, to be counted behind it.
     """
     facets = Facets(permits.schema)
     events = event_array(process_events(rules, facets, spec), PROCESS_EVENTS)
+    matches = packed_hits(rules, facets, carry) if carry else {}
     rows = facets.project(permits)
+    keep = [*keep, *[bits.alias(name) for name, bits in matches.items()]]
     if seen is not None:
         hits = [F.count_if(match_column(rule, facets)).alias(f"hit_{i}") for i, rule in enumerate(rules)]
         rows = rows.observe(seen, F.count(F.lit(1)).alias("source_rows"), *hits)
@@ -88,16 +95,19 @@ def event_set_with_holds(permits: DataFrame, holds: DataFrame, rules: Ruleset, s
     """Records with process events and the on-hold periods of the permit's authorization.
 
     Only the id, the system id, the key and the events cross the join. ``holds_seen`` is told the matches of each hold
-    rule (``hit_0`` and so on) over all permit and hold pairs.
+    rule (``hit_0`` and so on) over all permit and hold pairs. Both observations stand behind the join, in the stage that
+    writes the records, so a map task that runs again is not counted twice.
     """
     keep = _columns(permits, (spec.id_column, spec.system_column, *candidates))
-    rows = with_process_events(permits, rules.process, spec, keep, seen=seen)
+    rows = with_process_events(permits, rules.process, spec, keep, carry=_MATCHES if seen is not None else None)
     if holds_seen is None or not rules.holds:
         joined = attach_holds(rows, grouped_holds(hold_event_rows(holds, rules.holds, spec)), candidates)
     else:
         names = [f"hit_{i}" for i in range(len(rules.holds))]
         joined = attach_holds(rows, grouped_hold_hits(holds, rules.holds, spec), candidates)
         joined = joined.observe(holds_seen, *[F.sum(n).alias(n) for n in names]).drop(*names)
+    if seen is not None:
+        joined = joined.observe(seen, F.count(F.lit(1)).alias("source_rows"), *unpacked_hits(rules.process, _MATCHES))
     any_event = (F.size("process_event_set") + F.size("on_hold_event_set")) > 0
     return build_records(joined.filter(any_event), spec)
 

@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterable, Mapping
+from collections.abc import Callable, Iterable, Mapping, Sequence
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import DataFrame, SparkSession
@@ -49,9 +49,10 @@ class ReplicaSpec:
 class JdbcSource:
     """Connection to the system that is copied.
 
-    A table with an entry in ``ranges`` (column, lowest, highest) is read by that many parallel
-    range queries. One named in ``small`` is read by a single query; any other is refused, as one
-    task would have to move it.
+    A table with an entry in ``predicates`` is read by one query each (``sources.split`` makes them from the keys
+    themselves). One with an entry in ``ranges`` (column, lowest, highest) is read by ``partitions`` even ranges, which
+    suits keys without gaps. One named in ``small`` is read by a single query; any other is refused, as one task would
+    have to move it.
     """
 
     url: str
@@ -60,10 +61,14 @@ class JdbcSource:
     small: frozenset[str] = frozenset()
     partitions: int = 64
     fetch_size: int = 10_000
+    predicates: Mapping[str, Sequence[str]] = field(default_factory=dict)
 
     def read(self, spark: SparkSession, spec: ReplicaSpec) -> DataFrame:
-        if spec.source not in self.ranges and spec.source not in self.small:
-            raise ValueError(f"{spec.source} needs a range to be read in parallel, or to be named as small")
+        if not any(spec.source in named for named in (self.predicates, self.ranges, self.small)):
+            raise ValueError(f"{spec.source} needs predicates or a range to be read in parallel, or to be named as small")
+        if spec.source in self.predicates:
+            options = {**self.properties, "fetchsize": str(self.fetch_size)}
+            return spark.read.jdbc(self.url, spec.source, predicates=list(self.predicates[spec.source]), properties=options)
         reader = (
             spark.read.format("jdbc")
             .option("url", self.url)

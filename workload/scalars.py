@@ -161,3 +161,43 @@ def transaction_ids(t):
         F.count_if(F.col("u").rlike(form)).alias("well_formed"),
         F.count_distinct("u").alias("different"),
     )
+
+
+_Y, _M, _D = (f"CAST({part}(o_orderdate) AS STRING)" for part in ("year", "month", "day"))
+_NAME = "substr('JanFebMarAprMayJunJulAugSepOctNovDec', 3 * month(o_orderdate) - 2, 3)"
+# One order's day in thirteen forms, some with a clock time, the last one no date at all.
+WRITTEN_DATES = f"""
+SELECT o_orderkey, o_orderdate,
+       CASE o_orderkey % 13
+            WHEN 0 THEN substr(CAST(o_orderdate AS STRING), 1, 10)
+            WHEN 1 THEN {_Y} || '/' || {_M} || '/' || {_D}
+            WHEN 2 THEN {_M} || '/' || {_D} || '/' || {_Y}
+            WHEN 3 THEN lpad({_M}, 2, '0') || '-' || lpad({_D}, 2, '0') || '-' || substr({_Y}, 3, 2)
+            WHEN 4 THEN {_NAME} || '  ' || {_D} || ' ' || {_Y} || ' 12:00AM'
+            WHEN 5 THEN lower({_NAME}) || '. ' || {_D} || ', ' || {_Y}
+            WHEN 6 THEN {_D} || '-' || upper({_NAME}) || '-' || substr({_Y}, 3, 2)
+            WHEN 7 THEN {_D} || ' ' || {_NAME} || ' ' || {_Y} || ' 3:04:05.600 p.m.'
+            WHEN 8 THEN {_Y} || lpad({_M}, 2, '0') || lpad({_D}, 2, '0')
+            WHEN 9 THEN {_M} || '.' || {_D} || '.' || {_Y} || ' 14:30'
+            WHEN 10 THEN {_Y}
+            WHEN 11 THEN '10:30'
+            ELSE {_NAME} || ' 32 ' || {_Y} END AS written
+FROM {{orders}}"""
+
+
+@query(with_shapes(
+    """SELECT o_orderkey, written, CASE WHEN o_orderkey % 13 < 10 THEN date_trunc('day', o_orderdate)
+            + CASE o_orderkey % 13 WHEN 7 THEN INTERVAL '54246' SECOND WHEN 9 THEN INTERVAL '52200' SECOND
+                   ELSE INTERVAL '0' SECOND END END AS read,
+        CASE o_orderkey % 13
+            WHEN 2 THEN CASE WHEN day(o_orderdate) <= 12 THEN make_date(year(o_orderdate), day(o_orderdate), month(o_orderdate)) END
+            WHEN 8 THEN CAST(o_orderdate AS DATE) END AS day_first
+    FROM written""", written=WRITTEN_DATES))
+def written_dates(t):
+    """Date text of several customs; where days come first, only forms of plain numbers change their meaning."""
+    written = t.shape(WRITTEN_DATES)
+    other = dates.read_instant(F.col("written"), day_first=True).cast("date")
+    return written.select(
+        "o_orderkey", "written", dates.to_second(*column_of(written, "written")).cast("timestamp_ntz").alias("read"),
+        F.when((F.col("o_orderkey") % 13).isin(2, 8), other).alias("day_first"),
+    )

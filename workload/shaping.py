@@ -10,6 +10,7 @@ from casetrail.plans.dispositions import counted_transactions, current_statuses,
 from casetrail.schemas import column_of
 from casetrail.sources.replicate import ReplicaSpec, landed
 from casetrail.sources.sharing import ShareSpec, shared_rows
+from casetrail.sources.split import key_bounds, number_predicates, range_predicates, split_report
 
 from . import shapes
 from .registry import query, with_shapes
@@ -178,3 +179,25 @@ def landed_columns(t):
         ("P_BRAND", "BRAND_NO", "int"), ("P_TYPE", "KIND", "string"),
     ))
     return landed(t.table("part"), spec)
+
+
+# Keys whose distances grow, as keys of a system that was filled by several migrations.
+UNEVEN_KEYS = "SELECT CASE WHEN o_orderkey % 501 = 0 THEN NULL ELSE o_orderkey * o_orderkey END AS k, 'A' || CAST(o_orderkey AS STRING) AS t FROM {orders}"
+
+
+@query("""SELECT how, CAST(pieces AS BIGINT) AS pieces, (SELECT count(*) FROM orders) AS rows,
+        (SELECT count(*) FROM orders) AS rows_taken_once, true AS within_twice
+    FROM (VALUES ('range of a number', 64), ('range of a time', 32), ('number of a text', 8)) v(how, pieces)""")
+def split_by_keys(t):
+    """Pieces for parallel reading, by quantiles of the keys and by key numbers: every row once, sizes within twice."""
+    keyed, orders = t.shape(UNEVEN_KEYS), t.table("orders")
+    reports = {
+        "range of a number": split_report(keyed, range_predicates("k", key_bounds(keyed, "k", 64))),
+        "range of a time": split_report(orders, range_predicates("o_orderdate", key_bounds(orders, "o_orderdate", 32))),
+        "number of a text": split_report(keyed, number_predicates("t", 8, "spark")),
+    }
+    told = [
+        r.select(F.lit(how).alias("how"), "pieces", "rows", "rows_taken_once", (F.col("most") < 2 * F.col("fewest")).alias("within_twice"))
+        for how, r in reports.items()
+    ]
+    return told[0].unionAll(told[1]).unionAll(told[2])
