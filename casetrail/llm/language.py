@@ -39,6 +39,8 @@ HOST_PRIOR, PARENT_PRIOR = 20.0, 100.0
 LEAST_PROBABILITY = 0.5
 
 UNKNOWN = "und"
+#: What counts as a letter: A-Z and everything beyond ASCII.
+_LETTER = "[A-Za-z]|[^\\x00-\\x7F]"
 
 
 def trigrams(raw: bytes | None) -> np.ndarray:
@@ -241,10 +243,22 @@ def identify(
 
 
 def keep_identified(rows: DataFrame, id: str = "doc_id", text: str = "text", declared: str | None = "lang", host: Column | None = None) -> DataFrame:
-    """The rows whose language is accepted, with all their columns; of rows that share id and text all or none."""
+    """The rows whose language is accepted, with all their columns; of rows that share id and text all or none.
+
+    A row that declares a language of fewer than ``LEAST_ROWS`` rows stays as well if it has a letter: there is no class
+    for it to be accepted in, and so nothing that speaks against it.
+    """
     named = rows.withColumn("_row", F.xxhash64(F.col(text)))
     judged = identify(named.select(id, text, "_row", *([declared] if declared else []), *([] if host is None else [host.alias("_site")])),
                       text, declared, None if host is None else F.col("_site"), carried=[id, "_row"])
-    gone = sent_if_small(judged.filter("NOT accepted").select(F.col(id).alias("_gone_id"), F.col("_row").alias("_gone_row")).distinct())
+    refused = judged.filter("NOT accepted").select(F.col(id).alias("_gone_id"), F.col("_row").alias("_gone_row")).distinct()
+    if declared:
+        tagged = named.withColumn("_tag", primary(F.col(declared)))
+        rare = tagged.filter("_tag IS NOT NULL").groupBy("_tag").count().filter(F.col("count") < LEAST_ROWS).select("_tag")
+        lettered = tagged.filter(F.col(text).rlike(_LETTER)).select(id, "_row", "_tag").join(rare, "_tag", "left_semi")
+        spared = sent_if_small(lettered.select(F.col(id).alias("_spared_id"), F.col("_row").alias("_spared_row")).distinct())
+        none_of = F.col("_gone_id").eqNullSafe(F.col("_spared_id")) & F.col("_gone_row").eqNullSafe(F.col("_spared_row"))
+        refused = refused.join(spared, none_of, "left_anti")
+    gone = sent_if_small(refused)
     same = F.col(id).eqNullSafe(F.col("_gone_id")) & F.col("_row").eqNullSafe(F.col("_gone_row"))
     return named.join(gone, same, "left_anti").select(*[F.col(c) for c in rows.columns])

@@ -30,8 +30,8 @@ from pyspark.sql import functions as F
 
 from casetrail.llm.labelled import held_out, training_sample
 
-#: Labelled rows to learn from, at most; entries of the learned lexicon, at most.
-SAMPLE_ROWS, LEXICON = 12_000, 4_000
+#: Labelled rows to learn from, at most; they also bound the learned lexicon.
+SAMPLE_ROWS = 12_000
 #: An entry needs so many toxic documents, so many different words before it, and so much more evidence (log-odds).
 LEAST_DOCUMENTS, LEAST_CONTEXTS, LEAST_ODDS = 5, 4, 2.5
 #: Lengths of word beginnings that can be entries, so that inflected insults share one.
@@ -244,7 +244,7 @@ def learn(documents: DataFrame, labels: DataFrame, label: str = "toxic", id: str
         return Grammar({}, math.log((bad + 0.5) / (good + 0.5)), np.zeros(CLASSES))
     odds = F.log((F.col("bad") + 0.5) / F.lit(bad + 1.0)) - F.log((F.col("good") + 0.5) / F.lit(good + 1.0))
     strong = _candidates(sample).withColumn("odds", odds).filter(F.col("odds") >= LEAST_ODDS)
-    chosen = {r["entry"]: r["odds"] for r in strong.orderBy(F.desc("odds"), "entry").limit(LEXICON).collect()}
+    chosen = {r["entry"]: r["odds"] for r in strong.orderBy(F.desc("odds"), "entry").collect()}
     varied = {r["entry"] for r in _contexts(sample, set(chosen)).filter(F.col("contexts") >= LEAST_CONTEXTS).collect()}
     lexicon = {e: w for e, w in chosen.items() if e in varied}
 

@@ -35,3 +35,23 @@ def test_in_parts_as_at_once(rows, monkeypatch):
         got = language.identify(few, carried=["doc_id"]).withColumn("probability", F.round("probability", 9))
         answers.append(sorted(map(tuple, got.collect())))
     assert answers[0] == answers[1] and len(answers[0]) == few.count()
+
+
+def test_rows_of_a_language_without_a_class_stay(spark):
+    """Four rows make no class; their texts look like nothing known, and one has no letter."""
+    rng = random.Random(5)
+    texts = {tag: [" ".join("".join(rng.choice(pool) for _ in range(5)) for _ in range(30)) for _ in range(n)]
+             for tag, pool, n in (("en", "abcdefgh", 40), ("fr", "qrstuvwx", 40), ("nl-BE", "abcdqrst", 4))}
+    made = [(t, tag) for tag, several in texts.items() for t in several]
+    made += [("12 34", "nl-BE"), ("12 34", "en"), (None, "sv"), ("", "da")]
+    rows = spark.createDataFrame([(k, t, tag) for k, (t, tag) in enumerate(made)], "doc_id long, text string, lang string")
+    only = rows.filter("lang <> 'nl-BE' OR text <> '12 34'")
+    kept = {r.doc_id for r in language.keep_identified(only).collect()}
+    assert kept == set(range(84))
+    # With a fifth row the language is a class, and its rows are judged as any other's.
+    assert {r.doc_id for r in language.keep_identified(rows).collect()} <= set(range(84))
+
+
+def test_no_class_at_all(spark):
+    rows = spark.createDataFrame([(1, "abc", "en"), (2, "12", "en"), (3, "abc", None), (None, "abc", "fr")], "doc_id long, text string, lang string")
+    assert {r.doc_id for r in language.keep_identified(rows).collect()} == {1, None}
