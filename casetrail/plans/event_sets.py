@@ -154,7 +154,10 @@ def hold_hit_report(permits: DataFrame, holds: DataFrame, rules: Sequence[Rule],
 
 @dataclass(frozen=True)
 class JobFiles:
-    """Where a job reads and writes."""
+    """Where a job reads and writes.
+
+    Records repeat the names and codes of their fields, so lines are stored compressed unless ``compression`` says "none".
+    """
 
     permits: str
     rules: str
@@ -164,6 +167,7 @@ class JobFiles:
     hold_rules: str | None = None
     hold_code_map: str | None = None
     table_format: str = "parquet"
+    compression: str = "gzip"
 
 
 @dataclass(frozen=True)
@@ -214,7 +218,7 @@ def run_job(spark: SparkSession, files: JobFiles, spec: RecordSpec, max_rows: in
     records = records.observe(
         made, F.sum(F.size("process_event_set")).alias("process"), F.sum(F.size("on_hold_event_set")).alias("on_hold")
     )
-    lines = jsonl.write_lines(record_json(records), files.output, fail_on_empty=fail_on_empty)
+    lines = jsonl.write_lines(record_json(records), files.output, fail_on_empty=fail_on_empty, compression=files.compression)
     counted, events = seen.get, made.get
     return JobResult(
         lines, missing_columns(permits, rules.process, always), missing_holds,

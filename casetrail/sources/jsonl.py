@@ -17,10 +17,15 @@ def output_path(folder: str, job: str, environment: str, day: date) -> str:
     return posixpath.join(folder, env, f"{job}_{env}_{day:%Y%m%d}.jsonl")
 
 
-def write_lines(lines: DataFrame, path: str, column: str = "value", fail_on_empty: bool = False) -> int:
-    """Writes the text column and returns the number of lines, counted in the same pass."""
+def write_lines(lines: DataFrame, path: str, column: str = "value", fail_on_empty: bool = False,
+                compression: str = "none") -> int:
+    """Writes the text column and returns the number of lines, counted in the same pass.
+
+    ``compression`` is a codec of Spark's text files; ``read_lines`` and ``read_numbered_lines`` read either.
+    """
     seen = Observation()
-    lines.select(column).observe(seen, F.count(F.lit(1)).alias("lines")).write.mode("overwrite").text(path)
+    counted = lines.select(column).observe(seen, F.count(F.lit(1)).alias("lines"))
+    counted.write.mode("overwrite").text(path, compression=compression)
     written = int(seen.get["lines"])
     if fail_on_empty:
         check_not_empty(written)

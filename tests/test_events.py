@@ -3,6 +3,7 @@
 import datetime as dt
 import json
 from dataclasses import replace
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
@@ -197,6 +198,21 @@ def test_run_job_end_to_end(spark, tmp_path):
         event_sets.run_job(spark, empty, SPEC, fail_on_empty=True)
 
 
+def test_lines_of_a_job_are_stored_compressed(spark, tmp_path):
+    """Lines are several times the size of the rows they are made from, and most of it repeats."""
+    spark.range(3_000).selectExpr("id AS PERMIT_ID", "current_date() AS RECEIVED").write.parquet(str(tmp_path / "permits"))
+    (tmp_path / "rules.json").write_text(json.dumps({"R": {"start_attr": "RECEIVED", "logic": ALWAYS}}), encoding="utf-8")
+    job = event_sets.JobFiles(permits=str(tmp_path / "permits"), rules=str(tmp_path / "rules.json"), output=str(tmp_path / "packed"))
+    plain = replace(job, output=str(tmp_path / "plain"), compression="none")
+    assert event_sets.run_job(spark, job, SPEC).lines == event_sets.run_job(spark, plain, SPEC).lines == 3_000
+    size = {f.output: sum(p.stat().st_size for p in Path(f.output).glob("part-*")) for f in (job, plain)}
+    assert size[job.output] * 3 < size[plain.output]
+    numbered = jsonl.read_numbered_lines(spark, job.output).collect()
+    assert sorted(r["line_no"] for r in numbered) == list(range(1, 3_001))
+    ids = [{json.loads(r["value"])["record_id"] for r in lines} for lines in (numbered, jsonl.read_lines(spark, plain.output).collect())]
+    assert ids[0] == ids[1] == set(range(3_000))
+
+
 def test_jobs_and_default_system_ids():
     assert {j.default_system_id for j in event_sets.JOBS.values()} == {"ITSM-5314", "ITSM-6197", "ITSM-6117", "ITSM-6072"}
     assert sum(j.with_holds for j in event_sets.JOBS.values()) == 5
