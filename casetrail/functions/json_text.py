@@ -24,12 +24,16 @@ _STEPS = (
     (rf"(?<=[{{,]){_MEMBER}(?:,{_MEMBER})++", _MEMBER),
     (rf"\[{_VALUE}?\]|\{{{_MEMBER}?\}}", _VALUE),
 )
-# Deep texts: many brackets of a kind with one value inside, at once.
-_MANY = (64, 8)
+# Deep texts: brackets of a kind with one value inside. The first run of many is taken off whole, wherever as many stand; its
+# pattern begins where a run does, so that no run is read from each of its brackets. What is left goes a few at once.
+_MANY, _FEW = 64, 8
 _DEEP = tuple(
-    (begin, [(f"{pattern}{{{n}}}{_VALUE}{end}{{{n}}}", _VALUE) for n in _MANY])
-    for begin, pattern, end in (("[", r"\[", r"\]"), ("{" + _TEXT + ":", rf"(?:\{{{_TEXT}:)", r"\}"))
+    (begin, end, rf"(?<!{pattern})((?:{pattern}){{{_MANY},}}+){_VALUE}({closing}{{{_MANY},}}+)",
+     [(f"(?:{pattern}){{{_FEW}}}{_VALUE}{closing}{{{_FEW}}}", _VALUE)])
+    for begin, end, pattern, closing in (("[", "]", r"\[", r"\]"), ("{" + _TEXT + ":", "}", rf"\{{{_TEXT}:", r"\}"))
 )
+# Levels between two looks at whether anything still changes.
+_AT_ONCE = 32
 
 
 def is_json(text: Column) -> Column:
@@ -55,13 +59,24 @@ def _reduced(tokens: Column) -> Column:
     def level(state: Column, _: Column) -> Column:
         # Each branch works on the state itself, so that nothing is worked out twice.
         now = state["now"]
-        for begin, steps in _DEEP:
-            now = F.when(F.contains(state["now"], F.lit(begin * min(_MANY))), _replaced(state["now"], steps)).otherwise(now)
+        for begin, end, run, steps in _DEEP:
+            fewer = _replaced(_without_run(state["now"], begin, end, run), steps)
+            now = F.when(F.contains(state["now"], F.lit(begin * _FEW)), fewer).otherwise(now)
         now = _replaced(now, _STEPS)
         return F.when(state["now"] == state["before"], state).otherwise(F.struct(now.alias("now"), state["now"].alias("before")))
 
+    def levels(state: Column, _: Column) -> Column:
+        some = F.aggregate(F.sequence(F.lit(1), F.lit(_AT_ONCE)), state, level)
+        return F.when(state["now"] == state["before"], state).otherwise(some)
+
     start = F.struct(tokens.alias("now"), F.lit("").alias("before"))
-    return F.aggregate(F.sequence(F.lit(0), opened), start, level, lambda state: state["now"])
+    return F.aggregate(F.sequence(F.lit(0), F.floor(opened / _AT_ONCE)), start, levels, lambda state: state["now"])
+
+
+def _without_run(text: Column, begin: str, end: str, run: str) -> Column:
+    opening, closing = F.length(F.regexp_extract(text, run, 1)) / len(begin), F.length(F.regexp_extract(text, run, 2))
+    many = F.least(opening, closing).cast("int")
+    return F.replace(text, F.concat(F.repeat(F.lit(begin), many), F.lit(_VALUE), F.repeat(F.lit(end), many)), F.lit(_VALUE))
 
 
 def _replaced(text: Column, steps: Iterable[tuple[str, str]]) -> Column:
