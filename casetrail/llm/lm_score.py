@@ -17,13 +17,14 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casetrail.llm.blocks import in_blocks, unpacked
 from casetrail.llm.common import cut
 from casetrail.llm.labelled import held_out
-from casetrail.llm.ppm import BITS, DISCOUNT, ORDER, STEM, SYMBOLS, coded_beginnings, laid_out, units
+from casetrail.llm.ppm import BITS, DISCOUNT, ORDER, STEM, SYMBOLS, coded_beginnings, laid_out, units_of
 
 HELD_OUT = 1
 #: Distinct units of one group, on average, whose beginnings are looked at together.
@@ -37,25 +38,24 @@ def vocabulary(documents: DataFrame, id: str, text: str) -> DataFrame:
     """``unit`` and its count ``c`` on the training side, for all units; 0 for those that the held-out side alone has."""
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts: Counter = Counter()
+        parts: list[pa.Table] = []
 
-        def told() -> Iterator[pa.RecordBatch]:
-            words = sorted(counts)
-            for at in range(0, len(words), 100_000):
-                some = words[at : at + 100_000]
-                yield pa.RecordBatch.from_arrays([pa.array(some, pa.binary()), pa.array([counts[w] for w in some], pa.int64())], ["unit", "c"])
-            counts.clear()
+        def summed() -> pa.Table:
+            whole = pa.concat_tables(parts).group_by("unit", use_threads=False).aggregate([("c", "sum")])
+            return whole.select(["unit", "c_sum"]).rename_columns(["unit", "c"])
 
         for batch in batches:
-            for raw, learn in zip(batch["raw"].to_pylist(), batch["learn"].to_pylist()):
-                if learn:
-                    counts.update(units(raw))
-                else:
-                    for w in units(raw):
-                        counts.setdefault(w, 0)
-                if len(counts) > 1_000_000:
-                    yield from told()
-        yield from told()
+            learn = batch["learn"].to_numpy(zero_copy_only=False)
+            for first, found, document in units_of(batch["raw"]):
+                distinct = found.dictionary_encode()
+                c = np.bincount(distinct.indices, learn[first + document], minlength=len(distinct.dictionary))
+                parts.append(pa.table({"unit": distinct.dictionary, "c": c.astype(np.int64)}))
+            if sum(len(p) for p in parts) > 1_000_000:
+                parts = [summed()]
+                if len(parts[0]) > 500_000:
+                    yield from parts.pop().to_batches(100_000)
+        if parts:
+            yield from summed().to_batches(100_000)
 
     return _sides(documents, id, text).mapInArrow(work, "unit binary, c long").groupBy("unit").agg(F.sum("c").alias("c"))
 
@@ -210,11 +210,11 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     blocks = in_blocks(documents, id, text, BLOCK_BYTES).groupBy("block")
 
     def ask_units(block: pa.Table) -> pa.Table:
-        own: set[bytes] = set()
+        own = [pa.array([], pa.binary())]
         for table in unpacked(block["blob"]):
-            for raw in table["raw"].to_pylist():
-                own.update(units(raw))
-        return pa.table({"unit": pa.array(sorted(own), pa.binary()), "block": pa.array([block["block"][0].as_py()] * len(own), pa.int32())})
+            own += [found.unique() for _, found, _ in units_of(table["raw"])]
+        own = pc.unique(pa.chunked_array(own))
+        return pa.table({"unit": own, "block": np.full(len(own), block["block"][0].as_py(), dtype=np.int32)})
 
     def ask_keys(block: pa.Table) -> pa.Table:
         own = [np.empty(0, dtype=np.int64)]
@@ -231,31 +231,28 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     )
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        of_unit = known.filter(known["unit"].is_valid())
-        of_key = known.filter(known["key"].is_valid()).sort_by("key")
-        at = {w: k for k, w in enumerate(of_unit["unit"].to_pylist())}
-        c, ll = of_unit["c"].to_numpy(), of_unit["ll"].to_numpy()
-        keys, costs = of_key["key"].to_numpy(), of_key["ll"].to_numpy()
+        of_unit, of_key = known.filter(known["unit"].is_valid()), known.filter(known["key"].is_valid())
+        c, ll, costs = of_unit["c"].to_numpy(), of_unit["ll"].to_numpy(), of_key["ll"].to_numpy()
+        names, keys = of_unit["unit"].combine_chunks(), of_key["key"].combine_chunks()
         base, seen = np.log10((c + 0.5) / floor), c > 0
-        out = {name: [] for name in ("n_tokens", "n_known", "base_score", "score")}
-        ids = []
-        for table in unpacked(block["blob"]):
-            ids += table["id"].chunks
-            short = np.zeros(table.num_rows)
-            for first, laid in laid_out(table["raw"]):
-                where = laid.shallow()
-                cost = costs[np.searchsorted(keys, laid.keys(laid.at[where]))]
-                short += np.bincount(first + laid.document[where], cost, minlength=table.num_rows)
-            for raw, begun in zip(table["raw"].to_pylist(), short.tolist()):
-                words = units(raw)
-                k = np.fromiter(map(at.__getitem__, words), dtype=np.int64, count=len(words))
-                out["n_tokens"].append(len(words) + 1)
-                out["n_known"].append(int(seen[k].sum()) + (ends > 0))
-                out["base_score"].append(float(base[k].sum() + np.log10((ends + 0.5) / floor)))
-                out["score"].append(begun + float(ll[k].sum()))
+        # What is known is made ready to be looked up once for all that is looked up together.
+        table = pa.concat_tables(unpacked(block["blob"]))
+        n_tokens, n_known, of_base, of_model = np.zeros((4, table.num_rows))
+
+        def add(to: np.ndarray, document: np.ndarray, what: np.ndarray | None) -> None:
+            if len(document):
+                to[document[0] : document[-1] + 1] += np.bincount(document - document[0], what)
+
+        for first, laid in laid_out(table["raw"]):
+            where = laid.shallow()
+            add(of_model, first + laid.document[where], costs[pc.index_in(pa.array(laid.keys(laid.at[where])), value_set=keys)])
+        for first, found, document in units_of(table["raw"]):
+            k, document = pc.index_in(found, value_set=names).to_numpy(zero_copy_only=False), first + document
+            for to, what in ((n_tokens, None), (n_known, seen[k]), (of_base, base[k]), (of_model, ll[k])):
+                add(to, document, what)
         return pa.table({
-            "id": pa.chunked_array(ids, pa.int64()), "n_tokens": pa.array(out["n_tokens"], pa.int64()), "n_known": pa.array(out["n_known"], pa.int64()),
-            "base_score": pa.array(out["base_score"], pa.float64()), "score": pa.array(out["score"], pa.float64()),
+            "id": table["id"], "n_tokens": pa.array(n_tokens.astype(np.int64) + 1), "n_known": pa.array(n_known.astype(np.int64) + (ends > 0)),
+            "base_score": pa.array(of_base + np.log10((ends + 0.5) / floor)), "score": pa.array(of_model),
         })
 
     scored = blocks.cogroup(answers.groupBy("block")).applyInArrow(score, "id long, n_tokens long, n_known long, base_score double, score double")

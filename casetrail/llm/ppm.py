@@ -37,6 +37,7 @@ CHUNK_BYTES = 2 << 20
 
 LAST = b"\x00"
 _UNIT = re.compile(rb"[^\t-\r ]+[\t-\r ]?")
+_SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
 _SYMBOL = np.array([x + 1 + (32 if 65 <= x <= 90 else 0) for x in range(256)], dtype=np.int64)
 _IN_WORD = np.ones(START + 1, dtype=bool)
 _IN_WORD[[0, *(x + 1 for x in (9, 10, 11, 12, 13, 32)), START, END]] = False
@@ -50,6 +51,35 @@ def units(raw: bytes | None) -> list[bytes]:
     return found
 
 
+def units_of(raw: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, pa.BinaryArray, np.ndarray]]:
+    """(number of the first document, the units of some documents one after the other, the document of each unit, from
+    0 for the first); each text's are those that ``units`` finds."""
+    raw = raw.combine_chunks() if isinstance(raw, pa.ChunkedArray) else raw
+    for a, b, sizes in _some(raw):
+        text = np.frombuffer(b"".join([(x or b"") + LAST for x in raw.slice(a, b - a).to_pylist()]).lower(), dtype=np.uint8)
+        space, ends = _SPACE[text], np.cumsum(sizes + 1)
+        # Bytes before which no word is open: the first of each document, and those behind white space.
+        fresh = np.concatenate([[True], space[:-1]])
+        fresh[ends[:-1]] = True
+        begins = fresh & ~space
+        begins[ends - 1] = False
+        kept = ~fresh | begins
+        first = np.flatnonzero(begins)
+        offsets = np.append(np.cumsum(kept)[first] - 1, kept.sum()).astype(np.int32)
+        found = pa.Array.from_buffers(pa.binary(), len(first), [None, pa.py_buffer(offsets), pa.py_buffer(text[kept])])
+        yield a, found, np.searchsorted(ends, first, side="right")
+
+
+def _some(raw: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
+    """Consecutive documents of about ``CHUNK_BYTES``: first, the one behind the last, and their sizes; null is empty."""
+    sizes = pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64)
+    chunk = np.cumsum(sizes) // CHUNK_BYTES
+    edges = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(sizes)]
+    for a, b in zip(edges, edges[1:]):
+        if a < b:
+            yield a, b, sizes[a:b]
+
+
 class Laid(NamedTuple):
     """Documents one after the other: their symbols, with ``ORDER`` zeros and the start mark before each; where each
     one starts; the predicted positions, and the document of each."""
@@ -77,13 +107,7 @@ class Laid(NamedTuple):
 def laid_out(raw: pa.Array) -> Iterator[tuple[int, Laid]]:
     """(number of the first document, documents), some at a time; null texts are empty."""
     raw = raw.combine_chunks() if isinstance(raw, pa.ChunkedArray) else raw
-    sizes = pc.fill_null(pc.binary_length(raw), 0).to_numpy(zero_copy_only=False).astype(np.int64)
-    chunk = np.cumsum(sizes) // CHUNK_BYTES
-    edges = [0, *(np.flatnonzero(np.diff(chunk)) + 1), len(sizes)]
-    for a, b in zip(edges, edges[1:]):
-        if a == b:
-            continue
-        own = sizes[a:b]
+    for a, b, own in _some(raw):
         ends = np.cumsum(own + ORDER + 2)
         starts = ends - own - 2
         symbols = np.zeros(int(ends[-1]), dtype=np.int64)

@@ -5,6 +5,7 @@ import random
 import zlib
 from collections import Counter, defaultdict
 
+import pyarrow as pa
 import pytest
 
 from casetrail.llm import lm_score, ppm
@@ -88,3 +89,21 @@ def test_long_words_are_contexts_to_their_end(spark):
     rows = [(i, " ".join(rng.choice(words) for _ in range(3)).encode()) for i in range(60)]
     table = spark.createDataFrame([(i, t.decode()) for i, t in rows], "doc_id long, text string")
     assert {r.doc_id: r.score for r in lm_score.score_texts(table).collect()} == pytest.approx(by_hand(rows), rel=1e-9)
+
+
+def test_texts_together_have_the_units_that_they_have_alone(monkeypatch):
+    texts = [None, b"", b" ", b"\x00", b"a\x00", b"\x00 \x00", b" A  b\t\n c", b"x ", b"x", b"\x0b\x0cY\xff\xc3\xa9 \r", b"long " * 50 + b"end", b""]
+    for chunk in (1, 40, 1 << 20):
+        monkeypatch.setattr(ppm, "CHUNK_BYTES", chunk)
+        got = [[] for _ in texts]
+        for first, found, document in ppm.units_of(pa.array(texts, pa.binary())):
+            for unit, k in zip(found.to_pylist(), document.tolist(), strict=True):
+                got[first + k].append(unit)
+        assert got == [ppm.units(t) for t in texts]
+
+
+def test_no_unit_is_looked_up_by_itself(spark, rows, monkeypatch):
+    """Units are cut and looked up many at a time; one by one they took most of the time."""
+    monkeypatch.setattr(ppm, "units", None)
+    assert not hasattr(lm_score, "units")
+    assert lm_score.vocabulary(spark.createDataFrame(rows, "doc_id long, text binary"), "doc_id", "text").count() > 60
