@@ -40,6 +40,8 @@ _IDS = pa.list_(pa.int32())
 _WORDS = 1 << 12
 #: Bytes of text, and characters, that are worked on at once.
 _AT_ONCE = 1 << 19
+#: Bytes of text whose units are held and looked up together.
+_LOOKED_UP = 4 << 20
 
 
 @dataclass
@@ -151,6 +153,19 @@ def _pieces_of(blobs: pa.ChunkedArray) -> Iterator[pa.Table]:
         yield from by_bytes(iter(table.to_batches()), "raw", _AT_ONCE)
 
 
+def _together(tables: Iterator[pa.Table]) -> Iterator[list[pa.Table]]:
+    """Some tables at a time, with ``_LOOKED_UP`` bytes of text together, or a few more."""
+    some, size = [], 0
+    for table in tables:
+        some.append(table)
+        size += table["raw"].nbytes
+        if size >= _LOOKED_UP:
+            yield some
+            some, size = [], 0
+    if some:
+        yield some
+
+
 def decode(ids: list[int] | np.ndarray, spelled: list[bytes]) -> str:
     """The text of a sequence of ids. Bytes that are no UTF-8 become replacement characters."""
     return b"".join([spelled[i] for i in ids]).decode("utf-8", "replace")[1:]
@@ -258,13 +273,15 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
         own = [pc.unique(units_of(table["raw"], sent.value[0])[0]) for table in _pieces_of(packed["blob"])]
         own = pc.unique(pa.chunked_array(own, pa.string()))
         own = own.filter(pc.less_equal(pc.utf8_length(own), LONG_UNIT))
+        own = own.take(pc.sort_indices(own))  # what is alike lies together on its way there and back, and packs well
         return pa.table({"unit": own, "block": np.full(len(own), packed["block"][0].as_py(), dtype=np.int32)})
 
     # A unit of ten characters has some fifty substrings, so tasks are many, and not put together by their input's size.
     asked = by_block.applyInArrow(ask, "unit string, block int").repartition(tasks, "unit")
     encoded = encode_units(asked.groupBy("unit").agg(F.min("block").alias("least")), model, piece_cost)
     answered = F.when(F.col("least") <= F.col("block"), F.col("code")).alias("code")
-    answers = asked.join(encoded, "unit").select("block", "unit", answered).sortWithinPartitions("block")
+    # A task has a bounded number of distinct units, and looking what is asked up in them spares sorting it.
+    answers = asked.join(encoded.hint("shuffle_hash"), "unit").select("block", "unit", answered).sortWithinPartitions("block")
 
     def assemble(packed: pa.Table, known: pa.Table) -> pa.Table:
         joined, spelled, table_of, byte_ids = sent.value
@@ -272,23 +289,23 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
         replies = pa.concat_tables([pa.table({"unit": pa.array([], pa.string()), "code": pa.array([], pa.binary())}), *unpacked(known["blob"])])
         names, of_unit = replies["unit"].combine_chunks(), _ids_of(replies["code"].combine_chunks())
         done = [pa.table({"id": pa.array([], pa.int64()), "ids": pa.array([], _IDS), "decoded": pa.array([], pa.string())})]
-        tables = list(_pieces_of(packed["blob"]))
-        cut = [units_of(table["raw"], joined) for table in tables]
-        # One dictionary for the whole block, so that each of its units is looked up once.
-        found = pa.chunked_array([x for x, _ in cut], pa.string()).dictionary_encode()
-        distinct = found.chunk(0).dictionary if cut else names
-        at = pc.index_in(distinct, value_set=names)
-        if at.null_count:  # longer units, which are folded here
-            longer = distinct.filter(pc.is_null(at))
-            of_unit = pa.concat_arrays([of_unit, pa.array([fold_long(u, whole, piece_cost) for u in longer.to_pylist()], _IDS)])
-            at = pc.index_in(distinct, value_set=pa.concat_arrays([names, longer]))
-        for table, (_, ends), some in zip(tables, cut, found.chunks):
-            own = of_unit.take(at.take(some.indices))
-            # Each text's units end where ``ends`` says, so its ids end where those of its last unit do.
-            offsets = own.offsets.to_numpy()[ends].astype(np.int32)
-            none = pc.is_null(table["raw"]).combine_chunks()
-            ids = pa.ListArray.from_arrays(pa.array(offsets), own.values, mask=none)
-            done.append(pa.table({"id": table["id"], "ids": ids, "decoded": decoded(offsets, own.values.to_numpy(), spelled, none)}))
+        for tables in _together(_pieces_of(packed["blob"])):
+            cut = [units_of(table["raw"], joined) for table in tables]
+            # One dictionary for all of them, so that each unit is looked up once.
+            found = pa.chunked_array([x for x, _ in cut], pa.string()).dictionary_encode()
+            distinct = found.chunk(0).dictionary
+            at, own_units = pc.index_in(distinct, value_set=names), of_unit
+            if at.null_count:  # longer units, which are folded here
+                longer = distinct.filter(pc.is_null(at))
+                own_units = pa.concat_arrays([of_unit, pa.array([fold_long(u, whole, piece_cost) for u in longer.to_pylist()], _IDS)])
+                at = pc.index_in(distinct, value_set=pa.concat_arrays([names, longer]))
+            for table, (_, ends), some in zip(tables, cut, found.chunks):
+                own = own_units.take(at.take(some.indices))
+                # Each text's units end where ``ends`` says, so its ids end where those of its last unit do.
+                offsets = own.offsets.to_numpy()[ends].astype(np.int32)
+                none = pc.is_null(table["raw"]).combine_chunks()
+                ids = pa.ListArray.from_arrays(pa.array(offsets), own.values, mask=none)
+                done.append(pa.table({"id": table["id"], "ids": ids, "decoded": decoded(offsets, own.values.to_numpy(), spelled, none)}))
         return pa.concat_tables(done)
 
     replies = answers.mapInArrow(pack_by_block, "block int, blob binary")

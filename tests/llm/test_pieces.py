@@ -61,3 +61,21 @@ def test_ids_together_are_decoded_as_one_by_one():
     none = pa.array([t is None for t in texts])
     got = pieces.decoded(ends, ids, MODEL.spelled, none).to_pylist()
     assert got == [None if t is None else pieces.decode(t, MODEL.spelled) for t in texts] == ["ab", "", "é", "�", None]
+
+
+def test_a_block_is_never_held_as_units_at_once(spark, monkeypatch):
+    """Texts are looked up some at a time, longer units among them, and come back the same."""
+    raw = [None, b"", b"a b", b"b" * 30, b"aba " * 20, b"x" * 300, "日 é".encode(), b"ab"]
+    tables = [pa.table({"raw": pa.array([t], pa.binary())}) for t in raw]
+    monkeypatch.setattr(pieces, "_LOOKED_UP", 64)
+    groups = list(pieces._together(iter(tables)))
+    assert [t for g in groups for t in g] == tables and len(groups) > 2
+    assert all(sum(t["raw"].nbytes for t in g[:-1]) < 64 for g in groups)
+
+
+def test_texts_of_several_lookups_and_no_sort_of_what_is_asked(spark):
+    texts = [None, "", "a b", "b" * 300, "aba " * 20, "x" * 300, "日 é", "ab", *["ab " * k for k in range(40)]]
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    encoded = pieces.encode_texts(table, MODEL)
+    assert {r.doc_id: r.decoded for r in encoded.collect()} == dict(enumerate(texts))
+    assert "SortMergeJoin" not in encoded._jdf.queryExecution().executedPlan().toString()
