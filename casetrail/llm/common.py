@@ -35,6 +35,16 @@ def cut(rows: DataFrame) -> DataFrame:
     return rows.checkpoint(eager=True)
 
 
+#: Rows of one task in steps over narrow rows whose number is known.
+TASK_ROWS = 100_000
+
+
+def in_few(rows: DataFrame, count: int) -> DataFrame:
+    """``count`` narrow rows, or a few times as many, in as many tasks as they call for instead of one for each shuffle
+    partition: every task of a step leaves files of its own. Never more tasks than before."""
+    return rows.coalesce(max(1, -(-count // TASK_ROWS)))
+
+
 def unused_name(rows: DataFrame, name: str) -> str:
     """The name, or one with underscores behind it that no column has."""
     taken = {c.lower() for c in rows.columns}

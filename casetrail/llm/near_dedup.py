@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from casetrail.llm.blocks import locator
-from casetrail.llm.common import cut, keep_rows
+from casetrail.llm.common import cut, in_few, keep_rows
 from casetrail.llm.components import components
 from casetrail.llm.shingles import bands, set_key, shingle_set, sketch
 
@@ -134,8 +134,8 @@ def _differences(pairs: DataFrame, sets: DataFrame) -> DataFrame:
     return both.select("centre", "key", "n", "component", "stray", "x", "y").mapInArrow(work, schema)
 
 
-def _stray_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """Pairs (u, v) that may be linked, of a bucket's strays with its other members.
+def _stray_pairs(placed: DataFrame, count: int, sets: DataFrame, percent: int) -> DataFrame:
+    """Pairs (u, v) that may be linked, of a bucket's strays with its other members; ``count`` members in all.
 
     With c the centre, I and E the numbers inserted and deleted, and T the largest number of shingles that linked sets
     of these sizes may differ in: x and y are linked if they share at least (I_x + E_x + I_y + E_y - T) / 2 of what they
@@ -146,17 +146,20 @@ def _stray_pairs(placed: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     centres = placed.groupBy("band").agg(F.max(F.struct("weight", "key", "component")).alias("c")).select(
         "band", F.col("c.weight").alias("pull"), F.col("c.key").alias("centre"), F.col("c.component").alias("main")
     )
-    seen = placed.join(centres, "band").select("band", "key", "n", "component", "pull", "centre", (F.col("component") != F.col("main")).alias("stray"))
+    met = in_few(placed.join(in_few(centres, count), "band"), count)
+    seen = met.select("band", "key", "n", "component", "pull", "centre", (F.col("component") != F.col("main")).alias("stray"))
     # Each stray is looked at from one centre, the weightiest of its buckets; so are all that share a bucket with it.
     homes = (
         seen.groupBy("key")
         .agg(F.max(F.when(F.col("centre") != F.col("key"), F.struct("pull", "centre"))).alias("home"), F.max("stray").alias("stray"))
         .filter("stray").select("key", F.col("home.centre").alias("centre"))
     )
-    looked_at = seen.filter("stray").select("band", "key").join(homes, "key").select("band", "centre").distinct()
-    around = seen.select("band", "key", "n", "component").join(looked_at, "band").drop("band").filter(F.col("key") != F.col("centre")).distinct()
-    marked = around.join(homes.withColumn("stray", F.lit(True)), ["key", "centre"], "left").withColumn("stray", F.coalesce("stray", F.lit(False)))
-    parts = cut(_differences(marked, sets))
+    homes = in_few(homes, count)
+    looked_at = in_few(in_few(seen.filter("stray").select("band", "key").join(homes, "key"), count).select("band", "centre").distinct(), count)
+    around = in_few(seen.select("band", "key", "n", "component").join(looked_at, "band"), count).drop("band").filter(F.col("key") != F.col("centre"))
+    marked = in_few(around.distinct(), count).join(homes.withColumn("stray", F.lit(True)), ["key", "centre"], "left")
+    parts = cut(_differences(in_few(marked, count).withColumn("stray", F.coalesce("stray", F.lit(False))), sets))
+    parts = in_few(parts, parts.count())
 
     x = parts.filter("stray").select("centre", "element", "inserted", *[F.col(c).alias(f"x_{c}") for c in ("key", "n", "component", "ins", "dels", "left")])
     y = parts.select("centre", "element", "inserted", *[F.col(c).alias(f"y_{c}") for c in ("key", "n", "component", "stray", "ins", "dels", "left")])
@@ -178,16 +181,19 @@ def near_groups(
     ``key`` of a set that isn't empty the ``component`` (a key) and its smallest id ``least``."""
     found = cut(_sketches(documents, id, text, size))
     rows = found.select("doc_id", "print", "n", "key")
-    classes = found.filter("n > 0").groupBy("key").agg(
+    classes = cut(found.filter("n > 0").groupBy("key").agg(
         F.min("doc_id").alias("least"), F.min("at").alias("at"), F.count("*").alias("copies"), F.max("n").alias("n"),
         F.first("narrow").alias("narrow"), F.first("wide").alias("wide"),
-    )
+    ))
     spread = lambda which: classes.select("key", "copies", "n", F.explode(which).alias("band"))
     full = spread("narrow").groupBy("band").agg(F.count("*").alias("size")).filter("size > 1")
     shared = cut(spread("narrow").join(full, "band"))
     # How much company a class has in its buckets: what lies in the middle of a group has the most.
     weights = shared.groupBy("key").agg((F.sum("size") + F.max("copies")).alias("weight"))
-    members = shared.drop("size", "copies").join(weights, "key")
+    members = cut(shared.drop("size", "copies").join(weights, "key"))
+    count = members.count()
+    members = in_few(members, count)
+    weights = members.groupBy("key").agg(F.max("weight").alias("weight"))
     candidates = members.select("key").distinct()
     sets = cut(_sets(documents, classes.select("key", "at").join(candidates, "key"), id, text, size))
     wider = spread("wide").drop("copies").join(weights, "key")
@@ -195,8 +201,8 @@ def near_groups(
     first = cut(_linked(pairs, sets, percent))
     joined = components(first)
 
-    placed = members.join(joined.withColumnRenamed("node", "key"), "key", "left").withColumn("component", F.coalesce("component", "key"))
-    second = _linked(_stray_pairs(placed, sets, percent), sets, percent)
+    placed = in_few(members.join(joined.withColumnRenamed("node", "key"), "key", "left"), count).withColumn("component", F.coalesce("component", "key"))
+    second = _linked(_stray_pairs(placed, count, sets, percent), sets, percent)
     whole = components(first.unionAll(second)).withColumnRenamed("node", "key")
     labelled = classes.select("key", "least").join(whole, "key", "left").withColumn("component", F.coalesce("component", "key"))
     smallest = labelled.groupBy("component").agg(F.min("least").alias("least"))
