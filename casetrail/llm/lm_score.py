@@ -14,6 +14,7 @@ from __future__ import annotations
 
 from collections import Counter
 from collections.abc import Iterator
+from itertools import batched
 
 import numpy as np
 import pyarrow as pa
@@ -30,6 +31,8 @@ HELD_OUT = 1
 #: Distinct units of one group, on average, whose beginnings are looked at together.
 GROUP_WORDS = 40_000
 BLOCK_BYTES = 16 << 20
+#: Pieces of a block, of about ``ppm.CHUNK_BYTES`` each, that are looked up together.
+LOOKED_UP = 4
 #: Contexts of up to this order are at most 67,000 by nature, and are sent to every task.
 SENT_ORDER = 1
 
@@ -69,6 +72,7 @@ def counted_nodes(documents: DataFrame, id: str, text: str) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         parts: list[tuple[np.ndarray, np.ndarray]] = []
+        kept = 0
 
         def summed() -> tuple[np.ndarray, np.ndarray]:
             keys, inverse = np.unique(np.concatenate([k for k, _ in parts]), return_inverse=True)
@@ -84,10 +88,12 @@ def counted_nodes(documents: DataFrame, id: str, text: str) -> DataFrame:
                 keys, own = laid.keys(laid.at), learn[first + laid.document]
                 found, times = np.unique(keys[own], return_counts=True)
                 parts += [(found, times), (other := np.unique(keys[~own]), np.zeros(len(other), dtype=np.int64))]
-            if sum(len(k) for k, _ in parts) > 2_000_000:
-                parts = [summed()]
-                if len(parts[0][0]) > 1_000_000:
-                    yield from told(*parts.pop())
+                if sum(len(k) for k, _ in parts) > kept + 500_000:
+                    parts = [summed()]
+                    kept = len(parts[0][0])
+                    if kept > 500_000:
+                        yield from told(*parts.pop())
+                        kept = 0
         if parts:
             yield from told(*summed())
 
@@ -189,6 +195,17 @@ def _coded_units(words: DataFrame, trie: Trie, coded: DataFrame) -> DataFrame:
     )
 
 
+def _looked_up(found: Iterator[tuple[int, pa.Array, np.ndarray]], known: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where ``known`` has what was found in some documents (number of the first, what, the document of each), and the
+    document of each. What is known is made ready once for ``LOOKED_UP`` of them."""
+    for some in batched(found, LOOKED_UP):
+        at = pc.index_in(pa.chunked_array([x for _, x, _ in some]), value_set=known).to_numpy()
+        end = 0
+        for first, x, document in some:
+            begin, end = end, end + len(x)
+            yield at[begin:end], first + document
+
+
 def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """The id, ``held_out``, ``n_tokens``, ``n_known``, ``train_tokens``, ``base_score`` and ``score`` (log10) of every
     row.
@@ -235,7 +252,6 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
         c, ll, costs = of_unit["c"].to_numpy(), of_unit["ll"].to_numpy(), of_key["ll"].to_numpy()
         names, keys = of_unit["unit"].combine_chunks(), of_key["key"].combine_chunks()
         base, seen = np.log10((c + 0.5) / floor), c > 0
-        # What is known is made ready to be looked up once for all that is looked up together.
         table = pa.concat_tables(unpacked(block["blob"]))
         n_tokens, n_known, of_base, of_model = np.zeros((4, table.num_rows))
 
@@ -243,11 +259,14 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
             if len(document):
                 to[document[0] : document[-1] + 1] += np.bincount(document - document[0], what)
 
-        for first, laid in laid_out(table["raw"]):
-            where = laid.shallow()
-            add(of_model, first + laid.document[where], costs[pc.index_in(pa.array(laid.keys(laid.at[where])), value_set=keys)])
-        for first, found, document in units_of(table["raw"]):
-            k, document = pc.index_in(found, value_set=names).to_numpy(zero_copy_only=False), first + document
+        def of_keys() -> Iterator[tuple[int, pa.Array, np.ndarray]]:
+            for first, laid in laid_out(table["raw"]):
+                where = laid.shallow()
+                yield first, pa.array(laid.keys(laid.at[where])), laid.document[where]
+
+        for k, document in _looked_up(of_keys(), keys):
+            add(of_model, document, costs[k])
+        for k, document in _looked_up(units_of(table["raw"]), names):
             for to, what in ((n_tokens, None), (n_known, seen[k]), (of_base, base[k]), (of_model, ll[k])):
                 add(to, document, what)
         return pa.table({

@@ -33,12 +33,12 @@ SYMBOLS = 257
 
 BITS = 9
 #: Bytes of text looked at together, but for longer documents.
-CHUNK_BYTES = 2 << 20
+CHUNK_BYTES = 1 << 20
 
 LAST = b"\x00"
 _UNIT = re.compile(rb"[^\t-\r ]+[\t-\r ]?")
 _SPACE = np.isin(np.arange(256), (9, 10, 11, 12, 13, 32))
-_SYMBOL = np.array([x + 1 + (32 if 65 <= x <= 90 else 0) for x in range(256)], dtype=np.int64)
+_SYMBOL = np.array([x + 1 + (32 if 65 <= x <= 90 else 0) for x in range(256)], dtype=np.int16)
 _IN_WORD = np.ones(START + 1, dtype=bool)
 _IN_WORD[[0, *(x + 1 for x in (9, 10, 11, 12, 13, 32)), START, END]] = False
 
@@ -82,7 +82,8 @@ def _some(raw: pa.Array) -> Iterator[tuple[int, int, np.ndarray]]:
 
 class Laid(NamedTuple):
     """Documents one after the other: their symbols, with ``ORDER`` zeros and the start mark before each; where each
-    one starts; the predicted positions, and the document of each."""
+    one starts; the predicted positions, and the document of each. There is one of each for every byte of text, so the
+    types are the narrowest that do."""
 
     symbols: np.ndarray
     starts: np.ndarray
@@ -90,18 +91,20 @@ class Laid(NamedTuple):
     document: np.ndarray
 
     def keys(self, at: np.ndarray) -> np.ndarray:
-        out = np.zeros(len(at), dtype=np.int64)
-        for back in range(ORDER, -1, -1):
-            out = (out << BITS) | self.symbols[at - back]
-        return out
+        out = self.symbols.astype(np.int64)
+        for back in range(1, ORDER + 1):
+            before = self.symbols[:-back].astype(np.int64)
+            before <<= BITS * back
+            out[back:] |= before
+        return out[at]
 
     def shallow(self) -> np.ndarray:
         """Which predicted positions have fewer than ``STEM`` bytes of a word before them."""
-        deep = np.ones(len(self.at), dtype=bool)
         inner = _IN_WORD[self.symbols]
+        deep = np.ones(len(inner), dtype=bool)
         for back in range(1, STEM + 1):
-            deep &= inner[self.at - back]
-        return ~deep
+            deep[back:] &= inner[:-back]
+        return ~deep[self.at]
 
 
 def laid_out(raw: pa.Array) -> Iterator[tuple[int, Laid]]:
@@ -110,10 +113,11 @@ def laid_out(raw: pa.Array) -> Iterator[tuple[int, Laid]]:
     for a, b, own in _some(raw):
         ends = np.cumsum(own + ORDER + 2)
         starts = ends - own - 2
-        symbols = np.zeros(int(ends[-1]), dtype=np.int64)
+        symbols = np.zeros(int(ends[-1]), dtype=np.int16)
         text = np.frombuffer(b"".join(x or b"" for x in raw.slice(a, b - a).to_pylist()), dtype=np.uint8)
-        document = np.repeat(np.arange(b - a), own + 1)
-        at = np.arange(len(document)) + document * (ORDER + 1) + ORDER + 1
+        document = np.repeat(np.arange(b - a, dtype=np.int32), own + 1)
+        at = np.arange(ORDER + 1, len(document) + ORDER + 1, dtype=np.int32 if ends[-1] < 1 << 31 else np.int64)
+        at += document * (ORDER + 1)
         symbols[starts], symbols[ends - 1] = START, END
         inner = np.ones(len(at), dtype=bool)
         inner[np.cumsum(own + 1) - 1] = False

@@ -2,9 +2,11 @@
 
 import math
 import random
+import tracemalloc
 import zlib
 from collections import Counter, defaultdict
 
+import numpy as np
 import pyarrow as pa
 import pytest
 
@@ -107,3 +109,16 @@ def test_no_unit_is_looked_up_by_itself(spark, rows, monkeypatch):
     monkeypatch.setattr(ppm, "units", None)
     assert not hasattr(lm_score, "units")
     assert lm_score.vocabulary(spark.createDataFrame(rows, "doc_id long, text binary"), "doc_id", "text").count() > 60
+
+
+def test_memory_of_laid_out_texts():
+    """Many workers hold such arrays at a time, so what a byte of text takes is bounded."""
+    rng = np.random.default_rng(5)
+    texts = pa.array([bytes(rng.integers(97, 123, 2_000, dtype=np.uint8)) for _ in range(2_000)])
+    tracemalloc.start()
+    for _, laid in ppm.laid_out(texts):
+        laid.keys(laid.at)
+        laid.shallow()
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert most < 60e6, most
