@@ -109,6 +109,19 @@ def decode(df: DataFrame, codes: DataFrame, on: Sequence[tuple[str, str]], descr
     return lookup(df, brought, [(left, keys[right]) for left, right in on], columns=list(describe.values()))
 
 
+#: Rows that one row is repeated as at a time, so that no array grows with their number.
+_REPEATED = 1_000
+
+
+def repeated(df: DataFrame, times: Column) -> DataFrame:
+    """Each row as often as ``times`` says; a row for which that is NULL or below 1 goes."""
+    named = df.withColumn("__times", times.cast("long")).filter("__times >= 1")
+    some = named.withColumn("__part", F.explode(F.sequence(F.lit(0).cast("long"), F.expr(f"(__times - 1) DIV {_REPEATED}"))))
+    left = F.least(F.col("__times") - F.col("__part") * _REPEATED, F.lit(_REPEATED)).cast("int")
+    each = some.withColumn("__each", F.explode(F.array_repeat(F.lit(0), left)))
+    return each.select(*[F.col(quoted(c)) for c in df.columns])
+
+
 def matching(df: DataFrame, *others: tuple[DataFrame, Sequence[tuple[str, str]]]) -> DataFrame:
     """Rows with a partner in every other table (chained EXISTS)."""
     for other, on in others:

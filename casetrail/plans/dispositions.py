@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 
 from ..functions import dates, numbers, text
 from ..operators.dedup import keep_first, latest_milestones, newest_first
-from ..operators.joins import decode, lookup, matching, without_match
+from ..operators.joins import decode, lookup, matching, repeated, without_match
 from ..operators.shape import converted, fixed_layout
 from ..schemas import column_of
 
@@ -294,23 +294,27 @@ def applications_with_authorizations(applications: DataFrame, links: DataFrame,
                                      statuses: DataFrame) -> DataFrame:
     """All applications with their authorization, its status and close reason spelled out.
 
-    The area table adds no column, but an application with several areas appears once per area.
+    The area table adds no column, but an application with several areas appears once per area. So areas are counted,
+    and rows are repeated last: joins carry one row for each link and authorization, and of the applications only what
+    they have themselves.
     """
-    number = "ATSAUTHORIZATIONNUMBER"
-    rows = lookup(applications.drop("LANDSFILENUMBER"), links, [("ATSLINKID", "ATSLINKID")],
-                  columns=[number, "LANDSFILENUMBER", "DISPOSITION_TRANSACTION_STRING"])
-    rows = lookup(rows, areas, [(number, number)], columns=[])
-    rows = lookup(rows, authorizations, [(number, "AUTHORIZATION_ID")], columns=[
+    number, times = "ATSAUTHORIZATIONNUMBER", "__areas"
+    counted = areas.groupBy(number).agg(F.count(F.lit(1)).alias(times))
+    linked = links.select("ATSLINKID", number, "LANDSFILENUMBER", "DISPOSITION_TRANSACTION_STRING")
+    linked = lookup(linked, counted, [(number, number)], columns=[times])
+    linked = lookup(linked, authorizations, [(number, "AUTHORIZATION_ID")], columns=[
         "PROJECT_ID", "FILE_NUMBER", "AUTHORIZATION_STATUS_CODE", "ATHN_CLOSE_REASON_CODE",
         "APPLICATION_RECEIVED_DATE", "APPLICATION_ACCEPTED_DATE", "APPLICATION_REJECTED_DATE",
         "FIRST_NATION_START_DATE", "FIRST_NATION_COMPLETION_DATE", "TECH_REVIEW_COMPLETION_DATE",
         "ADJUDICATION_DATE",
     ])
-    rows = decode(rows, close_reasons, [("ATHN_CLOSE_REASON_CODE", "ATHN_CLOSE_REASON_CODE")],
-                  {"DESCRIPTION": "ATHN_CLOSE_REASON_DESC"})
-    rows = decode(rows, statuses, [("AUTHORIZATION_STATUS_CODE", "AUTHORIZATION_STATUS_CODE")],
-                  {"DESCRIPTION": "AUTHORIZATION_STATUS_DESC"})
-    return rows.select(
+    linked = decode(linked, close_reasons, [("ATHN_CLOSE_REASON_CODE", "ATHN_CLOSE_REASON_CODE")],
+                    {"DESCRIPTION": "ATHN_CLOSE_REASON_DESC"})
+    linked = decode(linked, statuses, [("AUTHORIZATION_STATUS_CODE", "AUTHORIZATION_STATUS_CODE")],
+                    {"DESCRIPTION": "AUTHORIZATION_STATUS_DESC"})
+    brought = [c for c in linked.columns if c != "ATSLINKID"]
+    rows = lookup(applications.drop("LANDSFILENUMBER"), linked, [("ATSLINKID", "ATSLINKID")], columns=brought)
+    return repeated(rows, F.coalesce(times, F.lit(1))).select(
         "JOBID", "TRACKINGNUMBER", "ATSLINKID", number, "ATSPROJECTNUMBER", "PROJECT_ID", "LANDSFILENUMBER",
         "FILE_NUMBER", "DISPOSITION_TRANSACTION_STRING", "EXTERNALREFERENCE", "EXTERNALJOBNUMBER",
         "EXTERNALJOBNUMBER2", "MINENUMBER", "BUSINESSAREA", "BUSINESSAREANUMBER", "OFFICE", "APPLICANT",
