@@ -141,10 +141,13 @@ def decoded(offsets: np.ndarray, ids: np.ndarray, spelled: list[bytes], none: pa
 
 
 def _ids_of(codes: pa.Array) -> pa.Array:
-    """Lists of ids from their codes."""
-    ends = np.concatenate([[0], np.cumsum(pc.binary_length(codes).to_numpy(zero_copy_only=False) // 4)])
-    ids = np.frombuffer(b"".join(codes.to_pylist()), dtype=">i4").astype(np.int32)
-    return pa.ListArray.from_arrays(pa.array(ends.astype(np.int32)), pa.array(ids))
+    """Lists of ids from their codes, none of them null, which lie one after the other."""
+    _, offsets, data = codes.buffers()
+    if not len(codes):
+        return pa.array([], _IDS)
+    ends = np.frombuffer(offsets, dtype=np.int32)[codes.offset : codes.offset + len(codes) + 1]
+    ids = np.frombuffer(data, dtype=">i4", count=(ends[-1] - ends[0]) // 4, offset=ends[0]) if data else np.empty(0)
+    return pa.ListArray.from_arrays(pa.array((ends - ends[0]) // 4), pa.array(ids.astype(np.int32)))
 
 
 def _pieces_of(blobs: pa.ChunkedArray) -> Iterator[pa.Table]:
@@ -288,6 +291,7 @@ def encode_texts(documents: DataFrame, model: Model, id: str = "doc_id", text: s
         whole = Model(table_of, byte_ids, spelled)
         replies = pa.concat_tables([pa.table({"unit": pa.array([], pa.string()), "code": pa.array([], pa.binary())}), *unpacked(known["blob"])])
         names, of_unit = replies["unit"].combine_chunks(), _ids_of(replies["code"].combine_chunks())
+        del replies
         done = [pa.table({"id": pa.array([], pa.int64()), "ids": pa.array([], _IDS), "decoded": pa.array([], pa.string())})]
         for tables in _together(_pieces_of(packed["blob"])):
             cut = [units_of(table["raw"], joined) for table in tables]

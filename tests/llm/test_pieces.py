@@ -1,5 +1,6 @@
 """The lattice against all paths, and texts worked on together against texts one by one."""
 
+import tracemalloc
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
@@ -79,3 +80,16 @@ def test_texts_of_several_lookups_and_no_sort_of_what_is_asked(spark):
     encoded = pieces.encode_texts(table, MODEL)
     assert {r.doc_id: r.decoded for r in encoded.collect()} == dict(enumerate(texts))
     assert "SortMergeJoin" not in encoded._jdf.queryExecution().executedPlan().toString()
+
+
+def test_ids_are_read_where_they_stand():
+    """No object for each unit: a block has hundreds of thousands of them."""
+    lists = [[k, k + 1, 1 << 20] for k in range(100_000)] + [[], [5]]
+    codes = pa.array([b"".join(i.to_bytes(4, "big") for i in x) for x in lists], pa.binary())
+    tracemalloc.start()
+    found = pieces._ids_of(codes)
+    most = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert found.to_pylist() == lists and most < 4_500_000, most
+    assert pieces._ids_of(codes.slice(99_998, 3)).to_pylist() == lists[99_998:100_001]
+    assert pieces._ids_of(codes.slice(100_000, 1)).to_pylist() == [[]] and pieces._ids_of(pa.array([], pa.binary())).to_pylist() == []
