@@ -1,6 +1,7 @@
 """The lattice against all paths, and texts worked on together against texts one by one."""
 
 import tracemalloc
+
 import numpy as np
 import pyarrow as pa
 from hypothesis import given, settings
