@@ -37,6 +37,11 @@ def unpacked(blobs: pa.ChunkedArray) -> Iterator[pa.Table]:
             yield read.read_all()
 
 
+def unused_returned() -> None:
+    """Gives the memory back that Arrow keeps for later; a worker that waits for its next task would go on holding it."""
+    pa.default_memory_pool().release_unused()
+
+
 def locator(id: str, text: str):
     """A number to find a row by: its id, or a hash of its text where it has none."""
     return F.coalesce(F.col(id).cast("long"), F.xxhash64(F.col(text)))

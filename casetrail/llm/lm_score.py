@@ -13,7 +13,7 @@ that neither the vocabulary, nor the trie, nor a document is ever in one place.
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from itertools import batched
 
 import numpy as np
@@ -22,10 +22,10 @@ import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from casetrail.llm.blocks import in_blocks, unpacked
+from casetrail.llm.blocks import in_blocks, unpacked, unused_returned
 from casetrail.llm.common import cut
 from casetrail.llm.labelled import held_out
-from casetrail.llm.ppm import BITS, DISCOUNT, ORDER, STEM, SYMBOLS, coded_beginnings, laid_out, units_of
+from casetrail.llm.ppm import BITS, CHUNK_BYTES, DISCOUNT, ORDER, STEM, SYMBOLS, coded_beginnings, laid_out, units_of
 
 HELD_OUT = 1
 #: Distinct units of one group, on average, whose beginnings are looked at together.
@@ -53,12 +53,14 @@ def vocabulary(documents: DataFrame, id: str, text: str) -> DataFrame:
                 distinct = found.dictionary_encode()
                 c = np.bincount(distinct.indices, learn[first + document], minlength=len(distinct.dictionary))
                 parts.append(pa.table({"unit": distinct.dictionary, "c": c.astype(np.int64)}))
-            if sum(len(p) for p in parts) > 1_000_000:
+            if sum(len(p) for p in parts) > 700_000:
                 parts = [summed()]
-                if len(parts[0]) > 500_000:
+                if len(parts[0]) > 350_000:
                     yield from parts.pop().to_batches(100_000)
+            unused_returned()
         if parts:
             yield from summed().to_batches(100_000)
+        unused_returned()
 
     return _sides(documents, id, text).mapInArrow(work, "unit binary, c long").groupBy("unit").agg(F.sum("c").alias("c"))
 
@@ -94,8 +96,10 @@ def counted_nodes(documents: DataFrame, id: str, text: str) -> DataFrame:
                     if kept > 500_000:
                         yield from told(*parts.pop())
                         kept = 0
+            unused_returned()
         if parts:
             yield from told(*summed())
+        unused_returned()
 
     return _sides(documents, id, text).mapInArrow(work, "key long, n long").groupBy("key").agg(F.sum("n").alias("n"))
 
@@ -195,7 +199,30 @@ def _coded_units(words: DataFrame, trie: Trie, coded: DataFrame) -> DataFrame:
     )
 
 
-def _looked_up(found: Iterator[tuple[int, pa.Array, np.ndarray]], known: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+Found = Iterator[tuple[int, pa.Array, np.ndarray]]
+
+
+def _keys_of(raw: pa.ChunkedArray) -> Found:
+    """The keys that the fixed orders code, as ``units_of`` gives units."""
+    for first, laid in laid_out(raw):
+        where = laid.shallow()
+        yield first, pa.array(laid.keys(laid.at[where])), laid.document[where]
+
+
+def _found_in(blobs: pa.ChunkedArray, of: Callable[[pa.ChunkedArray], Found]) -> Found:
+    """What is found in a block's documents, numbered through. Only the texts that are looked at are unpacked."""
+    begin = 0
+    some: list[pa.Table] = []
+    for n, table in enumerate(unpacked(blobs), 1):
+        some.append(table)
+        if n == len(blobs) or sum(t["raw"].nbytes for t in some) >= LOOKED_UP * CHUNK_BYTES:
+            texts, some = pa.concat_tables(some)["raw"], []
+            for first, x, document in of(texts):
+                yield begin + first, x, document
+            begin += len(texts)
+
+
+def _looked_up(found: Found, known: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray]]:
     """Where ``known`` has what was found in some documents (number of the first, what, the document of each), and the
     document of each. What is known is made ready once for ``LOOKED_UP`` of them."""
     for some in batched(found, LOOKED_UP):
@@ -204,6 +231,8 @@ def _looked_up(found: Iterator[tuple[int, pa.Array, np.ndarray]], known: pa.Arra
         for first, x, document in some:
             begin, end = end, end + len(x)
             yield at[begin:end], first + document
+        del some, at, x, document
+        unused_returned()
 
 
 def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -227,17 +256,15 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     blocks = in_blocks(documents, id, text, BLOCK_BYTES).groupBy("block")
 
     def ask_units(block: pa.Table) -> pa.Table:
-        own = [pa.array([], pa.binary())]
-        for table in unpacked(block["blob"]):
-            own += [found.unique() for _, found, _ in units_of(table["raw"])]
+        own = [pa.array([], pa.binary()), *[found.unique() for _, found, _ in _found_in(block["blob"], units_of)]]
         own = pc.unique(pa.chunked_array(own))
+        unused_returned()
         return pa.table({"unit": own, "block": np.full(len(own), block["block"][0].as_py(), dtype=np.int32)})
 
     def ask_keys(block: pa.Table) -> pa.Table:
-        own = [np.empty(0, dtype=np.int64)]
-        for table in unpacked(block["blob"]):
-            own += [np.unique(laid.keys(laid.at[laid.shallow()])) for _, laid in laid_out(table["raw"])]
+        own = [np.empty(0, dtype=np.int64), *[np.unique(found.to_numpy()) for _, found, _ in _found_in(block["blob"], _keys_of)]]
         keys = np.unique(np.concatenate(own))
+        unused_returned()
         return pa.table({"key": pa.array(keys), "block": pa.array(np.full(len(keys), block["block"][0].as_py()), pa.int32())})
 
     nothing = {"unit": "binary", "c": "long", "key": "long"}
@@ -248,29 +275,30 @@ def score_texts(documents: DataFrame, id: str = "doc_id", text: str = "text") ->
     )
 
     def score(block: pa.Table, known: pa.Table) -> pa.Table:
-        of_unit, of_key = known.filter(known["unit"].is_valid()), known.filter(known["key"].is_valid())
-        c, ll, costs = of_unit["c"].to_numpy(), of_unit["ll"].to_numpy(), of_key["ll"].to_numpy()
-        names, keys = of_unit["unit"].combine_chunks(), of_key["key"].combine_chunks()
-        base, seen = np.log10((c + 0.5) / floor), c > 0
-        table = pa.concat_tables(unpacked(block["blob"]))
-        n_tokens, n_known, of_base, of_model = np.zeros((4, table.num_rows))
+        blobs = block["blob"]
+        ids = pa.chunked_array([chunk for table in unpacked(blobs) for chunk in table["id"].chunks], pa.int64())
+        n_tokens, n_known, of_base, of_model = np.zeros((4, len(ids)))
 
         def add(to: np.ndarray, document: np.ndarray, what: np.ndarray | None) -> None:
             if len(document):
                 to[document[0] : document[-1] + 1] += np.bincount(document - document[0], what)
 
-        def of_keys() -> Iterator[tuple[int, pa.Array, np.ndarray]]:
-            for first, laid in laid_out(table["raw"]):
-                where = laid.shallow()
-                yield first, pa.array(laid.keys(laid.at[where])), laid.document[where]
-
-        for k, document in _looked_up(of_keys(), keys):
+        # Keys first, then units, so that only one of the two is held beside what came.
+        of_key = known.select(["key", "ll"]).filter(known["key"].is_valid())
+        keys, costs = of_key["key"].combine_chunks(), of_key["ll"].to_numpy()
+        del of_key
+        for k, document in _looked_up(_found_in(blobs, _keys_of), keys):
             add(of_model, document, costs[k])
-        for k, document in _looked_up(units_of(table["raw"]), names):
+        del keys, costs
+        of_unit = known.select(["unit", "c", "ll"]).filter(known["unit"].is_valid())
+        names, c, ll = of_unit["unit"].combine_chunks(), of_unit["c"].to_numpy(), of_unit["ll"].to_numpy()
+        del of_unit
+        base, seen = np.log10((c + 0.5) / floor), c > 0
+        for k, document in _looked_up(_found_in(blobs, units_of), names):
             for to, what in ((n_tokens, None), (n_known, seen[k]), (of_base, base[k]), (of_model, ll[k])):
                 add(to, document, what)
         return pa.table({
-            "id": table["id"], "n_tokens": pa.array(n_tokens.astype(np.int64) + 1), "n_known": pa.array(n_known.astype(np.int64) + (ends > 0)),
+            "id": ids, "n_tokens": pa.array(n_tokens.astype(np.int64) + 1), "n_known": pa.array(n_known.astype(np.int64) + (ends > 0)),
             "base_score": pa.array(of_base + np.log10((ends + 0.5) / floor)), "score": pa.array(of_model),
         })
 

@@ -10,7 +10,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
-from casetrail.llm import lm_score, ppm
+from casetrail.llm import blocks, lm_score, ppm
 
 SPACE = b"\t\n\x0b\x0c\r "
 
@@ -122,3 +122,39 @@ def test_memory_of_laid_out_texts():
     most = tracemalloc.get_traced_memory()[1]
     tracemalloc.stop()
     assert most < 60e6, most
+
+
+def test_a_block_is_unpacked_a_few_pieces_at_a_time(monkeypatch):
+    rng = random.Random(9)
+    texts = [None, b"", *[bytes(rng.choices(b"abc de\nF", k=rng.randint(0, 4_000))) for _ in range(3_000)]]
+    table = pa.table({"id": pa.array(range(len(texts)), pa.int64()), "raw": pa.array(texts, pa.binary())})
+    blobs = pa.chunked_array([pa.array([blocks.packed(table.slice(a, 37)) for a in range(0, len(texts), 37)], pa.binary())])
+    monkeypatch.setattr(lm_score, "CHUNK_BYTES", 1 << 16)
+    monkeypatch.setattr(ppm, "CHUNK_BYTES", 1 << 16)
+    whole = table["raw"].nbytes
+
+    for of in (ppm.units_of, lm_score._keys_of):
+        at_rest, most, got = pa.total_allocated_bytes(), 0, []
+        for first, found, document in lm_score._found_in(blobs, of):
+            most = max(most, pa.total_allocated_bytes() - at_rest)
+            got += zip((document + first).tolist(), found.to_pylist())
+        assert got == [(first + d, x) for first, found, document in of(table["raw"]) for d, x in zip(document.tolist(), found.to_pylist())]
+        # Texts that are looked at, and their copy in one piece.
+        assert most < 3 * lm_score.LOOKED_UP * lm_score.CHUNK_BYTES < whole / 4
+
+
+def test_memory_is_given_back():
+    pool = pa.default_memory_pool()
+    released = []
+
+    class Watched:
+        def release_unused(self):
+            released.append(True)
+            pool.release_unused()
+
+    keys = pa.array(range(1_000), pa.int64())
+    with pytest.MonkeyPatch.context() as patched:
+        patched.setattr(blocks.pa, "default_memory_pool", Watched)
+        found = [(0, keys, np.zeros(len(keys), dtype=np.int32))] * (2 * lm_score.LOOKED_UP + 1)
+        assert [at.tolist() for at, _ in lm_score._looked_up(iter(found), keys)] == [list(range(1_000))] * len(found)
+    assert len(released) == 3
