@@ -21,6 +21,8 @@ class PatternError(ValueError):
 _UNICODE = {"WORD": r"\p{L}\p{N}_", "DIGIT": r"\p{Nd}", "SPACE": r"\t-\r\x{1c}- \x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}\x{202f}\x{205f}\x{3000}"}
 _ASCII = {"WORD": "a-zA-Z0-9_", "DIGIT": "0-9", "SPACE": r"\t-\r "}
 _LAST_END = r"(?=\n?\z)"
+#: The second half of a character of two units.
+_SECOND_UNIT = r"[\x{dc00}-\x{dfff}]"
 
 
 def rewritten(pattern: str) -> str:
@@ -75,9 +77,16 @@ def _set(items: list[tuple[Any, Any]], flags: int) -> str:
     return f"(?:(?!{either})(?s:.))" if negated else f"(?:{either})"
 
 
+def _behind(inner: str, width: int, negated: bool = False) -> str:
+    """Whether ``inner``, of ``width`` characters, stands before. The other matcher goes back by as many units as it takes
+    characters to be, and a character may have two; so an alternative that is never met makes room for them, and no
+    start is inside a character."""
+    return rf"(?<{'!' if negated else '='}(?!{_SECOND_UNIT})(?:{inner})|(?!)(?s:.){{{2 * width}}})"
+
+
 def _place(kind: Any, flags: int) -> str:
     word = f"[{_classes(flags)['WORD']}]"
-    at_edge = rf"(?:(?<={word})(?!{word})|(?<!{word})(?={word}))"
+    at_edge = rf"(?:{_behind(word, 1)}(?!{word})|{_behind(word, 1, negated=True)}(?={word}))"
     if kind is part.AT_BEGINNING:
         return r"(?:\A|(?<=\n))" if flags & re.MULTILINE else r"\A"
     if kind is part.AT_END:
@@ -90,7 +99,7 @@ def _place(kind: Any, flags: int) -> str:
         return at_edge
     if kind is part.AT_NON_BOUNDARY:
         # There is no such place in an empty text, nor inside a character of two units.
-        return rf"(?!\A\z|[\x{{dc00}}-\x{{dfff}}]|{at_edge})"
+        return rf"(?!\A\z|{_SECOND_UNIT}|{at_edge})"
     raise PatternError(f"the place {kind}")
 
 
@@ -121,7 +130,9 @@ def _written(kind: Any, value: Any, flags: int) -> str:
         return f"(?>{_sequence(value, flags)})"
     if kind in (part.ASSERT, part.ASSERT_NOT):
         direction, inner = value
-        return f"(?{'<' if direction < 0 else ''}{'=' if kind is part.ASSERT else '!'}{_sequence(inner, flags)})"
+        if direction < 0:
+            return _behind(_sequence(inner, flags), inner.getwidth()[1], negated=kind is part.ASSERT_NOT)
+        return f"(?{'=' if kind is part.ASSERT else '!'}{_sequence(inner, flags)})"
     if kind is part.GROUPREF:
         return _fold(f"(?:\\{value})", flags)
     if kind is part.FAILURE:

@@ -52,3 +52,13 @@ def test_a_rule_with_a_named_group_runs(spark):
     rules = parse_rules({"twice": {"logic": {"and": [{"attr": "a", "op": "regex", "value": r"^(?P<x>\w)(?P=x)\Z"}]}, "start_attr": "a"}})
     df = spark.createDataFrame([("éé",), ("éè",), ("aa",), ("aa\n",)], "a string")
     assert process_hit_report(df, rules).first()["hits"] == 2
+
+
+def test_characters_of_two_units_stand_before_a_place(spark):
+    texts = ["", "𝒜", "𝒜x", "𝒜 x", "x𝒜", "😀x", "😀 x", "𝒜𝒜x", "😀😀", "a😀x", "ax", " x", "x", "𝒜😀x", "😀𝒜x", "\n𝒜", "𝒜\nx"]
+    patterns = [r"\b", r"\B", r"\bx", r"\Bx", r"𝒜\b", r"𝒜\B", r"(?<=\w)x", r"(?<=\W)x", r"(?<!\w)x", r"(?<!\W)x", r"(?<=𝒜)x", r"(?<!𝒜)x", r"(?<=[^a])x", r"(?<=\w\w)x",
+                r"(?<=\W\w)x", r"(?<=.{2})x", r"(?<!.{2})x", r"(?<=a.)x", r"(?<=)x", r"(?<!)x", r"(?<=^𝒜)x", r"(?m)(?<=^)x", r"(?<=(?:𝒜|😀)\b)x", r"(?a)\bx", r"(?<=\b)x"]
+    df = spark.createDataFrame(list(enumerate(texts)), "i int, t string")
+    rows = df.orderBy("i").select(*[F.col("t").rlike(rewritten(p)).alias(f"p{k}") for k, p in enumerate(patterns)]).collect()
+    for k, pattern in enumerate(patterns):
+        assert [r[k] for r in rows] == [re.search(pattern, t) is not None for t in texts], pattern
