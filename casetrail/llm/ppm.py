@@ -91,11 +91,11 @@ class Laid(NamedTuple):
     document: np.ndarray
 
     def keys(self, at: np.ndarray) -> np.ndarray:
-        out = self.symbols.astype(np.int64)
-        for back in range(1, ORDER + 1):
-            before = self.symbols[:-back].astype(np.int64)
-            before <<= BITS * back
-            out[back:] |= before
+        out, width = self.symbols.astype(np.int64), 1
+        while width <= ORDER:  # each step puts what is packed so far before itself
+            more = min(width, ORDER + 1 - width)
+            out[more:] |= out[:-more] << BITS * more
+            width += more
         return out[at]
 
     def shallow(self) -> np.ndarray:
@@ -113,15 +113,14 @@ def laid_out(raw: pa.Array) -> Iterator[tuple[int, Laid]]:
     for a, b, own in _some(raw):
         ends = np.cumsum(own + ORDER + 2)
         starts = ends - own - 2
-        symbols = np.zeros(int(ends[-1]), dtype=np.int16)
-        text = np.frombuffer(b"".join(x or b"" for x in raw.slice(a, b - a).to_pylist()), dtype=np.uint8)
+        text = bytes(ORDER + 1) + bytes(ORDER + 2).join([x or b"" for x in raw.slice(a, b - a).to_pylist()]) + bytes(1)
+        symbols = _SYMBOL[np.frombuffer(text, dtype=np.uint8)]
+        for back in range(1, ORDER + 1):
+            symbols[starts - back] = 0
+        symbols[starts], symbols[ends - 1] = START, END
         document = np.repeat(np.arange(b - a, dtype=np.int32), own + 1)
         at = np.arange(ORDER + 1, len(document) + ORDER + 1, dtype=np.int32 if ends[-1] < 1 << 31 else np.int64)
         at += document * (ORDER + 1)
-        symbols[starts], symbols[ends - 1] = START, END
-        inner = np.ones(len(at), dtype=bool)
-        inner[np.cumsum(own + 1) - 1] = False
-        symbols[at[inner]] = _SYMBOL[text]
         yield a, Laid(symbols, starts, at, document)
 
 

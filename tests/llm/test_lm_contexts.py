@@ -158,3 +158,27 @@ def test_memory_is_given_back():
         found = [(0, keys, np.zeros(len(keys), dtype=np.int32))] * (2 * lm_score.LOOKED_UP + 1)
         assert [at.tolist() for at, _ in lm_score._looked_up(iter(found), keys)] == [list(range(1_000))] * len(found)
     assert len(released) == 3
+
+
+def test_units_are_looked_up_by_dictionary():
+    """What is known is made ready once for many pieces, and a unit is asked for once in each."""
+    rng = random.Random(3)
+    texts = pa.array([None, *[" ".join(rng.choices(["a", "bb", "ccc", "dd"], k=500)).encode() for _ in range(40)]], pa.binary())
+    known = pa.array([b"dd ", b"bb ", b"a ", b"ccc\x00", b"ccc ", b"dd\x00", b"a\x00", b"bb\x00", b"other"])
+    got = [[] for _ in texts]
+    for _, x, _ in lm_score._encoded(ppm.units_of(texts)):
+        assert len(x.dictionary) <= 8
+    for at, document in lm_score._looked_up(lm_score._encoded(ppm.units_of(texts)), known, 2):
+        for k, d in zip(at.tolist(), document.tolist(), strict=True):
+            got[d].append(known[k].as_py())
+    assert got == [ppm.units(t.as_py()) for t in texts]
+
+
+def test_keys_are_packed_as_their_symbols_stand():
+    texts = [None, b"", b"\x00", b"Ab c", b"\xff" * 7, b"", b"abcdefgh"]
+    for _, laid in ppm.laid_out(pa.array(texts, pa.binary())):
+        wanted = []
+        for t in texts:
+            symbols = [0] * ppm.ORDER + [ppm.START, *(x + 1 for x in (t or b"").lower()), ppm.END]
+            wanted += [sum(x << ppm.BITS * k for k, x in enumerate(symbols[i - ppm.ORDER : i + 1][::-1])) for i in range(ppm.ORDER + 1, len(symbols))]
+        assert laid.keys(laid.at).tolist() == wanted
